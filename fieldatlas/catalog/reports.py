@@ -34,9 +34,14 @@ def _size_distribution(spark: SparkSession, folder: str) -> DataFrame:
     return top.withColumn("side", F.lit("largest")).unionByName(low.withColumn("side", F.lit("smallest")))
 
 
+def all_reports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return reports.cluster_reports(derive.works(spark, folder), country=derive.HOME_COUNTRY,
+                                   since=derive.RECENT_YEAR)
+
+
 def _threshold_stats(spark: SparkSession, folder: str) -> DataFrame:
-    parts = [reports.threshold_stats(report(spark, folder, level), level, THRESHOLDS)
-             for level in reports.LEVELS]
+    found = all_reports(spark, folder)
+    parts = [reports.threshold_stats(found[level], level, THRESHOLDS) for level in reports.LEVELS]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -55,8 +60,7 @@ QUERIES = {
     "size_coverage": lambda s, d: reports.size_coverage(
         reports.cluster_sizes(derive.works(s, d), "micro_cluster"), 12),
     "threshold_stats": _threshold_stats,
-    "report_overview": lambda s, d: reports.overview(
-        {level: report(s, d, level) for level in reports.LEVELS}),
+    "report_overview": lambda s, d: reports.overview(all_reports(s, d)),
     "level_counts": lambda s, d: reports.level_counts(derive.faulty_works(s, d)),
     "migrate_meso_as_micro": lambda s, d: migrate.promoted(
         derive.works(s, d).select("id", "micro_cluster", "meso_cluster", "macro_cluster"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas.functions.numbers import ratio, round_to
 from fieldatlas.operators.ranking import percent_rank_table, top_n
+from fieldatlas.session import Scratch
 
 LEVELS = ("micro", "meso", "macro")
 CLUSTER_COLUMNS = tuple(f"{level}_cluster" for level in LEVELS)
@@ -46,28 +47,29 @@ def discrete_median(folded: DataFrame, key: str, value: str, name: str) -> DataF
     )
 
 
-def cluster_report(articles: DataFrame, level: str, country: str = "JP", since: int = 2024) -> DataFrame:
-    """Size, citation, rank-within-year and year metrics of each cluster of a level.
+def fold_articles(articles: DataFrame, country: str = "JP", scratch: Scratch | None = None) -> DataFrame:
+    """Works folded to one counted row per (cluster ids, year, citations).
 
-    Works are folded to one counted row per (cluster, year, citations) first.
-    Every metric, the yearly ranks included, is computed from that fold, so the
-    corpus is shuffled once and only as partial counts.
+    This is the only pass over the corpus.  It shuffles partial counts and is
+    kept as a scratch table, from which the reports of all levels are computed.
     """
+    scratch = scratch or Scratch(articles.sparkSession)
+    works = articles.select(*[F.col(c).cast("bigint").alias(c) for c in CLUSTER_COLUMNS],
+                            "publication_year", F.col("citations").cast("bigint").alias("citations"),
+                            F.array_contains("countries", country).alias("_home"))
+    folded = works.groupBy(*CLUSTER_COLUMNS, "publication_year", "citations").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_home").alias("home"))
+    return scratch.save(folded.withColumn("py", F.col("publication_year").try_cast("int")))
+
+
+def report_from_fold(fold: DataFrame, level: str, since: int = 2024) -> DataFrame:
+    """Size, citation, rank-within-year and year metrics of each cluster of a level."""
     key, depth = cluster_column(level), LEVELS.index(level)
     children = CLUSTER_COLUMNS[:depth][::-1]
     parents = CLUSTER_COLUMNS[depth + 1:]
-    works = articles.where(F.col(key).isNotNull()).select(
-        F.col(key).cast("bigint").alias(key), *parents, *children,
-        "citations", "publication_year",
-        F.array_contains("countries", country).alias("_home"))
-
-    folded = works.groupBy(key, "publication_year", "citations").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("_home").alias("home"),
-        *[F.min(p).alias(p) for p in parents],
-    ).withColumn("py", F.col("publication_year").try_cast("int"))
-
-    ranks = percent_rank_table(folded, "publication_year", "citations", F.col("n")).alias("r")
-    ranked = folded.alias("f").join(
+    fold = fold.where(F.col(key).isNotNull())
+    ranks = percent_rank_table(fold, "publication_year", "citations", F.col("n")).alias("r")
+    ranked = fold.alias("f").join(
         ranks,
         F.col("f.publication_year").eqNullSafe(F.col("r.publication_year"))
         & F.col("f.citations").eqNullSafe(F.col("r.citations")),
@@ -79,7 +81,7 @@ def cluster_report(articles: DataFrame, level: str, country: str = "JP", since:
 
     cites, py, n = F.col("citations"), F.col("py"), F.col("n")
     report = ranked.groupBy(key).agg(
-        *[F.min(p).cast("bigint").alias(p) for p in parents],
+        *[F.min(p).alias(p) for p in parents],
         F.sum(n).alias("publications"),
         F.min(cites).alias("min_citations"),
         round_to(mean(cites), 2).alias("ave_citations"),
@@ -91,10 +93,10 @@ def cluster_report(articles: DataFrame, level: str, country: str = "JP", since:
         round_to(ratio(F.sum(F.when(py >= since, n).otherwise(0)), F.sum(n)), 4).alias("recency_py"),
         F.sum("home").alias("japan_count"),
     )
-    report = report.join(discrete_median(folded, key, "citations", "median_citations"), key, "left") \
-                   .join(discrete_median(folded, key, "py", "median_py"), key, "left")
+    report = report.join(discrete_median(fold, key, "citations", "median_citations"), key, "left") \
+                   .join(discrete_median(fold, key, "py", "median_py"), key, "left")
     for child in children:
-        sizes = child_counts(works, key, child)
+        sizes = child_counts(fold, key, child)
         report = report.join(sizes, key, "left").fillna(0, [sizes.columns[1]])
     return report.select(
         key, *parents, *[c.replace("_cluster", "_clusters") for c in children],
@@ -102,6 +104,17 @@ def cluster_report(articles: DataFrame, level: str, country: str = "JP", since:
         "yearly_rank_citations", "min_py", "ave_py", "median_py", "max_py", "recency_py", "japan_count")
 
 
+def cluster_report(articles: DataFrame, level: str, country: str = "JP", since: int = 2024) -> DataFrame:
+    """Report of one level."""
+    return report_from_fold(fold_articles(articles, country), level, since)
+
+
+def cluster_reports(articles: DataFrame, country: str = "JP", since: int = 2024) -> dict[str, DataFrame]:
+    """Reports of every level from one pass over the corpus."""
+    fold = fold_articles(articles, country)
+    return {level: report_from_fold(fold, level, since) for level in LEVELS}
+
+
 def child_counts(df: DataFrame, parent: str, child: str) -> DataFrame:
     """Distinct children of every parent."""
     return (df.where(F.col(child).isNotNull()).select(parent, child).distinct()
