@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldatlas import derive
 from fieldatlas.catalog import fragments as q
 from fieldatlas.functions.numbers import round_to
-from fieldatlas.operators import graph, reports
+from fieldatlas.operators import communities, graph, reports
 from fieldatlas.plans import clustering, network
 from fieldatlas.session import Scratch
 
@@ -66,12 +66,15 @@ def _sparse(spark: SparkSession, folder: str) -> DataFrame:
     return graph.sparsify(scratch.save(coarse), 0.30, scratch)
 
 
-def _hierarchy(spark: SparkSession, folder: str) -> DataFrame:
-    return clustering.three_levels(derive.lineage_citations(spark, folder))
+def _micro_communities(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark)
+    edges = scratch.save(graph.undirected(derive.lineage_citations(spark, folder)))
+    found = communities.detect(edges, graph.vertices(edges), 10.0, scratch, refine=True)
+    return graph.compacted(found, scratch)
 
 
 def _hierarchy_checks(spark: SparkSession, folder: str) -> DataFrame:
-    found = reports.hierarchy_summary(_hierarchy(spark, folder))
+    found = reports.hierarchy_summary(clustering.three_levels(derive.lineage_citations(spark, folder)))
     return found.drop("micro_clusters", "meso_clusters", "macro_clusters")
 
 
@@ -90,7 +93,7 @@ QUERIES = {
     "local_top_edges": lambda s, d: graph.local_top_edges(_citation_graph(s, d), 0.30, Scratch(s)),
     "spanning_forest_size": _forest_size,
     "sparsified_graph": _sparse,
-    "communities_hierarchy": _hierarchy,
+    "communities_micro": _micro_communities,
     "hierarchy_qc": _hierarchy_checks,
 }
 
@@ -116,6 +119,10 @@ reach(node, component) USING KEY (node) AS (
     JOIN recurring.reach c ON c.node = e.v
   WHERE r.component < c.component GROUP BY e.v)"""
 
+_FAULTS = ("null_meso_docs", "null_macro_docs", "micro_without_meso", "micro_without_macro",
+           "micro_with_multiple_meso", "micro_with_multiple_macro", "meso_without_macro",
+           "meso_with_multiple_macro")
+
 SQL = {
     "dense_index": f"WITH {_INDEX} SELECT id, node_str FROM idx",
     "network_edges": f"""WITH {_INDEX} SELECT f.id AS "from", t.id AS "to", 1 AS weight
@@ -146,9 +153,8 @@ SQL = {
       SELECT DISTINCT least(u, v) AS a, greatest(u, v) AS b FROM r WHERE rn <= (deg * 3 + 9) // 10""",
     "spanning_forest_size": f"""WITH RECURSIVE {_COMPONENTS}
       SELECT count(*) - count(DISTINCT component) AS forest_edges FROM reach""",
-    "hierarchy_qc": """SELECT count(*) AS docs_total, 0 AS null_meso_docs, 0 AS null_macro_docs,
-      0 AS micro_without_meso, 0 AS micro_without_macro, 0 AS micro_with_multiple_meso,
-      0 AS micro_with_multiple_macro, 0 AS meso_without_macro, 0 AS meso_with_multiple_macro FROM orders""",
+    "hierarchy_qc": "SELECT count(*) AS docs_total, " + ", ".join(
+        f"CAST(0 AS BIGINT) AS {name}" for name in _FAULTS) + " FROM orders",
 }
 SQL["induced_edges"] = f"""WITH {q.WORKS},
   n AS (SELECT id FROM works WHERE citations >= 40 AND title LIKE '%red%')
