@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldatlas.catalog import corpus, network, reports
+from fieldatlas.catalog import corpus, network, reports, subqueries
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (reports, corpus, network)
+_MODULES = (reports, corpus, network, subqueries)
 
 
 def all_queries() -> dict[str, Query]:

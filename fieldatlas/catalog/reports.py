@@ -100,7 +100,8 @@ def _thresholds(level: str) -> str:
     values = ", ".join(f"({t})" for t in THRESHOLDS)
     return f"""SELECT '{level}' AS level, CAST(t AS BIGINT) AS threshold,
     count(*) FILTER (WHERE publications > t) AS clusters_above_threshold,
-    {q.rounded('100.0 * count(*) FILTER (WHERE publications > t) / count(*)', 2)} AS pct_clusters_above_threshold,
+    round_even(CAST(100.0 * count(*) FILTER (WHERE publications > t) / count(*) AS DOUBLE) * 100.0, 0) / 100.0
+      AS pct_clusters_above_threshold,
     count(*) AS total_clusters
   FROM report_{level}, (VALUES {values}) v(t) GROUP BY t"""
 

@@ -12,6 +12,12 @@ def round_to(value: Column, digits: int) -> Column:
     return F.floor(value * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
 
 
+def round_even(value: Column, digits: int) -> Column:
+    """Round the scaled binary value, ties to even."""
+    scale = float(10 ** digits)
+    return F.rint(value * F.lit(scale)) / F.lit(scale)
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Double division that is null, not an error, for a zero denominator."""
     return F.when(denominator != 0, numerator.cast("double") / denominator.cast("double"))

@@ -87,3 +87,11 @@ def percent_rank_table(df: DataFrame, key: str, value: str, weight: Column | Non
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the first in the given order."""
     return top_n(df, keys, order, 1)
+
+
+def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str, scratch: Scratch) -> DataFrame:
+    """Interpolated median per group; reads only the middle one or two ranked rows."""
+    ranked = with_group_rank(df.where(F.col(value).isNotNull()).select(*keys, value), keys,
+                             [F.col(value).asc()], "_rank", scratch, size_col="_size")
+    middle = F.col("_rank").between(F.floor((F.col("_size") + 1) / 2), F.floor(F.col("_size") / 2) + 1)
+    return ranked.where(middle).groupBy(*keys).agg(F.avg(value).alias(name))

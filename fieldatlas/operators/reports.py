@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldatlas.functions.numbers import ratio, round_to
+from fieldatlas.functions.numbers import ratio, round_even, round_to
 from fieldatlas.operators.ranking import percent_rank_table, top_n
 from fieldatlas.session import Scratch
 
@@ -268,7 +268,7 @@ def threshold_stats(report: DataFrame, level: str, thresholds: Sequence[int]) ->
     return counts.select("total_clusters", rows.alias("r")).select(
         F.lit(level).alias("level"), F.col("r.threshold").alias("threshold"),
         F.col("r.above").alias("clusters_above_threshold"),
-        round_to(share, 2).alias("pct_clusters_above_threshold"), "total_clusters")
+        round_even(share, 2).alias("pct_clusters_above_threshold"), "total_clusters")
 
 
 def overview(reports: dict[str, DataFrame]) -> DataFrame:
