@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldatlas.catalog import corpus, network, reports, subqueries
+from fieldatlas.catalog import corpus, network, reports, subqueries, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (reports, corpus, network, subqueries)
+_MODULES = (reports, corpus, network, subqueries, texts)
 
 
 def all_queries() -> dict[str, Query]:

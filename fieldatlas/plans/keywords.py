@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.ml.feature import StopWordsRemover
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldatlas.operators.ranking import with_group_rank
+from fieldatlas.operators.ranking import top_n, with_group_rank
 from fieldatlas.session import Scratch
 
 
@@ -17,3 +20,54 @@ def representatives(articles: DataFrame, scratch: Scratch, floor: int = 5, perce
                              "_rank", scratch, size_col="_size")
     share = F.floor((F.col("_size") * percent + 99) / 100)
     return ranked.where(F.col("_rank") <= F.greatest(F.lit(floor), share)).drop("_rank", "_size")
+
+
+# --- class keywords ----------------------------------------------------------
+
+# Fixed value: a token is a run of at least two letters, digits or underscores.
+TOKEN = r"([\p{L}\p{N}_]{2,})"
+
+
+def words(text: Column, stop_words: Sequence[str]) -> Column:
+    """Lower-cased tokens of a text without stop words."""
+    found = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(1))
+    return F.filter(found, lambda w: ~w.isin(*stop_words)) if stop_words else found
+
+
+def word_pairs(found: Column) -> Column:
+    """Neighbouring words joined by a space."""
+    rest = F.greatest(F.size(found) - 1, F.lit(0))
+    return F.zip_with(F.slice(found, 1, rest), F.slice(found, 2, rest),
+                      lambda left, right: F.concat_ws(" ", left, right))
+
+
+def english_stop_words() -> list[str]:
+    return StopWordsRemover.loadDefaultStopWords("english")
+
+
+def class_keywords(docs: DataFrame, label: str, text: str, scratch: Scratch, top: int = 10,
+                   min_df: int = 1, max_terms: int = 100_000,
+                   stop_words: Sequence[str] | None = None) -> DataFrame:
+    """Most distinctive terms of each class: rows ``cluster, keywords``.
+
+    Class TF-IDF (Grootendorst 2022): square root of the share of a term in its
+    class, times ln(1 + mean class size / total count of the term).  ``min_df``
+    counts classes.  The class id is the group key throughout.
+    """
+    stop = english_stop_words() if stop_words is None else list(stop_words)
+    counts = scratch.save(
+        docs.where(F.col(label).isNotNull() & F.col(text).isNotNull())
+        .select(F.col(label).alias("cluster"), words(F.col(text), stop).alias("_words"))
+        .select("cluster", F.explode(F.concat("_words", word_pairs(F.col("_words")))).alias("term"))
+        .groupBy("cluster", "term").agg(F.count(F.lit(1)).alias("n")))
+    vocabulary = (counts.groupBy("term").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"))
+                  .where(F.col("classes") >= min_df)
+                  .orderBy(F.col("total").desc(), "term").limit(max_terms))
+    kept = scratch.save(counts.join(vocabulary.select("term", "total"), "term"))
+    sizes = kept.groupBy("cluster").agg(F.sum("n").alias("size"))
+    mean_size = sizes.agg(F.floor(F.avg("size"))).first()[0] or 0
+    score = F.sqrt(F.col("n") / F.col("size")) * F.log(F.lit(1.0) + F.lit(float(mean_size)) / F.col("total"))
+    scored = kept.join(sizes, "cluster").select("cluster", "term", F.round(score, 9).alias("score"))
+    best = top_n(scored, ["cluster"], [F.col("score").desc(), F.col("term").asc()], top, "rank")
+    listed = best.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("t"))
+    return listed.select("cluster", F.array_join(F.col("t.term"), ", ").alias("keywords"))
