@@ -51,14 +51,14 @@ def with_group_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     """Add the 1-based rank inside each group, for groups of any size."""
     placed = with_position(df, [F.col(k).asc_nulls_last() for k in keys] + list(order), "_pos", scratch)
     starts = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"),
-                                       F.count(F.lit(1)).alias("_size"))
+                                       F.count(F.lit(1)).alias("_members"))
     left, right = placed.alias("l"), starts.alias("r")
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    out = left.join(right, same).select("l.*", "_first", "_size")
+    out = left.join(right, same).select("l.*", "_first", "_members")
     out = out.withColumn(name, F.col("_pos") - F.col("_first") + 1)
     if size_col:
-        out = out.withColumn(size_col, F.col("_size"))
-    return out.drop("_pos", "_first", "_size")
+        out = out.withColumn(size_col, F.col("_members"))
+    return out.drop("_pos", "_first", "_members")
 
 
 def dense_index(df: DataFrame, key: str, name: str, scratch: Scratch) -> DataFrame:
