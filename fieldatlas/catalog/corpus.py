@@ -9,18 +9,23 @@ from fieldatlas import derive
 from fieldatlas.functions import text
 from fieldatlas.functions.numbers import as_number
 from fieldatlas.plans import ingest, subset
-from fieldatlas.sources.readers import parse_works
+from fieldatlas.session import Scratch
+from fieldatlas.sources.readers import read_works
+
+
+def _works(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw works written as JSON lines and read back."""
+    return read_works(spark, Scratch(spark).save_lines(derive.raw_work_lines(spark, folder)))
 
 
 def _nodes(spark: SparkSession, folder: str) -> DataFrame:
-    works = parse_works(derive.raw_work_lines(spark, folder))
-    found = ingest.nodes(works, derive.WORK_PREFIX)
+    found = ingest.nodes(_works(spark, folder), derive.WORK_PREFIX)
     lists = ("countries", "institutions", "institutions_ror", "institutions_type", "authors")
     return found.withColumns({c: text.joined_names(F.col(c), "|") for c in lists})
 
 
 def _edges(spark: SparkSession, folder: str) -> DataFrame:
-    return ingest.edges(parse_works(derive.raw_work_lines(spark, folder)), derive.WORK_PREFIX)
+    return ingest.edges(_works(spark, folder), derive.WORK_PREFIX)
 
 
 def _props(spark: SparkSession, folder: str) -> DataFrame:

@@ -33,18 +33,22 @@ def article_report(nodes: DataFrame, index: DataFrame, clusters: DataFrame) -> D
     )
 
 
-def discrete_median(folded: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Lower median per key from rows that carry a count ``n`` of each value.
+def discrete_medians(folded: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
+    """Lower median per key of each value column, from rows with a count ``n``.
 
-    Works on one row per distinct value, never on the rows of a group.
+    All columns go through one pass, which works on one row per distinct value
+    and never on the rows of a group.
     """
-    counts = folded.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.sum("n").alias("n"))
-    group = Window.partitionBy(key)
-    running = F.sum("n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    return (
-        counts.select(key, value, (running * 2 >= F.sum("n").over(group)).alias("_reached"))
-        .where("_reached").groupBy(key).agg(F.min(value).cast("bigint").alias(name))
-    )
+    entries = F.explode(F.array(*[
+        F.struct(F.lit(v).alias("metric"), F.col(v).cast("bigint").alias("value")) for v in values]))
+    counts = folded.select(key, "n", entries.alias("e")).where("e.value is not null") \
+                   .groupBy(key, "e.metric", "e.value").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(key, "metric")
+    running = F.sum("n").over(group.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    reached = counts.select(key, "metric", "value", (running * 2 >= F.sum("n").over(group)).alias("_reached")) \
+                    .where("_reached")
+    return reached.groupBy(key).agg(*[
+        F.min(F.when(F.col("metric") == v, F.col("value"))).alias(f"median_{v}") for v in values])
 
 
 def fold_articles(articles: DataFrame, country: str = "JP", scratch: Scratch | None = None) -> DataFrame:
@@ -93,11 +97,10 @@ def report_from_fold(fold: DataFrame, level: str, since: int = 2024) -> DataFram
         round_to(ratio(F.sum(F.when(py >= since, n).otherwise(0)), F.sum(n)), 4).alias("recency_py"),
         F.sum("home").alias("japan_count"),
     )
-    report = report.join(discrete_median(fold, key, "citations", "median_citations"), key, "left") \
-                   .join(discrete_median(fold, key, "py", "median_py"), key, "left")
-    for child in children:
-        sizes = child_counts(fold, key, child)
-        report = report.join(sizes, key, "left").fillna(0, [sizes.columns[1]])
+    report = report.join(discrete_medians(fold, key, ["citations", "py"]), key, "left")
+    if children:
+        report = report.join(fold.groupBy(key).agg(*[
+            F.countDistinct(c).alias(c.replace("_cluster", "_clusters")) for c in children]), key)
     return report.select(
         key, *parents, *[c.replace("_cluster", "_clusters") for c in children],
         "publications", "min_citations", "ave_citations", "median_citations", "max_citations",

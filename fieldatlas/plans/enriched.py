@@ -68,15 +68,18 @@ def records(articles: DataFrame, chosen: DataFrame, names: DataFrame, colors: Da
             macro_report: DataFrame, scratch: Scratch, fallbacks: Sequence[DataFrame] = (),
             with_abstract: bool = True, limit: int = 200_000, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Sampled records with enriched text, and the macro display table."""
-    docs = backfill(restrict(articles, chosen, "micro_cluster"), fallbacks) \
-        .withColumnRenamed("id", "paper_id").where(F.col("macro_cluster").isNotNull())
-    display = scratch.save(macro_display(docs, names, colors, macro_report, scratch))
+    # Every macro has a name, so no text is ever empty: the sample can be drawn
+    # from the ids alone, and titles and abstracts are fetched for it only.
+    docs = restrict(articles, chosen, "micro_cluster").where(F.col("macro_cluster").isNotNull())
+    ids = scratch.save(docs.select("id", "macro_cluster"))
+    display = scratch.save(macro_display(ids, names, colors, macro_report, scratch))
+    sampled = scratch.save(stratified_sample(ids, "macro_cluster", "id", limit, seed, scratch))
+    fetched = backfill(restrict(docs, sampled, "id"), [restrict(t, sampled, "id") for t in fallbacks])
     body = F.col("abstract") if with_abstract else None
-    told = docs.join(display.select("macro_cluster", "display_id", "macro_name", "color_hex"), "macro_cluster") \
-        .withColumn("text_enriched", text.enriched_text(F.col("macro_name"), F.col("title"), body)) \
-        .where("text_enriched <> ''").select(*RECORD_COLUMNS)
-    sampled = stratified_sample(told, "macro_cluster", "paper_id", limit, seed, scratch)
-    return sampled.select(*RECORD_COLUMNS).orderBy("display_id", "macro_cluster", "paper_id"), display
+    told = fetched.withColumnRenamed("id", "paper_id") \
+        .join(display.select("macro_cluster", "display_id", "macro_name", "color_hex"), "macro_cluster") \
+        .withColumn("text_enriched", text.enriched_text(F.col("macro_name"), F.col("title"), body))
+    return told.select(*RECORD_COLUMNS).orderBy("display_id", "macro_cluster", "paper_id"), display
 
 
 def keyword_texts(works: DataFrame, meso_keywords: DataFrame, macro_keywords: DataFrame,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldatlas.operators.ranking import top_n, with_group_rank
-from fieldatlas.session import Scratch
+from fieldatlas.session import Scratch, widened
 
 
 def representatives(articles: DataFrame, scratch: Scratch, floor: int = 5, percent: int = 1) -> DataFrame:
@@ -56,7 +56,7 @@ def class_keywords(docs: DataFrame, label: str, text: str, scratch: Scratch, top
     """
     stop = english_stop_words() if stop_words is None else list(stop_words)
     counts = scratch.save(
-        docs.where(F.col(label).isNotNull() & F.col(text).isNotNull())
+        widened(docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(label, text))
         .select(F.col(label).alias("cluster"), words(F.col(text), stop).alias("_words"))
         .select("cluster", F.explode(F.concat("_words", word_pairs(F.col("_words")))).alias("term"))
         .groupBy("cluster", "term").agg(F.count(F.lit(1)).alias("n")))

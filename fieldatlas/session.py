@@ -45,6 +45,12 @@ def scratch_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+def widened(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than cores before work that is heavy per row."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Scratch:
     """Writes intermediate tables and reads them back with a short plan."""
 
@@ -62,6 +68,13 @@ class Scratch:
         self._paths[id(table)] = path
         return table
 
+    def save_lines(self, df: DataFrame) -> str:
+        """Write a one-column text table and return its folder."""
+        self._count += 1
+        path = f"{self.root}/t{self._count}"
+        df.write.text(path)
+        return path
+
     def drop(self, table: DataFrame | None) -> None:
         """Remove a scratch table that nothing reads any more."""
         path = self._paths.pop(id(table), None)
