@@ -97,6 +97,12 @@ def _batches(spark: SparkSession, folder: str) -> DataFrame:
     return naming.batches(ids, "micro_cluster", Scratch(spark))
 
 
+def _macro_requests(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = derive.table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("macro_cluster")) \
+                  .agg(F.count(F.lit(1)).alias("publications"))
+    return naming.macro_requests(sizes, Scratch(spark))
+
+
 def _raw_names(spark: SparkSession, folder: str) -> DataFrame:
     """Market segment of every customer as the answer for its nation; most collide."""
     return derive.table(spark, folder, "customer").select(
@@ -215,6 +221,7 @@ QUERIES = {
     "naming_context": _macro_inputs,
     "naming_requests": _requests,
     "naming_batches": _batches,
+    "naming_macro_requests": _macro_requests,
     "name_coverage": _coverage,
     "name_finalise": _final_names,
     "label_parse": _answers,
@@ -351,6 +358,10 @@ SQL = {
       FROM customer LEFT JOIN l ON micro_cluster = c_custkey""",
     "naming_batches": """SELECT c_custkey AS micro_cluster, (row_number() OVER (ORDER BY c_custkey) - 1) // 8 AS batch
       FROM customer""",
+    "naming_macro_requests": """WITH s AS (SELECT o_custkey, count(*) AS n,
+        (row_number() OVER (ORDER BY o_custkey) - 1) // 8 AS batch FROM orders GROUP BY 1)
+      SELECT batch, '[' || string_agg('{"macro_cluster":' || o_custkey || ',"publications":' || n || '}', ','
+        ORDER BY o_custkey) || ']' AS clusters FROM s GROUP BY 1""",
     "name_coverage": """SELECT DISTINCT o_custkey AS micro_cluster, 'missing' AS status FROM orders
         WHERE o_custkey NOT IN (SELECT p_partkey FROM part)
       UNION ALL SELECT DISTINCT p_partkey, 'unexpected' FROM part WHERE p_partkey NOT IN (SELECT o_custkey FROM orders)""",

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldatlas.operators import communities, graph
+from fieldatlas.operators.reports import level_counts
 from fieldatlas.session import Scratch
+from fieldatlas.sources.writers import write_manifest, write_tsv
 
 
 def compose(micro: DataFrame, meso: DataFrame, macro: DataFrame) -> DataFrame:
@@ -72,3 +74,12 @@ def _upper_level(edges: DataFrame, labels: DataFrame, gamma: float, keep: float,
     nodes = scratch.save(labels.select(F.col("community").alias("node")).distinct())
     found = communities.detect(pruned, nodes, gamma, scratch, rounds=rounds, seed=seed, connected=True)
     return scratch.save(graph.compacted(found, scratch)), raw, pruned
+
+
+def export_clusters(clusters: DataFrame, path: str, **facts: str) -> dict:
+    """Write the assignment as TSV with a header and append its counts to the manifests."""
+    write_tsv(clusters.select("node_id", "micro_cluster", "meso_cluster", "macro_cluster"),
+              f"{path}/clusters", header=True)
+    manifest = {**facts, **level_counts(clusters).first().asDict()}
+    write_manifest(clusters.sparkSession, manifest, f"{path}/manifests")
+    return manifest

@@ -86,6 +86,17 @@ def batches(inputs: DataFrame, key: str, scratch: Scratch, size: int = 8) -> Dat
     return placed.withColumn("batch", F.floor(F.col("_pos") / size)).drop("_pos")
 
 
+def macro_requests(inputs: DataFrame, scratch: Scratch, size: int = 8) -> DataFrame:
+    """One request per batch of macro clusters: their naming rows as a JSON list.
+
+    A list holds at most ``size`` rows.
+    """
+    fields = [c for c in inputs.columns if c != "macro_cluster"]
+    rows = batches(inputs, "macro_cluster", scratch, size)
+    listed = rows.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("macro_cluster", *fields))).alias("items"))
+    return listed.select("batch", F.to_json("items").alias("clusters"))
+
+
 def parse_answers(answers: DataFrame) -> DataFrame:
     """Columns of JSON answers, or an error marker; input ``custom_id, content, refusal``."""
     parsed = answers.withColumn("p", F.from_json("content", ANSWER))

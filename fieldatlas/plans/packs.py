@@ -12,7 +12,7 @@ from fieldatlas.operators.ranking import first_per_key, top_n, with_group_rank
 from fieldatlas.operators.reports import cluster_column, entity_stats, top_articles
 from fieldatlas.operators.selection import restrict, sort_by_code, with_cluster_codes, with_display_ids
 from fieldatlas.session import Scratch
-from fieldatlas.sources.writers import write_csv, write_table
+from fieldatlas.sources.writers import write_csv, write_json, write_table
 
 NAME_FIELDS = ("short_name", "name", "description")
 _NO_NAMES = T.StructType([T.StructField("cluster", T.LongType())]
@@ -209,6 +209,15 @@ def payload_totals(clusters: DataFrame) -> DataFrame:
         .alias("total_macro_clusters"))
 
 
+def write_report(clusters: DataFrame, target: str) -> None:
+    """Write clusters, series and totals of a nested report as JSON lines."""
+    scratch = Scratch(clusters.sparkSession)
+    clusters = scratch.save(clusters)
+    write_json(clusters, f"{target}/clusters")
+    write_json(scatter_series(clusters, scratch), f"{target}/series")
+    write_json(payload_totals(clusters), f"{target}/totals")
+
+
 def scatter_series(clusters: DataFrame, scratch: Scratch, by_macro: bool = True) -> DataFrame:
     """Points of every series in drawing order, one row per point.
 

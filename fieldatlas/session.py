@@ -58,14 +58,13 @@ class Scratch:
         self.spark = spark
         self.root = f"{scratch_folder(spark).rstrip('/')}/fieldatlas-{uuid.uuid4().hex}"
         self._count = 0
-        self._paths: dict[int, str] = {}
 
     def save(self, df: DataFrame) -> DataFrame:
         self._count += 1
         path = f"{self.root}/t{self._count}"
         df.write.parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(table)] = path
+        table._scratch_path = path
         return table
 
     def save_lines(self, df: DataFrame) -> str:
@@ -77,7 +76,7 @@ class Scratch:
 
     def drop(self, table: DataFrame | None) -> None:
         """Remove a scratch table that nothing reads any more."""
-        path = self._paths.pop(id(table), None)
+        path = table.__dict__.pop("_scratch_path", None) if table is not None else None
         if path is not None:
             target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             conf = self.spark._jsc.hadoopConfiguration()

@@ -138,6 +138,14 @@ def test_three_levels_cover_the_largest_component_once(spark):
         assert parents.setdefault(("s", r.meso_cluster), r.macro_cluster) == r.macro_cluster
 
 
+def test_cluster_export(spark, tmp_path):
+    clusters = spark.createDataFrame([(5, 0, 0, 0), (6, 1, 0, 0)], readers.schemas.CLUSTERS)
+    manifest = clustering.export_clusters(clusters, str(tmp_path), query="q")
+    assert manifest["rows_total"] == 2 and manifest["distinct_micro"] == 2
+    assert readers.read_clusters(spark, f"{tmp_path}/clusters").count() == 2
+    assert '"query": "q"' in spark.read.text(f"{tmp_path}/manifests").first()[0]
+
+
 def test_domain_and_totality_checks(spark):
     with pytest.raises(RuntimeError, match="dense"):
         clustering.check_domain(spark.createDataFrame([(0,), (2,)], "c bigint"), "micro")

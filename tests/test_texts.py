@@ -210,3 +210,23 @@ def test_level_sheet_prefers_given_names(spark, scratch):
     rows = [(r.cluster_code, r.macro_cluster, r.name, r.short_name) for r in
             packs.cluster_sheet(rep, "macro", scratch, given).collect()]
     assert rows == [("1", 2, "keep", ""), ("2", 1, "new", "s")]
+
+
+def test_pack_and_report_files(spark, scratch, small, tmp_path):
+    from fieldatlas import derive
+    from fieldatlas.catalog.charts import _clusters
+    from fieldatlas.operators import reports
+    from fieldatlas.sources.readers import read_optional
+
+    works = scratch.save(derive.works(spark, small))
+    found = reports.cluster_reports(works, derive.HOME_COUNTRY, derive.RECENT_YEAR)
+    meta = derive.document_nodes(spark, small).select(
+        F.col("id").alias("article_id"), F.array("language").alias("authors"), "publication_source", "abstract")
+    counts = packs.write_pack(works, found, meta, str(tmp_path), "s", "q", "all", packs.country_table(spark))
+    assert counts["macro"] == {"article_report_top20": 100, "cluster_profile": 5}
+    info = {r.item: r.value for r in spark.read.csv(f"{tmp_path}/meso/info", header=True).collect()}
+    assert info["documents"] == "1500" and info["clusters"] == "25"
+    packs.write_report(_clusters(spark, small, scratch), f"{tmp_path}/report")
+    totals = spark.read.json(f"{tmp_path}/report/totals").first()
+    assert totals.total_publications == 1500 and totals.total_macro_clusters == 5
+    assert read_optional(spark, f"{tmp_path}/macro/cluster_profile", "a int").count() == 5
