@@ -30,6 +30,10 @@ faulty AS (
   FROM works)"""
 
 
+FLAT_LISTS = ("coalesce(array_to_string(countries, '|'), '') AS countries, "
+              "coalesce(array_to_string(institutions, '|'), '') AS institutions")
+
+
 def rounded(expression: str, digits: int) -> str:
     scale = f"{10 ** digits}.0"
     return f"floor(CAST({expression} AS DOUBLE) * {scale} + 0.5) / {scale}"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas import derive
 from fieldatlas.catalog import fragments as q
+from fieldatlas.functions.text import joined_names
 from fieldatlas.operators import reports
 from fieldatlas.plans import migrate
 
@@ -18,13 +19,18 @@ def report(spark: SparkSession, folder: str, level: str) -> DataFrame:
                                   country=derive.HOME_COUNTRY, since=derive.RECENT_YEAR)
 
 
+def flat_lists(articles: DataFrame) -> DataFrame:
+    """Array cells as text, so that both engines print them alike."""
+    return articles.withColumns({c: joined_names(F.col(c), "|") for c in ("countries", "institutions")})
+
+
 def _article_report(spark: SparkSession, folder: str) -> DataFrame:
     works = derive.works(spark, folder)
     nodes = works.drop("micro_cluster", "meso_cluster", "macro_cluster")
     number = F.substring("id", 2, 20).cast("bigint")
     index = works.select(number.alias("id"), F.col("id").alias("node_str"))
     clusters = works.select(number.alias("node_id"), "micro_cluster", "meso_cluster", "macro_cluster")
-    return reports.article_report(nodes, index, clusters)
+    return flat_lists(reports.article_report(nodes, index, clusters))
 
 
 def _size_distribution(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,7 +113,7 @@ def _thresholds(level: str) -> str:
 
 
 SQL = {
-    "article_report": f"WITH {q.WORKS} SELECT * FROM works",
+    "article_report": f"WITH {q.WORKS} SELECT * REPLACE ({q.FLAT_LISTS}) FROM works",
     **{f"cluster_report_{level}": f"WITH {q.WORKS}, {q.report(level)} SELECT * FROM report_{level}"
        for level in ("micro", "meso", "macro")},
     "audit_coverage": f"""WITH {q.FAULTY} SELECT count(*) AS docs_total,

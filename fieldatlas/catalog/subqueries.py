@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas import derive
 from fieldatlas.catalog import fragments as q
-from fieldatlas.catalog.reports import all_reports, report
+from fieldatlas.catalog.reports import all_reports, flat_lists, report
 from fieldatlas.functions.numbers import round_to
 from fieldatlas.operators import selection
 from fieldatlas.operators.reports import entity_stats, top_articles
@@ -116,7 +116,7 @@ QUERIES = {
     "top_countries": lambda s, d: entity_stats(derive.works(s, d), "micro_cluster", "countries", "country", 20),
     "top_institutions": lambda s, d: entity_stats(derive.works(s, d), "meso_cluster", "institutions",
                                                   "institution", 20),
-    "subset_article_top10": _subset("article_top10"),
+    "subset_article_top10": lambda s, d: flat_lists(_subset_tables(s, d)["article_top10"]),
     "subset_report_meso": _subset("cluster_report_meso"),
     "subset_top_countries": _subset("top_countries"),
     "subquery_summary": _subquery_summary,
@@ -152,7 +152,8 @@ _OWN = f"""own AS (SELECT DISTINCT id, title, publication_year, citations, micro
   FROM works WHERE list_contains(institutions, '{INSTITUTION}')),
 shown AS (SELECT *, row_number() OVER (ORDER BY publications DESC, yearly_rank_citations DESC, micro_cluster)
   AS display_id FROM report_micro)"""
-_ARTICLES = "id, title, citations, countries, institutions, micro_cluster, meso_cluster, macro_cluster, publication_year"
+_ARTICLES = ("id, title, citations, micro_cluster, meso_cluster, macro_cluster, publication_year, "
+             + q.FLAT_LISTS)
 
 SQL = {
     "topic_search": f"""WITH {q.MICRO}, {_SCORES}

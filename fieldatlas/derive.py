@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldatlas.operators.joins import lookup
 from fieldatlas.session import widened
 
 HOME_COUNTRY = "NATION_3"
@@ -87,7 +88,7 @@ def opening_citations(spark: SparkSession, folder: str) -> DataFrame:
     """Each order cites the first order of its customer; one component per customer."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     first = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("opening"))
-    return (orders.join(first, "o_custkey").where("o_orderkey <> opening")
+    return (lookup(orders, first, "o_custkey").where("o_orderkey <> opening")
             .select(F.col("o_orderkey").alias("src"), F.col("opening").alias("dst"),
                     F.lit(1.0).alias("weight")))
 

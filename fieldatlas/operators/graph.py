@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldatlas.operators.joins import lookup
 from fieldatlas.operators.ranking import dense_index, with_group_rank
 from fieldatlas.session import Scratch
 
@@ -75,14 +76,14 @@ def _large_star(table: DataFrame) -> DataFrame:
     ends = table.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
         table.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
     lowest = ends.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return table.select(F.col("lo").alias("u"), F.col("hi").alias("v")).join(lowest, "u") \
+    return table.select(F.col("lo").alias("u"), F.col("hi").alias("v")).transform(lookup, lowest, "u") \
                 .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
 
 
 def _small_star(table: DataFrame) -> DataFrame:
     """Link each vertex and its smaller neighbours to the smallest of them."""
     lowest = table.groupBy("hi").agg(F.min("lo").alias("m"))
-    moved = table.join(lowest, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+    moved = lookup(table, lowest, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
     return moved.unionAll(lowest.select("hi", F.col("m").alias("lo"))).distinct()
 
 

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldatlas.operators.joins import lookup
 from fieldatlas.session import Scratch
 
 # monotonically_increasing_id keeps the partition number above bit 33.
@@ -52,9 +53,7 @@ def with_group_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     placed = with_position(df, [F.col(k).asc_nulls_last() for k in keys] + list(order), "_pos", scratch)
     starts = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"),
                                        F.count(F.lit(1)).alias("_members"))
-    left, right = placed.alias("l"), starts.alias("r")
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    out = left.join(right, same).select("l.*", "_first", "_members")
+    out = lookup(placed, starts, keys)
     out = out.withColumn(name, F.col("_pos") - F.col("_first") + 1)
     if size_col:
         out = out.withColumn(size_col, F.col("_members"))

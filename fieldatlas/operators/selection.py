@@ -68,8 +68,12 @@ def at_least(report: DataFrame, size: int) -> DataFrame:
 
 
 def restrict(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is among the ids."""
-    return df.join(ids.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
+    """Rows whose key is among the ids.
+
+    The ids are not made distinct first: a semi join ignores copies, and ids
+    left as they are keep a hot key of ``df`` open to being split.
+    """
+    return df.join(ids.select(key).where(F.col(key).isNotNull()), key, "left_semi")
 
 
 def cosine_scores(centroids: DataFrame, query: Iterable[float], key: str = "micro_cluster",

@@ -8,6 +8,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldatlas.operators.joins import lookup
 from fieldatlas.operators.ranking import top_n, with_group_rank
 from fieldatlas.session import Scratch, widened
 
@@ -67,7 +68,7 @@ def class_keywords(docs: DataFrame, label: str, text: str, scratch: Scratch, top
     sizes = kept.groupBy("cluster").agg(F.sum("n").alias("size"))
     mean_size = sizes.agg(F.floor(F.avg("size"))).first()[0] or 0
     score = F.sqrt(F.col("n") / F.col("size")) * F.log(F.lit(1.0) + F.lit(float(mean_size)) / F.col("total"))
-    scored = kept.join(sizes, "cluster").select("cluster", "term", F.round(score, 9).alias("score"))
+    scored = lookup(kept, sizes, "cluster").select("cluster", "term", F.round(score, 9).alias("score"))
     best = top_n(scored, ["cluster"], [F.col("score").desc(), F.col("term").asc()], top, "rank")
     listed = best.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("t"))
     return listed.select("cluster", F.array_join(F.col("t.term"), ", ").alias("keywords"))
