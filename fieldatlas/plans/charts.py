@@ -11,6 +11,7 @@ from fieldatlas.functions import text
 from fieldatlas.functions.codes import display_label, main_code, tail_clean_code
 from fieldatlas.functions.colors import CHART_GREY, GREY, palette_color, ramp_lightness, shade
 from fieldatlas.functions.numbers import as_id, as_number, sqrt_scale
+from fieldatlas.operators.joins import lookup
 from fieldatlas.operators.ranking import first_per_key, group_median, top_n, with_group_rank, with_position
 from fieldatlas.operators.reports import child_counts
 from fieldatlas.operators.selection import with_cluster_codes
@@ -138,7 +139,7 @@ def map_layers(coords: dict[str, DataFrame], micro_report: DataFrame) -> DataFra
               for level, df in (("micro", micro), ("meso", meso), ("macro", macro))]
     rows = reduce(DataFrame.unionByName, layers)
     span = rows.groupBy("layer").agg(F.min("size").alias("_low"), F.max("size").alias("_high"))
-    return rows.join(span, "layer").withColumn(
+    return lookup(rows, span, "layer").withColumn(
         "marker", sqrt_scale(F.col("size"), F.col("_low"), F.col("_high"), 20.0, 400.0)).drop("_low", "_high")
 
 
@@ -148,7 +149,7 @@ def labelled_points(docs: DataFrame, coords: DataFrame, meta: DataFrame) -> Data
     ``meta`` has cluster, cluster_code, cluster_name and global_name.
     """
     facts = first_per_key(meta, ["cluster"], [F.col("cluster_code").asc_nulls_last()])
-    rows = docs.join(coords, "id").join(facts.withColumn("matched", F.lit(True)), "cluster", "left")
+    rows = lookup(docs.join(coords, "id"), facts.withColumn("matched", F.lit(True)), "cluster", "left")
     code = F.coalesce("cluster_code", F.col("cluster").cast("string"))
     return rows.select("id", "cluster", "x", "y", code.alias("cluster_code"), main_code(code).alias("main_cluster"),
                        display_label(code, F.col("global_name"), F.col("cluster_name")).alias("label"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas.functions import text
 from fieldatlas.functions.colors import stored_or_stable
+from fieldatlas.operators.joins import lookup
 from fieldatlas.operators.ranking import first_per_key, with_position
 from fieldatlas.operators.sampling import stratified_sample
 from fieldatlas.operators.selection import restrict
@@ -87,7 +88,8 @@ def keyword_texts(works: DataFrame, meso_keywords: DataFrame, macro_keywords: Da
     """Titles weighted up with their parents' keywords."""
     meso = meso_keywords.select(F.col("cluster").alias("meso_cluster"), F.col("keywords").alias("_meso"))
     macro = macro_keywords.select(F.col("cluster").alias("macro_cluster"), F.col("keywords").alias("_macro"))
-    return works.join(meso, "meso_cluster", "left").join(macro, "macro_cluster", "left").select(
+    told = lookup(lookup(works, meso, "meso_cluster", "left"), macro, "macro_cluster", "left")
+    return told.select(
         "id", text.keyword_boosted_text(F.col("title"), F.col("_meso"), F.col("_macro"), times).alias("text"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas.functions import text
 from fieldatlas.functions.colors import stable_color
+from fieldatlas.operators.joins import lookup
 from fieldatlas.operators.ranking import first_per_key, top_n, with_position
 from fieldatlas.session import Scratch
 
@@ -128,10 +129,10 @@ def unique_names(names: DataFrame, scratch: Scratch, key: str = "macro_cluster",
     marked = F.concat(F.col("name"), F.lit(" ("), F.col(key).cast("string"), F.lit(")"))
     if exact:
         counts = names.groupBy("name").agg(F.count(F.lit(1)).alias("_n"))
-        return names.join(counts, "name").withColumn("name", F.when(F.col("_n") > 1, marked)
+        return lookup(names, counts, "name").withColumn("name", F.when(F.col("_n") > 1, marked)
                                                      .otherwise(F.col("name"))).drop("_n")
     first = names.groupBy(F.lower("name").alias("_lower")).agg(F.min(key).alias("_first"))
-    tagged = names.withColumn("_lower", F.lower("name")).join(first, "_lower")
+    tagged = lookup(names.withColumn("_lower", F.lower("name")), first, "_lower")
     state = scratch.save(tagged.withColumn("_mark", F.col(key) != F.col("_first")).drop("_first"))
     while True:
         made = state.where("_mark").select(F.lower(marked).alias("_lower"), F.col(key).alias("_by")) \
