@@ -81,15 +81,14 @@ def _facets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _codes(spark: SparkSession, folder: str) -> DataFrame:
-    """Nation codes 'region-nation' with the marks older files carry."""
-    n = derive.table(spark, folder, "nation")
-    mark = F.when(F.col("n_nationkey") % 3 == 0, "---").when(F.col("n_nationkey") % 3 == 1, "-0").otherwise("")
-    return n.select(
-        F.concat(F.col("n_regionkey").cast("string"), F.lit("-"), F.col("n_nationkey").cast("string"), mark)
-        .alias("cluster_code"),
-        F.when(F.col("n_nationkey") % 4 == 0, F.lit(" nan ")).when(F.col("n_nationkey") % 4 == 1, F.lit(None))
-        .otherwise(F.concat(F.lit("Field of "), F.col("n_name"))).alias("global_name"),
-        F.when(F.col("n_nationkey") % 8 != 0, F.col("n_name")).otherwise("").alias("cluster_name"))
+    """Part codes 'brand-part' with the marks older files carry."""
+    part, at = derive.table(spark, folder, "part"), F.col("p_partkey")
+    mark = F.when(at % 3 == 0, "---").when(at % 3 == 1, "-0").otherwise("")
+    return part.select(
+        F.concat(F.substring_index("p_brand", "#", -1), F.lit("-"), at.cast("string"), mark).alias("cluster_code"),
+        F.when(at % 4 == 0, F.lit(" nan ")).when(at % 4 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("Field of "), F.col("p_name"))).alias("global_name"),
+        F.when(at % 8 != 0, F.col("p_name")).otherwise("").alias("cluster_name"))
 
 
 def _cluster_labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -252,10 +251,11 @@ def _scatter_sql(level: str) -> str:
 
 _POINTS = """pts AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS cluster, CAST(embedding[1] AS DOUBLE) AS x,
   CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)"""
-_CODES = """codes AS (SELECT n_nationkey AS k, n_regionkey AS r, n_regionkey || '-' || n_nationkey AS bare,
-  n_regionkey || '-' || n_nationkey || CASE n_nationkey % 3 WHEN 0 THEN '---' WHEN 1 THEN '-0' ELSE '' END AS cluster_code,
-  CASE WHEN n_nationkey % 4 IN (0, 1) THEN NULL ELSE 'Field of ' || n_name END AS gn,
-  CASE WHEN n_nationkey % 8 <> 0 THEN n_name END AS cn FROM nation)"""
+_CODES = """codes AS (SELECT CAST(split_part(p_brand, '#', 2) AS INTEGER) AS r,
+  split_part(p_brand, '#', 2) || '-' || p_partkey
+    || CASE p_partkey % 3 WHEN 0 THEN '---' WHEN 1 THEN '-0' ELSE '' END AS cluster_code,
+  CASE WHEN p_partkey % 4 IN (0, 1) THEN NULL ELSE 'Field of ' || p_name END AS gn,
+  CASE WHEN p_partkey % 8 <> 0 THEN p_name END AS cn FROM part)"""
 _MICRO_CODES = """mr AS (SELECT macro_cluster, row_number() OVER (ORDER BY sum(publications) DESC, macro_cluster) AS m
   FROM report_micro GROUP BY 1),
 sheet AS (SELECT r.*, m AS macro_cluster_id,

@@ -140,6 +140,14 @@ def test_topics(spark, topic, ids):
     assert sorted(r.id for r in found.collect()) == ids.split()
 
 
+def test_topic_filter_reaches_the_scan(spark, tmp_path):
+    writers.write_table(nodes(spark), str(tmp_path / "n"), partition_by=["publication_year"])
+    stored = spark.read.parquet(str(tmp_path / "n"))
+    plan = subset.nodes_query(stored, subset.topic_named("cities"))._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(type_openalex,article)" in plan and "EqualTo(language,en)" in plan
+    assert "PartitionFilters: [isnotnull(publication_year" in plan
+
+
 def test_subset_build_and_validation(spark, tmp_path):
     edges = spark.createDataFrame([("1", "2", 1), ("1", "6", 1)], "from string, to string, weight int")
     topic = subset.topic_named("all_articles")
