@@ -143,7 +143,9 @@ def test_topics(spark, topic, ids):
 def test_topic_filter_reaches_the_scan(spark, tmp_path):
     writers.write_table(nodes(spark), str(tmp_path / "n"), partition_by=["publication_year"])
     stored = spark.read.parquet(str(tmp_path / "n"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = subset.nodes_query(stored, subset.topic_named("cities"))._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "EqualTo(type_openalex,article)" in plan and "EqualTo(language,en)" in plan
     assert "PartitionFilters: [isnotnull(publication_year" in plan
 
