@@ -7,6 +7,8 @@ setting is absent and the master is local, as in tests.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -42,6 +44,7 @@ def scratch_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="fieldatlas-")
+        atexit.register(shutil.rmtree, _local_folder, True)
     return _local_folder
 
 
@@ -52,16 +55,29 @@ def widened(df: DataFrame) -> DataFrame:
 
 
 class Scratch:
-    """Writes intermediate tables and reads them back with a short plan."""
+    """Writes intermediate tables and reads them back with a short plan.
+
+    What is still there when the driver ends is removed with it.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{scratch_folder(spark).rstrip('/')}/fieldatlas-{uuid.uuid4().hex}"
         self._count = 0
+        folder, files = self._files(self.root)
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def _files(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _next(self) -> str:
         self._count += 1
-        path = f"{self.root}/t{self._count}"
+        return f"{self.root}/t{self._count}"
+
+    def save(self, df: DataFrame) -> DataFrame:
+        path = self._next()
         df.write.parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
         table._scratch_path = path
@@ -69,8 +85,7 @@ class Scratch:
 
     def save_lines(self, df: DataFrame) -> str:
         """Write a one-column text table and return its folder."""
-        self._count += 1
-        path = f"{self.root}/t{self._count}"
+        path = self._next()
         df.write.text(path)
         return path
 
@@ -78,6 +93,5 @@ class Scratch:
         """Remove a scratch table that nothing reads any more."""
         path = table.__dict__.pop("_scratch_path", None) if table is not None else None
         if path is not None:
-            target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            conf = self.spark._jsc.hadoopConfiguration()
-            target.getFileSystem(conf).delete(target, True)
+            target, files = self._files(path)
+            files.delete(target, True)
