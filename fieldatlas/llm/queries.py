@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldatlas.llm import toxicity
+from fieldatlas.llm import toxicity, windows
 from fieldatlas.llm.frames import table
 from fieldatlas.session import Scratch
 
@@ -24,5 +24,24 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {"op8_toxicity": op8_toxicity}
-SQL: dict[str, str] = {}
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return windows.deduplicated(table(spark, folder, "documents"), Scratch(spark))[0]
+
+
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+OP10_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+firsts AS (SELECT s, min(doc_id) AS first FROM win GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM win JOIN firsts USING (s) WHERE doc_id > first),
+gone_of AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS s FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN gone_of USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+QUERIES = {"op8_toxicity": op8_toxicity, "op10_substring_dedup": op10_substring_dedup}
+SQL: dict[str, str] = {"op10_substring_dedup": OP10_SQL}
