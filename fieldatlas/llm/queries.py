@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldatlas.llm import toxicity, windows
+from fieldatlas.llm import setjoin, toxicity, windows
 from fieldatlas.llm.frames import table
 from fieldatlas.session import Scratch
 
@@ -28,6 +28,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return windows.deduplicated(table(spark, folder, "documents"), Scratch(spark))[0]
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return setjoin.components(table(spark, folder, "documents"), Scratch(spark), size=3, percent=90)
+
+
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 OP10_SQL = f"""
@@ -43,5 +47,22 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_
        sha256(coalesce(s, '')) AS kept_sha256
 FROM d LEFT JOIN gone_of USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
-QUERIES = {"op8_toxicity": op8_toxicity, "op10_substring_dedup": op10_substring_dedup}
-SQL: dict[str, str] = {"op10_substring_dedup": OP10_SQL}
+OP6_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+                                "'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+           FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+          WHERE 100 * c >= 90 * (p.n + q.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION
+          SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a)
+SELECT a AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a"""
+
+QUERIES = {"op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op10_substring_dedup": op10_substring_dedup}
+SQL: dict[str, str] = {"op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}
