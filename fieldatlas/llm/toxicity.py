@@ -269,7 +269,7 @@ def toxicity(documents: DataFrame, labelled: DataFrame, labels: DataFrame, scrat
     known = scratch.save(known)
     fold = F.pmod(F.crc32(F.concat(F.lit("fold"), F.col("doc_id").cast("string"))), F.lit(5))
     texts = labelled.where(F.col("doc_id").isNotNull() & (fold != 4)).select("doc_id", "text")
-    model = train(texts.join(known, "doc_id"), scratch)
+    model = train(texts.join(known.hint("shuffle_hash"), "doc_id"), scratch)
     if model is None:
         least = known.agg(F.min("toxic")).first()[0]
         return documents.select(*keep, F.lit(1.0 if least == 1 else 0.0).alias(score))
