@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldatlas.llm import setjoin, toxicity, windows
+from fieldatlas.llm import mixing, setjoin, toxicity, windows
 from fieldatlas.llm.frames import table
 from fieldatlas.session import Scratch
 
@@ -64,5 +64,62 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION
 SELECT a AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id
 FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a"""
 
-QUERIES = {"op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op10_substring_dedup": op10_substring_dedup}
-SQL: dict[str, str] = {"op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}
+# op7: four domains of sources, languages in them, sources in those
+MIX_WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
+               "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.6, 3, 17
+MIX_LEVELS = ("domain", "lang", "source")
+
+
+def domain_of_source() -> Column:
+    digit = F.conv(F.substring(F.md5(F.coalesce("source", F.lit(""))), 1, 1), 16, 10).cast("int")
+    return F.concat(F.lit("domain"), (digit % 4).cast("string"))
+
+
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").withColumn("domain", domain_of_source())
+    return mixing.selected(documents, MIX_LEVELS, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED,
+                           Scratch(spark)).drop("_tag")
+
+
+def _sql_weight(level: str) -> str:
+    cases = " ".join(f"WHEN '{value}' THEN {float(weight)}" for value, weight in MIX_WEIGHTS.get(level, {}).items())
+    return f"CASE {level} {cases} ELSE 1.0 END" if cases else "1.0"
+
+
+def _sql_level(depth: int) -> str:
+    """Budgets of one level of the tree from those of the level above."""
+    path, parent = ", ".join(MIX_LEVELS[:depth]), ", ".join(MIX_LEVELS[:depth - 1])
+    above = f"JOIN b{depth - 1} USING ({parent})" if parent else \
+        f"CROSS JOIN (SELECT floor({MIX_SHARE} * sum(tokens))::DOUBLE AS budget FROM leaves)"
+    group = f"PARTITION BY {parent}" if parent else ""
+    return f"""
+n{depth} AS (SELECT *, capacity / weight AS ratio FROM (
+    SELECT {path}, sum(tokens) * {MIX_EPOCHS} AS capacity, {_sql_weight(MIX_LEVELS[depth - 1])}::DOUBLE AS weight
+    FROM leaves GROUP BY {path}) {above}),
+s{depth} AS (SELECT *, capacity * sum(weight) OVER later <= weight * (budget - coalesce(sum(capacity) OVER sooner, 0))
+      AS short FROM n{depth} WINDOW
+    later AS ({group} ORDER BY ratio, {path} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+    sooner AS ({group} ORDER BY ratio, {path} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+b{depth} AS (SELECT {path}, CASE WHEN short THEN capacity::DOUBLE ELSE weight * ((budget
+      - coalesce(sum(CASE WHEN short THEN capacity END) OVER ({group}), 0))
+      / sum(CASE WHEN NOT short THEN weight END) OVER ({group})) END AS budget FROM s{depth})"""
+
+
+OP7_SQL = f"""
+WITH d AS (SELECT doc_id, lang, source, len({_WORDS.format("coalesce(text, '')")})::BIGINT AS n_tokens,
+             'domain' || (('0x' || md5(coalesce(source, ''))[1])::INT % 4) AS domain FROM documents),
+leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY ALL),
+{",".join(_sql_level(depth) for depth in (1, 2, 3))},
+plan AS (SELECT domain, lang, source, tokens, floor(budget)::BIGINT AS budget,
+           CASE WHEN tokens > 0 THEN floor(budget)::BIGINT // tokens ELSE 0 END AS whole
+         FROM leaves JOIN b3 USING (domain, lang, source)),
+o AS (SELECT d.*, whole, budget - whole * tokens AS rest, md5('{MIX_SEED}:' || whole || ':' || doc_id) AS place
+      FROM d JOIN plan USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN coalesce(sum(n_tokens) OVER (
+    PARTITION BY domain, lang, source ORDER BY place, doc_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest THEN 1 ELSE 0 END)::INT AS copies
+FROM o"""
+
+QUERIES = {"op7_mixing": op7_mixing, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op10_substring_dedup": op10_substring_dedup}
+SQL: dict[str, str] = {"op7_mixing": OP7_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}
