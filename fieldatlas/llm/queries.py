@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldatlas.llm import mixing, setjoin, toxicity, windows
+from fieldatlas.llm import bpe, mixing, setjoin, toxicity, windows
 from fieldatlas.llm.frames import table
 from fieldatlas.session import Scratch
 
@@ -64,6 +68,17 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION
 SELECT a AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id
 FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a"""
 
+def _digests(vocab: bpe.Vocabulary, ids: list[np.ndarray]) -> dict:
+    return {"n_tokens": [len(i) for i in ids],
+            "ids_sha256": [hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids],
+            "decoded_sha256": [hashlib.sha256(vocab.decode(i).encode("utf-8")).hexdigest() for i in ids]}
+
+
+def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encoded(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ["doc_id"],
+                       {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}, _digests)
+
+
 # op7: four domains of sources, languages in them, sources in those
 MIX_WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
                "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}}
@@ -121,5 +136,5 @@ SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN coalesce(sum(n
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest THEN 1 ELSE 0 END)::INT AS copies
 FROM o"""
 
-QUERIES = {"op7_mixing": op7_mixing, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op10_substring_dedup": op10_substring_dedup}
+QUERIES = {"op7_mixing": op7_mixing, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op9_bpe": op9_bpe, "op10_substring_dedup": op10_substring_dedup}
 SQL: dict[str, str] = {"op7_mixing": OP7_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}
