@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldatlas.llm import bpe, mixing, setjoin, toxicity, windows
+from fieldatlas.llm import bpe, langid, mixing, quality, setjoin, toxicity, windows
 from fieldatlas.llm.frames import table
 from fieldatlas.session import Scratch
 
@@ -19,6 +19,18 @@ def remainder(of: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of))
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = langid.train(documents.where((remainder(4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()))
+    return langid.predicted(documents, model, ["doc_id"]).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(table(spark, folder, "documents"), Scratch(spark)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     labels = table(spark, folder, "labels")
@@ -38,6 +50,64 @@ def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+def _sql_cutoffs(name: str, by: str) -> str:
+    """Cutoffs of the groups ``by``, from the bucket counts of all documents."""
+    quantile = ", ".join(f"CASE WHEN min(bucket) FILTER (upto >= {q} * total) = {quality._ZERO} THEN 0 ELSE "
+                         f"2 * pow({quality.GAMMA}, min(bucket) FILTER (upto >= {q} * total)) / {quality.GAMMA + 1} "
+                         f"END AS q{int(q * 100)}" for q in (0.1, 0.5, 0.9))
+    limits = []
+    for measure, (extra, both) in quality.MEASURES.items():
+        limits.append(f"max(q50 + {quality.REACH} * (q90 - q50) + {extra}) FILTER (measure = '{measure}') AS high_{measure}")
+        if both:
+            limits.append(f"max(q50 - {quality.REACH} * (q50 - q10) - {extra}) FILTER (measure = '{measure}') "
+                          f"AS low_{measure}")
+    return f"""
+{name} AS (SELECT {by}, {", ".join(limits)} FROM (
+  SELECT {by}, measure, max(total) AS rows, {quantile} FROM (
+    SELECT *, sum(n) OVER (PARTITION BY {by}, measure ORDER BY bucket) AS upto,
+           sum(n) OVER (PARTITION BY {by}, measure) AS total
+    FROM (SELECT {by}, measure, bucket, count(*) AS n FROM buckets GROUP BY ALL))
+  GROUP BY {by}, measure) WHERE rows >= {quality.LEAST_ROWS} GROUP BY {by})"""
+
+
+def _sql_fits() -> str:
+    def limit(column: str) -> str:
+        return f"coalesce(g1.{column}, g2.{column}, g3.{column})"
+
+    return " AND ".join([f"coalesce({m} <= {limit('high_' + m)}, true)" for m in quality.MEASURES]
+                        + [f"coalesce({m} >= {limit('low_' + m)}, true)"
+                           for m, (_, both) in quality.MEASURES.items() if both])
+
+
+OP4_SQL = f"""
+WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM t),
+win AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+twice AS (SELECT doc_id, s FROM win GROUP BY ALL HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT i) AS n FROM (
+  SELECT doc_id, unnest([i, i + 1, i + 2]) AS i FROM win JOIN twice USING (doc_id, s)) GROUP BY doc_id),
+lines AS (SELECT doc_id, count(line) AS n, count(line) - count(DISTINCT line) AS dup
+          FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)
+          WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+m AS (SELECT t.doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        coalesce(dup, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+        coalesce(lines.n, 0) AS n_lines
+      FROM t JOIN w USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id)),
+r AS (SELECT *, n_symbols / greatest(word_chars, 1) AS symbol_share, n_dup_lines / greatest(n_lines, 1) AS dup_line_share,
+        n_repeat_words / greatest(n_words, 1) AS repeat_share, word_chars / greatest(n_words, 1) AS mean_word,
+        n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+buckets AS (SELECT lang, source, 1 AS every, measure,
+              CASE WHEN value > 0 THEN ceil(ln(value) / ln({quality.GAMMA}))::INT ELSE {quality._ZERO} END AS bucket
+            FROM (SELECT lang, source, unnest({list(quality.MEASURES)}) AS measure,
+                         unnest([{", ".join(quality.MEASURES)}]) AS value FROM r WHERE NOT base_failed)),
+{_sql_cutoffs("g1", "lang, source")}, {_sql_cutoffs("g2", "lang")}, {_sql_cutoffs("g3", "every")}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {_sql_fits()} AS kept
+FROM r LEFT JOIN g1 ON r.lang IS NOT DISTINCT FROM g1.lang AND r.source IS NOT DISTINCT FROM g1.source
+  LEFT JOIN g2 ON r.lang IS NOT DISTINCT FROM g2.lang LEFT JOIN g3 ON true"""
+
 OP10_SQL = f"""
 WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
@@ -136,5 +206,5 @@ SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN coalesce(sum(n
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest THEN 1 ELSE 0 END)::INT AS copies
 FROM o"""
 
-QUERIES = {"op7_mixing": op7_mixing, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op9_bpe": op9_bpe, "op10_substring_dedup": op10_substring_dedup}
-SQL: dict[str, str] = {"op7_mixing": OP7_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}
+QUERIES = {"op1_language_id": op1_language_id, "op4_quality_rules": op4_quality_rules, "op7_mixing": op7_mixing, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op9_bpe": op9_bpe, "op10_substring_dedup": op10_substring_dedup}
+SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL, "op7_mixing": OP7_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}
