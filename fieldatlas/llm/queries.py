@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldatlas.llm import bpe, langid, mixing, quality, setjoin, toxicity, windows
+from fieldatlas.llm import bpe, langid, mixing, quality, setjoin, toxicity, warc, windows
 from fieldatlas.llm.frames import table
 from fieldatlas.session import Scratch
 
@@ -26,6 +26,13 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.archived(table(spark, folder, "pages"), Scratch(spark), least=0)
+    return found.select(F.col("metadata.page").alias("page_id"), F.col("response.size").alias("payload_bytes"),
+                        F.coalesce("response.found", "response.digest").alias("payload_digest"),
+                        F.col("response.kind").alias("record_type"), "refers_to")
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"), Scratch(spark)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -50,6 +57,17 @@ def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS h FROM p),
+b AS (SELECT *, (SELECT string_agg('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((v >> s) & 31)], '' ORDER BY k, s DESC)
+        FROM (SELECT k, ('0x' || h[5 * k + 1:5 * k + 5])::INT AS v, unnest([15, 10, 5, 0]) AS s
+              FROM (SELECT unnest(range(8)) AS k))) AS payload_digest FROM d),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS largest FROM b)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < largest THEN 'revisit' ELSE 'response' END
+  AS record_type, CASE WHEN page_id < largest THEN largest END AS refers_to FROM m"""
+
+
 def _sql_cutoffs(name: str, by: str) -> str:
     """Cutoffs of the groups ``by``, from the bucket counts of all documents."""
     quantile = ", ".join(f"CASE WHEN min(bucket) FILTER (upto >= {q} * total) = {quality._ZERO} THEN 0 ELSE "
@@ -206,5 +224,5 @@ SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN coalesce(sum(n
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest THEN 1 ELSE 0 END)::INT AS copies
 FROM o"""
 
-QUERIES = {"op1_language_id": op1_language_id, "op4_quality_rules": op4_quality_rules, "op7_mixing": op7_mixing, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op9_bpe": op9_bpe, "op10_substring_dedup": op10_substring_dedup}
-SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL, "op7_mixing": OP7_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}
+QUERIES = {"op1_language_id": op1_language_id, "op2_warc": op2_warc, "op4_quality_rules": op4_quality_rules, "op7_mixing": op7_mixing, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op9_bpe": op9_bpe, "op10_substring_dedup": op10_substring_dedup}
+SQL: dict[str, str] = {"op2_warc": OP2_SQL, "op4_quality_rules": OP4_SQL, "op7_mixing": OP7_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}
