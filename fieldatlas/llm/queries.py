@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldatlas.llm import bpe, langid, mixing, quality, setjoin, toxicity, warc, windows
+from fieldatlas.llm import bpe, langid, mixing, quality, setjoin, suffixes, toxicity, warc, windows
 from fieldatlas.llm.frames import table
 from fieldatlas.session import Scratch
 
@@ -33,6 +33,10 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("response.kind").alias("record_type"), "refers_to")
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.deduplicated(table(spark, folder, "documents"), Scratch(spark))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"), Scratch(spark)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -68,6 +72,23 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < largest THEN
   AS record_type, CASE WHEN page_id < largest THEN largest END AS refers_to FROM m"""
 
 
+OP3_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, i, h[2 * i + 1:2 * i + 200] AS s FROM (
+        SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM d)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS turn FROM w),
+c AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM r WHERE turn > 1),
+runs AS (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 100 THEN 1 ELSE 0 END)
+           OVER (PARTITION BY doc_id ORDER BY i) AS run FROM c),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM runs GROUP BY ALL),
+gaps AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS p FROM spans),
+per AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS n_spans, max(b) AS tail,
+          string_agg(h[2 * p + 1:2 * a], '' ORDER BY a) AS body FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(body, '') || h[2 * coalesce(tail, 0) + 1:])) AS kept_sha256
+FROM d LEFT JOIN per USING (doc_id)"""
+
+
 def _sql_cutoffs(name: str, by: str) -> str:
     """Cutoffs of the groups ``by``, from the bucket counts of all documents."""
     quantile = ", ".join(f"CASE WHEN min(bucket) FILTER (upto >= {q} * total) = {quality._ZERO} THEN 0 ELSE "
@@ -224,5 +245,5 @@ SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN coalesce(sum(n
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest THEN 1 ELSE 0 END)::INT AS copies
 FROM o"""
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_warc": op2_warc, "op4_quality_rules": op4_quality_rules, "op7_mixing": op7_mixing, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op9_bpe": op9_bpe, "op10_substring_dedup": op10_substring_dedup}
-SQL: dict[str, str] = {"op2_warc": OP2_SQL, "op4_quality_rules": OP4_SQL, "op7_mixing": OP7_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}
+QUERIES = {"op1_language_id": op1_language_id, "op2_warc": op2_warc, "op3_suffix_dedup": op3_suffix_dedup, "op4_quality_rules": op4_quality_rules, "op7_mixing": op7_mixing, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op9_bpe": op9_bpe, "op10_substring_dedup": op10_substring_dedup}
+SQL: dict[str, str] = {"op3_suffix_dedup": OP3_SQL, "op2_warc": OP2_SQL, "op4_quality_rules": OP4_SQL, "op7_mixing": OP7_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}

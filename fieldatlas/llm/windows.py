@@ -6,10 +6,6 @@ below the window's: partition sketches are merged block by block and say which
 windows may be repeated.  Pass two groups exactly those windows.  Windows
 repeated inside one chunk of a task are settled there, so a hot window reaches
 the shuffle once a chunk, not once a document.
-
-The merged sketch is two bit sets of fixed size whatever the corpus, hence
-safe to broadcast.  When a corpus outgrows it more windows pass the prefilter;
-none is lost, and the result is the same.
 """
 
 from __future__ import annotations
@@ -26,13 +22,12 @@ from pyspark.sql.window import Window
 
 from fieldatlas.llm import bytewords as bw
 from fieldatlas.llm.frames import arrow_map
+from fieldatlas.llm.sketch import CELL_BITS, maybe_repeated, repeated_cells
 from fieldatlas.llm.spans import row_tag, with_spans
 from fieldatlas.session import Scratch
 
 SIZE = 13          # words in a window
 _GRAM = 5          # words in the hashed part that a window is counted by
-CELL_BITS = 27     # cells of each sketch row: 2 rows of 16 MB as bit sets
-_BLOCK_BITS = 16
 _CHUNK = 1 << 22   # candidate windows that a task settles at once
 
 
@@ -55,76 +50,14 @@ def _anchors(found: bw.Words) -> tuple[np.ndarray, np.ndarray]:
     return low[index], index
 
 
-def _cells(anchor: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << bits) - 1)
-    return (anchor & mask).astype(np.int64), ((anchor >> np.uint64(32)) & mask).astype(np.int64)
-
-
-def _sketch_blocks(bits: int):
-    """Cells hit by a batch, as one row per block of cells: sorted offsets, and those hit twice."""
-    def step(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part in bw.pieces(batch, "text"):
-            data, places = bw.flat(part.column("text"))
-            found = bw.words(data, places)
-            anchor, index = _anchors(found)
-            if not len(anchor):
-                continue
-            text = bw.owner(found.first, index)
-            new = np.ones(len(anchor), bool)
-            new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
-            for row, cells in enumerate(_cells(anchor[new], bits)):
-                cell, n = np.unique(cells, return_counts=True)
-                block = cell >> _BLOCK_BITS
-                heads = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-                offset = (cell & ((1 << _BLOCK_BITS) - 1)).astype(np.uint16)
-                ends = np.r_[heads[1:], len(cell)]
-                yield {"block": block[heads] + (row << bits >> _BLOCK_BITS),
-                       "cells": [offset[a:b].tobytes() for a, b in zip(heads, ends, strict=True)],
-                       "twice": [offset[a:b][n[a:b] > 1].tobytes() for a, b in zip(heads, ends, strict=True)]}
-    return step
-
-
-def _merge_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merge the sketches of all partitions; rows arrive sorted by block."""
-    block, counts = None, np.zeros(1 << _BLOCK_BITS, np.uint8)
-
-    def done() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()),
-                                           "repeated": pa.array([np.packbits(counts > 1).tobytes()], pa.binary())})
-
-    for batch in batches:
-        for b, cells, twice in zip(*(batch.column(k).to_pylist() for k in ("block", "cells", "twice")), strict=True):
-            if b != block:
-                if block is not None:
-                    yield done()
-                block = b
-                counts[:] = 0
-            for raw in (cells, twice):  # offsets are distinct within one list
-                at = np.frombuffer(raw, np.uint16)
-                counts[at] = np.minimum(counts[at] + 1, 2)
-    if block is not None:
-        yield done()
-
-
-def repeated_cells(texts: DataFrame, bits: int = CELL_BITS) -> np.ndarray:
-    """Both rows of the merged sketch as bit sets: which cells were hit at least twice."""
-    parts = arrow_map(texts.select("text"), "block long, cells binary, twice binary", _sketch_blocks(bits))
-    merged = parts.repartition("block").sortWithinPartitions("block") \
-                  .mapInArrow(_merge_blocks, "block long, repeated binary")
-    out = np.zeros((2 << bits) // 8, np.uint8)
-    size = (1 << _BLOCK_BITS) // 8
-    rows = merged.toArrow()  # fixed: 2 ** (bits + 1) bits
-    for b, raw in zip(rows.column("block").to_pylist(), rows.column("repeated").to_pylist(), strict=True):
-        out[b * size: (b + 1) * size] = np.frombuffer(raw, np.uint8)
-    return out.reshape(2, -1)
-
-
-def maybe_repeated(sketch: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    bits = int(sketch.shape[1] * 8).bit_length() - 1
-    out = np.ones(len(anchor), bool)
-    for row, cell in zip(sketch, _cells(anchor, bits), strict=True):
-        out &= (row[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
-    return out
+def _window_parts(part: pa.RecordBatch) -> np.ndarray:
+    """The hashes to count: one for each run of windows of a text with the same smallest gram."""
+    found = bw.words(*bw.flat(part.column("text")))
+    anchor, index = _anchors(found)
+    text = bw.owner(found.first, index)
+    new = np.ones(len(anchor), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+    return anchor[new]
 
 
 # --- pass two: exact groups ----------------------------------------------------
@@ -191,7 +124,7 @@ def candidates(documents: DataFrame, sketch: np.ndarray) -> DataFrame:
 
 def covered_spans(documents: DataFrame, bits: int = CELL_BITS) -> DataFrame:
     """Word spans ``tag, start, length`` covered by windows that start in a document with a smaller id."""
-    sketch = repeated_cells(documents.where(F.col("doc_id").isNotNull()), bits)
+    sketch = repeated_cells(documents.where(F.col("doc_id").isNotNull()), _window_parts, bits)
     rows = candidates(documents, sketch)
     first = F.min("doc").over(Window.partitionBy("key"))  # at most one document a chunk for each key
     return rows.withColumn("first", first).where(F.col("covered") | (F.col("doc") > F.col("first"))) \
