@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldatlas.llm import bpe, langid, mixing, quality, setjoin, suffixes, toxicity, warc, windows
+from fieldatlas.llm import bpe, langid, mixing, quality, setjoin, suffixes, toxicity, vectors, warc, windows
 from fieldatlas.llm.frames import table
 from fieldatlas.session import Scratch
 
@@ -55,6 +55,11 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return windows.deduplicated(table(spark, folder, "documents"), Scratch(spark))[0]
 
 
+def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    return vectors.links(given, Scratch(spark), least=0.95)
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return setjoin.components(table(spark, folder, "documents"), Scratch(spark), size=3, percent=90)
 
@@ -160,6 +165,19 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_
        sha256(coalesce(s, '')) AS kept_sha256
 FROM d LEFT JOIN gone_of USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+          WHERE list_cosine_similarity(x.e, y.e) >= 0.95),
+n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION
+          SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT a AS vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(b) AS component_id, a = min(b) AS kept
+FROM reach LEFT JOIN n ON n.vec_id = a GROUP BY a"""
+
 OP6_SQL = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -245,5 +263,5 @@ SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN coalesce(sum(n
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest THEN 1 ELSE 0 END)::INT AS copies
 FROM o"""
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_warc": op2_warc, "op3_suffix_dedup": op3_suffix_dedup, "op4_quality_rules": op4_quality_rules, "op7_mixing": op7_mixing, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op9_bpe": op9_bpe, "op10_substring_dedup": op10_substring_dedup}
-SQL: dict[str, str] = {"op3_suffix_dedup": OP3_SQL, "op2_warc": OP2_SQL, "op4_quality_rules": OP4_SQL, "op7_mixing": OP7_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}
+QUERIES = {"op1_language_id": op1_language_id, "op2_warc": op2_warc, "op3_suffix_dedup": op3_suffix_dedup, "op4_quality_rules": op4_quality_rules, "op7_mixing": op7_mixing, "op5_embedding_dedup": op5_embedding_dedup, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op9_bpe": op9_bpe, "op10_substring_dedup": op10_substring_dedup}
+SQL: dict[str, str] = {"op3_suffix_dedup": OP3_SQL, "op2_warc": OP2_SQL, "op4_quality_rules": OP4_SQL, "op7_mixing": OP7_SQL, "op5_embedding_dedup": OP5_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}
