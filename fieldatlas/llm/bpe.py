@@ -274,8 +274,8 @@ def encoded(documents: DataFrame, path: str, keep: list[str], columns: dict[str,
     return arrow_map(given, schema, step)
 
 
-def as_list(_: Vocabulary, ids: list[np.ndarray]) -> dict:
-    """``n_tokens`` and the ids themselves."""
+def as_list(vocab: Vocabulary, ids: list[np.ndarray]) -> dict:
+    """``n_tokens``, the ids themselves, and the text that they decode to."""
     ends = np.r_[0, np.cumsum([len(i) for i in ids])].astype(np.int32)
-    return {"n_tokens": np.diff(ends).astype(np.int64),
+    return {"n_tokens": np.diff(ends).astype(np.int64), "decoded": [vocab.decode(i) for i in ids],
             "ids": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids).astype(np.int32)))}

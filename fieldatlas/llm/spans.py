@@ -18,7 +18,7 @@ def with_spans(documents: DataFrame, spans: DataFrame, keep: list[str]) -> DataF
 
     The spans of one row are bounded by its own text.
     """
-    per_row = spans.groupBy("tag").agg(F.collect_list(F.struct("start", "length")).alias("_spans"))
-    texts = documents.select(*keep, row_tag().alias("tag"))
-    return lookup(texts, per_row, "tag", "left").select(
+    per_row = spans.groupBy(F.col("tag").alias("_row_tag")).agg(F.collect_list(F.struct("start", "length")).alias("_spans"))
+    texts = documents.select(*keep, row_tag().alias("_row_tag"))
+    return lookup(texts, per_row, "_row_tag", "left").select(
         *keep, F.col("_spans.start").alias("_starts"), F.col("_spans.length").alias("_lengths"))
