@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldatlas.catalog import charts, corpus, network, reports, subqueries, texts
+from fieldatlas.catalog import charts, corpus, network, reports, roundtrips, subqueries, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (reports, corpus, network, subqueries, texts, charts)
+_MODULES = (reports, corpus, network, subqueries, texts, charts, roundtrips)
 
 
 def all_queries() -> dict[str, Query]:

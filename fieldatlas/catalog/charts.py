@@ -157,15 +157,21 @@ def _level_info(spark: SparkSession, folder: str) -> DataFrame:
     return packs.level_info(report(spark, folder, "meso"), "meso", "2026-06-26", "orders", "all")
 
 
+def _twice(rows: DataFrame, column: str) -> DataFrame:
+    """Every row again with a value that sorts later; reports must not multiply."""
+    return rows.unionByName(rows.withColumn(column, F.concat(column, F.lit("~"))))
+
+
 def _clusters(spark: SparkSession, folder: str, scratch: Scratch) -> DataFrame:
     works = derive.works(spark, folder)
     words = derive.table(spark, folder, "customer").where("c_nationkey <> 3").select(
         F.col("c_custkey").alias("cluster"), F.concat_ws(", ", F.lower("c_mktsegment"), F.lit("deep-sea mining"))
         .alias("keywords"))
     return packs.report_clusters(
-        report(spark, folder, "micro"), works, entity_stats(works, "micro_cluster", "countries", "country", 20),
-        entity_stats(works, "micro_cluster", "institutions", "institution", 20), words, scratch,
-        _micro_names(spark, folder), macro_names(spark, folder), macro_colors(spark, folder).where("macro_cluster <> 2"))
+        report(spark, folder, "micro"), works, entity_stats(works, "micro_cluster", "countries", "country"),
+        entity_stats(works, "micro_cluster", "institutions", "institution"), _twice(words, "keywords"), scratch,
+        _twice(_micro_names(spark, folder), "name"), _twice(macro_names(spark, folder), "name"),
+        _twice(macro_colors(spark, folder).where("macro_cluster <> 2"), "color_hex"))
 
 
 def _payload(spark: SparkSession, folder: str) -> DataFrame:
@@ -236,7 +242,7 @@ def _bars_sql(level: str) -> str:
     return f"""WITH {q.WORKS}, {q.report(level)}, {COLORS}, {_NAMES}, {_level(level, 8)},
       r AS (SELECT *, row_number() OVER (PARTITION BY macro_display_id ORDER BY publications DESC, cluster_id) AS rn FROM coded)
       SELECT cluster_id, macro_parent, macro_display_id, publications, cluster_code,
-        CASE WHEN macro_parent = 2 THEN '#bfbfbf' ELSE color_hex END AS color_hex, {label} AS label_text,
+        CASE WHEN macro_parent = 2 THEN '#bfbfbf' ELSE color_hex END AS color_hex, {label} AS label_full, {label} AS label_text,
         (macro_display_id - 1) // 2 + 1 AS panel_id
       FROM r JOIN colors ON macro_cluster = macro_parent {join} {cut}"""
 
@@ -281,7 +287,7 @@ _CLUSTERS = f"""{q.MICRO}, {COLORS}, {_NAMES},
 {_stats('micro_cluster', 'countries', 'country', 20)}, {_stats('micro_cluster', 'institutions', 'institution', 20)},
 tt AS (SELECT micro_cluster, string_agg(CASE WHEN t = '' THEN ':' || c ELSE t || ':' || c END, '|' ORDER BY rn) AS top_titles
   FROM (SELECT micro_cluster, trim(coalesce(title, '')) AS t, coalesce(citations, 0) AS c, row_number() OVER (
-    PARTITION BY micro_cluster ORDER BY coalesce(citations, 0) DESC, id) AS rn FROM works) WHERE rn <= 10 GROUP BY 1),
+    PARTITION BY micro_cluster ORDER BY citations DESC NULLS LAST, id) AS rn FROM works) WHERE rn <= 10 GROUP BY 1),
 cc AS (SELECT micro_cluster, string_agg(country || ':' || freq, '|' ORDER BY freq DESC, country) AS countries
   FROM country_s GROUP BY 1),
 ii AS (SELECT micro_cluster, string_agg(institution || ':' || freq, '|' ORDER BY freq DESC, institution) AS institutions
@@ -320,10 +326,10 @@ SQL = {
         CASE WHEN r_name IS NULL THEN CAST(cluster AS VARCHAR) ELSE cluster || '-0. ' || r_name END AS label,
         cluster < 5 AS matched
       FROM documents JOIN pts ON id = doc_id LEFT JOIN region ON r_regionkey = cluster""",
-    "facet_frequency": """WITH v AS (SELECT unnest([o_orderpriority, c_mktsegment]) AS item
+    "facet_frequency": f"""WITH v AS (SELECT unnest([o_orderpriority, c_mktsegment]) AS raw
         FROM orders JOIN customer ON o_custkey = c_custkey)
-      SELECT array_to_string(list_transform(string_split(lower(item), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS item,
-        count(*) AS documents FROM v GROUP BY 1""",
+      SELECT item, item[1:45] AS label, count(*) AS documents
+      FROM (SELECT {q.title_cased('lower(raw)')} AS item FROM v) GROUP BY 1, 2""",
     "yearly_counts": f"""WITH {q.WORKS} SELECT CAST(publication_year AS BIGINT) AS year, count(*) AS documents
       FROM works GROUP BY 1""",
     "recent_years": f"""WITH {q.WORKS} SELECT CAST(publication_year AS BIGINT) AS year, count(*) AS documents

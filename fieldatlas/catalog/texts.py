@@ -176,7 +176,7 @@ def _records(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     works = derive.works(spark, folder)
     size = derive.table(spark, folder, "region").select(
         F.col("r_regionkey").cast("bigint").alias("macro_cluster"), F.lit(7).alias("publications"))
-    return enriched.records(works, works, macro_names(spark, folder), macro_colors(spark, folder), size,
+    return enriched.records(works, report(spark, folder, "micro"), macro_names(spark, folder), macro_colors(spark, folder), size,
                             Scratch(spark), [_abstract_source(spark, folder)], limit=SAMPLE, seed=SEED)
 
 
@@ -249,7 +249,7 @@ def _keywords_sql(source: str, label: str, column: str, stop: str, name: str = "
   UNION ALL SELECT cluster, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM {name}_w
     WHERE len(w) > 1),
 {name}_c AS (SELECT cluster, term, count(*) AS n FROM {name}_t GROUP BY 1, 2),
-{name}_v AS (SELECT term, sum(n) AS total FROM {name}_c GROUP BY 1 ORDER BY total DESC, term LIMIT 100000),
+{name}_v AS (SELECT term, sum(n) AS total FROM {name}_c GROUP BY 1),
 {name}_k AS (SELECT cluster, term, n, total FROM {name}_c JOIN {name}_v USING (term)),
 {name}_s AS (SELECT cluster, sum(n) AS size FROM {name}_k GROUP BY 1),
 {name}_r AS (SELECT cluster, term, row_number() OVER (PARTITION BY cluster ORDER BY round(
@@ -314,9 +314,8 @@ wanted AS (SELECT DISTINCT meso_cluster AS macro_cluster FROM works UNION SELECT
 lists AS (SELECT macro_cluster, list(title ORDER BY rn) AS titles FROM titled WHERE rn <= 50 GROUP BY 1),
 base AS (SELECT w.macro_cluster, coalesce(r.name, 'Macro Topic ' || w.macro_cluster) AS name,
     coalesce(r.description, CASE WHEN titles IS NULL
-      THEN 'Umbrella topic inferred from highly cited work represented in this macro cluster ' || w.macro_cluster || '.'
-      ELSE 'Umbrella topic inferred from highly cited studies spanning subtopics suggested by: '
-        || array_to_string(titles[1:3], '; ') || '.' END) AS description
+      THEN 'Field of cluster ' || w.macro_cluster || ' without titled works.'
+      ELSE 'Field around the works: ' || array_to_string(titles[1:3], '; ') || '.' END) AS description
   FROM wanted w LEFT JOIN (SELECT * FROM raw WHERE rn = 1) r USING (macro_cluster) LEFT JOIN lists USING (macro_cluster))
 SELECT CAST(macro_cluster AS BIGINT) AS macro_cluster, CASE WHEN macro_cluster = min(macro_cluster) OVER (
     PARTITION BY lower(name)) THEN name ELSE name || ' (' || macro_cluster || ')' END AS name, description FROM base"""
@@ -352,8 +351,8 @@ SQL = {
       t AS (SELECT micro_cluster, title, row_number() OVER (PARTITION BY micro_cluster
         ORDER BY citations DESC NULLS LAST, id) AS rn FROM works WHERE title IS NOT NULL),
       l AS (SELECT micro_cluster, string_agg(rn || '. ' || title, chr(10) ORDER BY rn) AS listed FROM t WHERE rn <= 10 GROUP BY 1)
-      SELECT 'micro-' || c_custkey AS custom_id, 'Keywords (most distinctive terms for this cluster):' || chr(10)
-        || lower(c_mktsegment) || chr(10) || chr(10) || 'Top cited paper titles in this cluster:' || chr(10)
+      SELECT 'micro-' || c_custkey AS custom_id, 'Terms that set this cluster apart:' || chr(10)
+        || lower(c_mktsegment) || chr(10) || chr(10) || 'Its most cited works:' || chr(10)
         || coalesce(listed, '') AS prompt
       FROM customer LEFT JOIN l ON micro_cluster = c_custkey""",
     "naming_batches": """SELECT c_custkey AS micro_cluster, (row_number() OVER (ORDER BY c_custkey) - 1) // 8 AS batch

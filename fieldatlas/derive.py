@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldatlas.operators.joins import lookup
-from fieldatlas.session import widened
 
 HOME_COUNTRY = "NATION_3"
 RECENT_YEAR = 2000
@@ -127,7 +126,7 @@ def _positions(words: pd.Series) -> pd.Series:
 
 def raw_work_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as nested JSON lines, one raw work each, in a column ``value``."""
-    docs = widened(table(spark, folder, "documents"))
+    docs = table(spark, folder, "documents").hint("rebalance")
     code = F.upper(F.substring("source", 1, 2))
     institution = F.struct(F.col("source").alias("display_name"), code.alias("country_code"),
                            F.concat(F.lit("ror/"), F.col("source")).alias("ror"),

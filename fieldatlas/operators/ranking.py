@@ -22,8 +22,15 @@ _POSITION_BITS = 33
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
           rank_col: str | None = None) -> DataFrame:
-    """First ``n`` rows of each group in the given order."""
+    """First ``n`` rows of each group in the given order.
+
+    The optimizer's limit for cutting groups before the shuffle is raised to n,
+    so map tasks forward at most n rows of a group whatever n is.
+    """
     name = rank_col or "_rank"
+    conf, limit = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(limit)) < n:
+        conf.set(limit, str(n))
     window = Window.partitionBy(*keys).orderBy(*order)
     out = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)
     return out if rank_col else out.drop(name)

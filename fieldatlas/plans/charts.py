@@ -90,7 +90,7 @@ def bar_table(report: DataFrame, level: str, colors: DataFrame, scratch: Scratch
                      [F.col("publications").desc(), F.col("cluster_id").asc()], top_per_parent)
     return rows.select(
         "cluster_id", "macro_parent", "macro_display_id", "publications", "cluster_code", "color_hex",
-        text.truncated(F.col("label_text"), 64).alias("label_text"),
+        F.col("label_text").alias("label_full"), text.truncated(F.col("label_text"), 64).alias("label_text"),
         (F.floor((F.col("macro_display_id") - 1) / macros_per_panel) + 1).alias("panel_id"))
 
 
@@ -190,10 +190,15 @@ def plot_clusters(report: DataFrame, facet: bool = False) -> DataFrame:
 
 
 def facet_frequency(df: DataFrame, column: str, separator: str = "; ") -> DataFrame:
-    """Documents per normalised value of a multi-valued text column, most frequent first."""
+    """Documents per normalised value of a multi-valued text column, most frequent first.
+
+    Whole values are counted; ``label`` has their first 45 characters for display.
+    """
     values = df.where(F.col(column).isNotNull()).select(F.explode(F.split(column, separator)).alias("item"))
     return values.groupBy(text.facet_value(F.col("item")).alias("item")) \
-                 .agg(F.count(F.lit(1)).alias("documents")).orderBy(F.col("documents").desc(), "item")
+                 .agg(F.count(F.lit(1)).alias("documents")) \
+                 .select("item", F.substring("item", 1, 45).alias("label"), "documents") \
+                 .orderBy(F.col("documents").desc(), "item")
 
 
 def yearly_counts(df: DataFrame, year: str = "publication_year") -> DataFrame:

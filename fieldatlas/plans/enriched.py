@@ -26,7 +26,7 @@ def backfill(docs: DataFrame, others: Sequence[DataFrame], key: str = "id",
     for other in others:
         known = other.select(key, text.blank_to_null(F.col(value)).alias("_other")) \
                      .where("_other is not null").groupBy(key).agg(F.min("_other").alias("_other"))
-        out = out.join(known, key, "left").withColumn(value, F.coalesce(value, "_other")).drop("_other")
+        out = lookup(out, known, key, "left").withColumn(value, F.coalesce(value, "_other")).drop("_other")
     return out
 
 
@@ -67,8 +67,11 @@ def macro_display(docs: DataFrame, names: DataFrame, colors: DataFrame, report:
 
 def records(articles: DataFrame, chosen: DataFrame, names: DataFrame, colors: DataFrame,
             macro_report: DataFrame, scratch: Scratch, fallbacks: Sequence[DataFrame] = (),
-            with_abstract: bool = True, limit: int = 200_000, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Sampled records with enriched text, and the macro display table."""
+            *, limit: int, with_abstract: bool = True, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Sampled records with enriched text, and the macro display table.
+
+    ``chosen`` names the clusters, one row each; ``limit`` is the size of the sample.
+    """
     # Every macro has a name, so no text is ever empty: the sample can be drawn
     # from the ids alone, and titles and abstracts are fetched for it only.
     docs = restrict(articles, chosen, "micro_cluster").where(F.col("macro_cluster").isNotNull())

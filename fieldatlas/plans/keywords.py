@@ -10,17 +10,20 @@ from pyspark.sql import functions as F
 
 from fieldatlas.operators.joins import lookup
 from fieldatlas.operators.ranking import top_n, with_group_rank
-from fieldatlas.session import Scratch, widened
+from fieldatlas.operators.selection import restrict
+from fieldatlas.session import Scratch
 
 
 def representatives(articles: DataFrame, scratch: Scratch, floor: int = 5, percent: int = 1) -> DataFrame:
     """Most cited titled works of each micro cluster: ``percent`` of it, at least ``floor``."""
     titled = articles.where(F.col("micro_cluster").isNotNull() & F.col("title").isNotNull())
-    ranked = with_group_rank(titled, ["micro_cluster"],
+    # ids alone are ranked and written; the chosen works' other columns are fetched afterwards
+    ranked = with_group_rank(titled.select("id", "micro_cluster", "citations"), ["micro_cluster"],
                              [F.col("citations").desc_nulls_last(), F.col("id").asc()],
                              "_rank", scratch, size_col="_size")
     share = F.floor((F.col("_size") * percent + 99) / 100)
-    return ranked.where(F.col("_rank") <= F.greatest(F.lit(floor), share)).drop("_rank", "_size")
+    chosen = ranked.where(F.col("_rank") <= F.greatest(F.lit(floor), share)).select("id").distinct()
+    return restrict(titled, chosen, "id")
 
 
 # --- class keywords ----------------------------------------------------------
@@ -47,8 +50,7 @@ def english_stop_words() -> list[str]:
 
 
 def class_keywords(docs: DataFrame, label: str, text: str, scratch: Scratch, top: int = 10,
-                   min_df: int = 1, max_terms: int = 100_000,
-                   stop_words: Sequence[str] | None = None) -> DataFrame:
+                   min_df: int = 1, stop_words: Sequence[str] | None = None) -> DataFrame:
     """Most distinctive terms of each class: rows ``cluster, keywords``.
 
     Class TF-IDF (Grootendorst 2022): square root of the share of a term in its
@@ -57,14 +59,12 @@ def class_keywords(docs: DataFrame, label: str, text: str, scratch: Scratch, top
     """
     stop = english_stop_words() if stop_words is None else list(stop_words)
     counts = scratch.save(
-        widened(docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(label, text))
+        docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).hint("rebalance")
         .select(F.col(label).alias("cluster"), words(F.col(text), stop).alias("_words"))
         .select("cluster", F.explode(F.concat("_words", word_pairs(F.col("_words")))).alias("term"))
         .groupBy("cluster", "term").agg(F.count(F.lit(1)).alias("n")))
-    vocabulary = (counts.groupBy("term").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"))
-                  .where(F.col("classes") >= min_df)
-                  .orderBy(F.col("total").desc(), "term").limit(max_terms))
-    kept = scratch.save(counts.join(vocabulary.select("term", "total"), "term"))
+    totals = counts.groupBy("term").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"))
+    kept = scratch.save(counts.join(totals.where(F.col("classes") >= min_df).select("term", "total"), "term"))
     sizes = kept.groupBy("cluster").agg(F.sum("n").alias("size"))
     mean_size = sizes.agg(F.floor(F.avg("size"))).first()[0] or 0
     score = F.sqrt(F.col("n") / F.col("size")) * F.log(F.lit(1.0) + F.lit(float(mean_size)) / F.col("total"))

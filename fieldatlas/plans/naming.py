@@ -27,6 +27,11 @@ def _ordered_list(ranked: DataFrame, key: str, value: str, name: str) -> DataFra
                  .select(key, F.col(f"_l.{value}").alias(name))
 
 
+def _one_each(keywords: DataFrame, key: str) -> DataFrame:
+    """One keyword list per cluster, the first in text order."""
+    return keywords.groupBy(F.col("cluster").alias(key)).agg(F.min("keywords").alias("keywords"))
+
+
 def top_titles(articles: DataFrame, key: str = "macro_cluster", n: int = 50) -> DataFrame:
     """Most cited non-empty titles of each cluster as an ordered list."""
     titled = articles.select(key, F.trim("title").alias("title"), F.col("citations").cast("bigint").alias("citations")) \
@@ -39,7 +44,7 @@ def child_context(report: DataFrame, keywords: DataFrame, parent: str = "macro_c
                   child: str = "meso_cluster", n: int = 4) -> DataFrame:
     """Keywords of the largest children of each parent, joined by ' | '."""
     rows = report.select(parent, child, F.coalesce(F.col("publications"), F.lit(0)).alias("publications")) \
-                 .join(keywords.withColumnRenamed("cluster", child), child, "left")
+                 .join(_one_each(keywords, child), child, "left")
     best = top_n(rows, [parent], [F.col("publications").desc(), F.col(child).asc()], n, "rank")
     kept = best.where(F.trim("keywords") != "").withColumn("keywords", F.trim("keywords"))
     return _ordered_list(kept, parent, "keywords", "parts") \
@@ -49,7 +54,7 @@ def child_context(report: DataFrame, keywords: DataFrame, parent: str = "macro_c
 def macro_inputs(macro_report: DataFrame, macro_keywords: DataFrame, context: DataFrame) -> DataFrame:
     """One naming row per macro cluster: size, keywords and children's keywords."""
     base = macro_report.groupBy("macro_cluster").agg(F.max("publications").alias("publications"))
-    return base.join(macro_keywords.withColumnRenamed("cluster", "macro_cluster"), "macro_cluster", "left") \
+    return base.join(_one_each(macro_keywords, "macro_cluster"), "macro_cluster", "left") \
                .join(context, "macro_cluster", "left") \
                .select("macro_cluster", "publications",
                        F.coalesce("keywords", F.lit("")).alias("macro_keywords"),
@@ -62,7 +67,7 @@ def micro_inputs(micro_report: DataFrame, keywords: DataFrame, articles: DataFra
                  [F.col("citations").desc_nulls_last(), F.col("id").asc()], n, "rank")
     titles = _ordered_list(best, "micro_cluster", "title", "titles")
     return micro_report.select("micro_cluster") \
-        .join(keywords.withColumnRenamed("cluster", "micro_cluster"), "micro_cluster", "left") \
+        .join(_one_each(keywords, "micro_cluster"), "micro_cluster", "left") \
         .join(titles, "micro_cluster", "left") \
         .select("micro_cluster", F.coalesce("keywords", F.lit("")).alias("keywords"),
                 F.coalesce("titles", F.array().cast("array<string>")).alias("titles"))
@@ -71,8 +76,8 @@ def micro_inputs(micro_report: DataFrame, keywords: DataFrame, articles: DataFra
 def prompt(keywords: Column, titles: Column) -> Column:
     """Keywords and numbered titles of one cluster as text."""
     numbered = F.transform(titles, lambda t, at: F.concat((at + 1).cast("string"), F.lit(". "), t))
-    return F.concat(F.lit("Keywords (most distinctive terms for this cluster):\n"), F.trim(keywords),
-                    F.lit("\n\nTop cited paper titles in this cluster:\n"), F.array_join(numbered, "\n"))
+    return F.concat(F.lit("Terms that set this cluster apart:\n"), F.trim(keywords),
+                    F.lit("\n\nIts most cited works:\n"), F.array_join(numbered, "\n"))
 
 
 def request_rows(inputs: DataFrame) -> DataFrame:

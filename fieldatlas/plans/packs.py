@@ -75,7 +75,8 @@ def article_sheet(articles: DataFrame, sheet: DataFrame, level: str, meta: DataF
     """
     key = cluster_column(level)
     best = top_articles(restrict(articles, sheet, key), key, n)
-    facts = restrict(meta.withColumnRenamed("article_id", "id"), best, "id").dropDuplicates(["id"])
+    facts = first_per_key(restrict(meta.withColumnRenamed("article_id", "id"), best, "id"), ["id"], [
+        F.col("abstract").asc_nulls_last(), F.col("publication_source").asc_nulls_last(), F.col("authors").asc_nulls_last()])
     code = sheet.select(key, "cluster_code")
     rows = best.select("id", "title", "publication_year", "citations", key) \
         .join(facts, "id", "left").join(code, key, "left").select(
@@ -89,12 +90,14 @@ def article_sheet(articles: DataFrame, sheet: DataFrame, level: str, meta: DataF
 
 def entity_sheet(articles: DataFrame, sheet: DataFrame, level: str, values: str, name: str,
                  countries: DataFrame | None = None, top: int = 100) -> DataFrame:
-    """Leading entities per cluster by code; the cut comes before blank names go."""
+    """Leading entities per cluster by code; blank names go before the cut."""
     key = cluster_column(level)
-    stats = entity_stats(restrict(articles, sheet, key), key, values, name, top)
+    stats = entity_stats(restrict(articles, sheet, key), key, values, name)
+    stats = stats.where(text.clean(F.col(name)) != "")
+    stats = top_n(stats, [key], [F.col("freq").desc(), F.col(name).asc()], top)
     if countries is not None:
         stats = country_names(stats, countries, name)
-    stats = stats.withColumn(name, text.clean(F.col(name))).where(F.col(name) != "")
+    stats = stats.withColumn(name, text.clean(F.col(name)))
     rows = stats.join(sheet.select(key, "cluster_code"), key, "left").withColumn(
         "cluster_code", text.clean(F.col("cluster_code"))).select(
         "cluster_code", name, "freq", "avg_publication_year", "avg_citation")
@@ -151,25 +154,32 @@ def _list_per_cluster(rows: DataFrame, order: list, fields: list[str], n: int, n
 def report_clusters(micro: DataFrame, papers: DataFrame, countries: DataFrame, institutions: DataFrame,
                     keywords: DataFrame, scratch: Scratch, names: DataFrame | None = None,
                     macro_names: DataFrame | None = None, macro_colors: DataFrame | None = None,
-                    titles: int = 10, entities: int = 20) -> DataFrame:
+                    titles: int = 10, entities: int = 20, country_table: DataFrame | None = None) -> DataFrame:
     """One nested row per micro cluster: metrics, names, titles and entities.
 
-    Arrays hold at most ``titles`` or ``entities`` rows.
+    Arrays hold at most ``titles`` or ``entities`` rows, chosen after blank names
+    are gone, so ``countries`` and ``institutions`` are given uncut.  Of several
+    rows for one key the first in text order counts.  ``country_table`` turns
+    country codes into names.
     """
     spark = micro.sparkSession
     key, macro = "micro_cluster", F.col("macro_cluster")
     rows = with_display_ids(micro, key, scratch, "yearly_rank_citations")
     given = names if names is not None else spark.createDataFrame([], _NO_NAMES)
     given = given.select(F.col("cluster").alias(key), *[text.blank_to_null(F.col(c)).alias(c) for c in NAME_FIELDS])
+    given = first_per_key(given, [key], [F.col(c).asc_nulls_last() for c in ("name", "short_name", "description")])
     labels = macro_names if macro_names is not None else spark.createDataFrame([], "macro_cluster bigint, name string")
     colors = macro_colors if macro_colors is not None else spark.createDataFrame(
         [], "macro_cluster bigint, color_hex string")
 
+    if country_table is not None:
+        countries = country_names(countries, country_table)
     lists = [
         _list_per_cluster(
             papers.select(key, text.clean(F.col("title")).alias("title"),
-                          F.coalesce("citations", F.lit(0)).alias("citations"), "publication_year", "id"),
-            [F.col("citations").desc(), F.col("id").asc()],
+                          F.coalesce("citations", F.lit(0)).alias("citations"), "publication_year", "id",
+                          F.col("citations").alias("_cited")),
+            [F.col("_cited").desc_nulls_last(), F.col("id").asc()],
             ["title", "citations", "publication_year"], titles, "top_titles"),
         *[_list_per_cluster(
             df.where(~text.is_blank_like(F.col(name))).withColumn(name, text.clean(F.col(name))),
@@ -177,10 +187,14 @@ def report_clusters(micro: DataFrame, papers: DataFrame, countries: DataFrame, i
             [name, "freq", "avg_publication_year", "avg_citation"], entities, column)
           for df, name, column in ((countries, "country", "countries"),
                                    (institutions, "institution", "institutions"))]]
-    rows = rows.join(given, key, "left") \
-        .join(keywords.select(F.col("cluster").alias(key), "keywords"), key, "left") \
-        .join(labels.select("macro_cluster", F.col("name").alias("_label")), "macro_cluster", "left") \
-        .join(colors.select("macro_cluster", F.col("color_hex").alias("_color")), "macro_cluster", "left")
+    words = first_per_key(keywords.select(F.col("cluster").alias(key), "keywords"), [key],
+                          [F.col("keywords").asc_nulls_last()])
+    labels = first_per_key(labels.select("macro_cluster", F.col("name").alias("_label")), ["macro_cluster"],
+                           [F.col("_label").asc_nulls_last()])
+    colors = first_per_key(colors.select("macro_cluster", F.col("color_hex").alias("_color")), ["macro_cluster"],
+                           [F.col("_color").asc_nulls_last()])
+    rows = rows.join(given, key, "left").join(words, key, "left") \
+        .join(labels, "macro_cluster", "left").join(colors, "macro_cluster", "left")
     for part in lists:
         rows = rows.join(part, key, "left")
 

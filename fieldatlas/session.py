@@ -1,15 +1,12 @@
 """Session settings and the scratch tables that cut long lineages.
 
 Scratch tables live in the folder named by ``spark.checkpoint.dir``, so they
-survive the loss of any executor.  A private folder is made up only when the
-setting is absent and the master is local, as in tests.
+survive the loss of any executor.  Where the setting is absent they go to the
+session's warehouse, which is shared as well.
 """
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +21,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-_local_folder: str | None = None
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every job relies on."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -35,31 +29,30 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder for scratch tables."""
-    global _local_folder
+    """The shared folder for scratch tables: spark.checkpoint.dir, else a folder in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="fieldatlas-")
-        atexit.register(shutil.rmtree, _local_folder, True)
-    return _local_folder
-
-
-def widened(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than cores before work that is heavy per row."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 class Scratch:
     """Writes intermediate tables and reads them back with a short plan.
 
-    What is still there when the driver ends is removed with it.
+    Used as a context manager it removes its tables at the end of the block, so
+    the block must have written its results elsewhere.  What is still there when
+    the driver ends is removed with it.
     """
 
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        """Remove every table of this object."""
+        folder, files = self._files(self.root)
+        files.delete(folder, True)
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{scratch_folder(spark).rstrip('/')}/fieldatlas-{uuid.uuid4().hex}"
