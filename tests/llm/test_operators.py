@@ -215,6 +215,14 @@ def test_set_join_equals_brute_force(spark, docs, rows, scratch, size, percent):
     assert asserted(got, columns) == brute_sets(near, size, percent)
 
 
+def test_set_join_of_a_large_group(spark, scratch, monkeypatch):
+    monkeypatch.setattr(setjoin, "_LARGE", 4)
+    monkeypatch.setattr(setjoin, "_BLOCK", 5)
+    near = near_copies()
+    got = setjoin.components(spark.createDataFrame(near, "doc_id long, text string"), scratch, 3, 90)
+    assert asserted(got, ["doc_id", "n_shingles", "component_id"]) == brute_sets(near, 3, 90)
+
+
 def test_set_join_without_rows_or_ids(spark, nothing, scratch):
     assert setjoin.components(nothing, scratch, 3, 90).count() == 0
     got = setjoin.components(spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (None, "z"), (None, None)],
