@@ -34,9 +34,9 @@ def test_names_from_titles(spark):
                                "c bigint, t array<string>")
     rows = {r.c: r for r in df.select("c", text.fallback_name(F.col("c"), F.col("t")).alias("n"),
                                       text.fallback_description(F.col("c"), F.col("t")).alias("d")).collect()}
-    assert rows[1].n == "The State-Of Art A B C" and rows[1].d.endswith("by: the state-of art: a b c d e; x; y.")
+    assert rows[1].n == "The State-Of Art A B C" and rows[1].d.endswith("works: the state-of art: a b c d e; x; y.")
     assert rows[2].n == "Macro Topic 2" and rows[3].n == "Macro Topic 3" and rows[4].n == "Macro Topic 4"
-    assert rows[3].d.endswith("macro cluster 3.")
+    assert rows[3].d == "Field of cluster 3 without titled works."
 
 
 def test_enriched_text(spark):
