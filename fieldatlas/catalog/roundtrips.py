@@ -9,7 +9,7 @@ from fieldatlas import derive
 from fieldatlas.catalog import fragments as q
 from fieldatlas.catalog.reports import report
 from fieldatlas.catalog.subqueries import _CHOSEN, _entities, _subset_tables
-from fieldatlas.operators import graph, reports, selection
+from fieldatlas.operators import communities, graph, reports, selection
 from fieldatlas.plans import network, subquery
 from fieldatlas.session import Scratch
 from fieldatlas.sources import readers, writers
@@ -144,7 +144,26 @@ def _forest(spark: SparkSession, folder: str) -> DataFrame:
     return graph.spanning_forest(scratch.save(coarse), scratch)
 
 
+def _planted(spark: SparkSession, folder: str) -> DataFrame:
+    """Communities of the orders of customers with three or more, each named by its smallest member.
+
+    Orders cite the customer's first order; openings are joined by single weak
+    links.  The resolution lies where leaving one's star never pays and joining
+    two stars never does, so the customers are the best partition.
+    """
+    scratch = Scratch(spark)
+    orders = derive.table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    large = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+    kept = scratch.save(orders.join(large, "o_custkey", "left_semi").select(F.col("o_orderkey").alias("node")))
+    edges = scratch.save(graph.induced(graph.undirected(derive.lineage_citations(spark, folder)), kept))
+    weight = edges.agg(F.sum("w")).first()[0] or 0.0
+    found = scratch.save(communities.detect(edges, kept, weight / 60.0, scratch))
+    first = found.groupBy("community").agg(F.min("node").alias("first"))
+    return found.join(first, "community").select("node", "first")
+
+
 QUERIES = {
+    "communities_planted": _planted,
     "roundtrip_nodes": _nodes,
     "roundtrip_edges": _edges,
     "roundtrip_network": _network,
@@ -171,6 +190,8 @@ _SUBSET_ENTITIES = f"""WITH {q.MICRO}, {_CHOSEN},
   inside AS (SELECT * FROM works WHERE micro_cluster IN (SELECT micro_cluster FROM chosen)) """
 
 SQL = {
+    "communities_planted": """SELECT o_orderkey AS node, min(o_orderkey) OVER (PARTITION BY o_custkey) AS first
+      FROM orders QUALIFY count(*) OVER (PARTITION BY o_custkey) >= 3""",
     "roundtrip_nodes": """SELECT 'W' || doc_id AS id, split_part(text, '.', 1) AS title, lang AS language,
       n_chars AS citations, source AS publication_source, (1990 + doc_id % 37)::INT AS publication_year,
       NULL::VARCHAR AS doi FROM documents""",

@@ -41,7 +41,7 @@ def check_total(clusters: DataFrame) -> None:
 
 def three_levels(edges: DataFrame, gammas: tuple[float, float, float] = (10.0, 5.0, 2.0),
                  keep: float = 0.30, from_pruned: bool = True, seed: int = 1,
-                 rounds: int = 50, level_rounds: int = 5) -> DataFrame:
+                 rounds: int = 400) -> DataFrame:
     """Micro, meso and macro clusters of the largest component of a directed edge list.
 
     Input rows are ``src, dst, weight``; output rows are ``node_id`` and the three
@@ -54,9 +54,9 @@ def three_levels(edges: DataFrame, gammas: tuple[float, float, float] = (10.0, 5
 
     micro = scratch.save(graph.compacted(
         communities.detect(inside, nodes, gammas[0], scratch, rounds=rounds, seed=seed, refine=True), scratch))
-    meso, meso_raw, meso_graph = _upper_level(inside, micro, gammas[1], keep, seed, level_rounds, scratch)
+    meso, meso_raw, meso_graph = _upper_level(inside, micro, gammas[1], keep, seed, rounds, scratch)
     below = meso_graph if from_pruned else meso_raw
-    macro, _, _ = _upper_level(below, meso, gammas[2], keep, seed, level_rounds, scratch)
+    macro, _, _ = _upper_level(below, meso, gammas[2], keep, seed, rounds, scratch)
 
     clusters = scratch.save(compose(micro, meso, macro))
     check_total(clusters)
