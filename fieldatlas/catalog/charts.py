@@ -196,6 +196,7 @@ QUERIES = {
     "bars_table_macro": _bars("macro"),
     "scatter_table_micro": _scatter("micro"),
     "scatter_table_meso": _scatter("meso"),
+    "scatter_table_macro": _scatter("macro"),
     "label_anchors": _anchors,
     "map_layers": _layers,
     "labelled_points": _labelled,
@@ -307,7 +308,7 @@ clusters AS (SELECT row_number() OVER (ORDER BY publications DESC, yearly_rank_c
 
 SQL = {
     **{f"bars_table_{level}": _bars_sql(level) for level in ("micro", "meso", "macro")},
-    **{f"scatter_table_{level}": _scatter_sql(level) for level in ("micro", "meso")},
+    **{f"scatter_table_{level}": _scatter_sql(level) for level in ("micro", "meso", "macro")},
     "label_anchors": f"""WITH {_POINTS} SELECT cluster, median(x) AS cx, median(y) AS cy, count(*) AS n_docs
       FROM pts GROUP BY 1 HAVING count(*) >= 20""",
     "map_layers": f"""WITH {q.MICRO}, {_POINTS},
