@@ -240,11 +240,120 @@ def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -
         found = scratch.save(fresh if found is None else found.unionAll(fresh))
         labels = scratch.save(connected_components(found.withColumn("w", F.lit(1.0)), scratch))
         members = _split_buckets(members, labels, scratch)
+    counts = members.groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
+    members = scratch.save(lookup(members, counts, "sig"))
+    return scratch.save(found.unionAll(_small_bucket_links(members.where(F.col("members") <= _LARGE), sets, percent))
+                        .unionAll(_large_bucket_links(members.where(F.col("members") > _LARGE), sets, percent, scratch)))
+
+
+_LARGE = 48  # buckets up to this size list their pairs of different components
+
+
+def _small_bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across components of small buckets, pair by pair."""
     x = members.select("sig", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
     y = members.select("sig", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    rest = x.join(y, "sig").where(F.col("a") < F.col("b")).where("ca <> cb") \
-            .where(_similar_sizes("na", "nb", percent)).select("a", "b").distinct()
-    return scratch.save(found.unionAll(verified(rest, sets, percent)))
+    pairs = x.join(y, "sig").where(F.col("a") < F.col("b")).where("ca <> cb") \
+             .where(_similar_sizes("na", "nb", percent)).select("a", "b").distinct()
+    return verified(pairs, sets, percent)
+
+
+_BLOCK = 256  # sets that a task holds while the rest of a bucket streams past
+
+
+class _Sets:
+    """Postings of the tokens of some sets, for their intersections with others."""
+
+    def __init__(self, docs: list[int], groups: list[int], tokens: list[np.ndarray]):
+        self.docs, self.groups = np.array(docs), np.array(groups)
+        self.sizes = np.array([len(t) for t in tokens])
+        flat = np.concatenate(tokens)
+        order = np.argsort(flat, kind="stable")
+        self.vocab, first = np.unique(flat[order], return_index=True)
+        self.first, self.count = first, np.diff(np.r_[first, len(flat)])
+        self.owner = np.repeat(np.arange(len(docs)), self.sizes)[order]
+
+    def intersections(self, tokens: list[np.ndarray]) -> np.ndarray:
+        """Own sets x given sets."""
+        flat = np.concatenate(tokens)
+        of = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+        at = np.minimum(np.searchsorted(self.vocab, flat), len(self.vocab) - 1)
+        hit = self.vocab[at] == flat
+        at, of = at[hit], of[hit]
+        mine = self.owner[bw.ranges(self.first[at], self.count[at])]
+        cell = mine * len(tokens) + np.repeat(of, self.count[at])
+        return np.bincount(cell, minlength=len(self.docs) * len(tokens)).reshape(len(self.docs), -1)
+
+
+def _compare_blocks(percent: int):
+    """Links between sets of different components; rows arrive by block, its own sets first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, own, held = None, [], None
+        for batch in batches:
+            out: list[tuple[int, int, int]] = []  # own set, other set, its component
+            rows = zip(*(batch.column(k).to_pylist() for k in ("sig", "block", "other", "doc", "component")),
+                       _arrays(batch.column("tokens")), strict=True)
+            others: list[tuple] = []
+
+            def flush(others=others, out=out):
+                for k in range(0, len(others), 64):
+                    some = others[k: k + 64]
+                    inter = held.intersections([o[2] for o in some])
+                    total = held.sizes[:, None] + np.array([len(o[2]) for o in some])[None, :] - inter
+                    group = np.array([o[1] for o in some])
+                    near = (inter * 100 >= total * percent) & (held.groups[:, None] != group[None, :])
+                    for i, j in zip(*np.nonzero(near), strict=True):
+                        out.append((int(held.docs[i]), int(some[j][0]), int(group[j])))
+                others.clear()
+
+            for sig, block, other, doc, component, tokens in rows:
+                if (sig, block) != key:
+                    flush()
+                    key, own, held = (sig, block), [], None
+                if not other:
+                    own.append((doc, component, tokens))
+                    continue
+                if held is None:
+                    held = _Sets(*map(list, zip(*own, strict=True)))
+                others.append((doc, component, tokens))
+            flush()
+            one = {(a, group): b for a, b, group in out}  # one link to each component is enough
+            pairs = [(min(a, b), max(a, b)) for (a, _), b in one.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+    return run
+
+
+def _arrays(column: pa.Array) -> list[np.ndarray]:
+    flat, ends = column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()
+    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _large_bucket_links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links across components of large buckets, compared in blocks and never listed as candidates.
+
+    Buckets that share members form one group, so a set is sent once, not once a
+    bucket.  One component of a group, the largest there, needs no block of its
+    own: any pair of two components has a member outside it.
+    """
+    lead = members.groupBy("sig").agg(F.min("doc").alias("first"))
+    stars = lookup(members, lead, "sig").where("doc <> first").select(F.col("first").alias("a"), F.col("doc").alias("b"))
+    groups = connected_components(stars.distinct().withColumn("w", F.lit(1.0)), scratch) \
+        .select(F.col("node").alias("doc"), F.col("component").alias("sig"))
+    members = scratch.save(lookup(members.select("doc", "component").distinct(), groups, "doc"))
+    sizes = members.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("k"))
+    rest = sizes.groupBy("sig").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("all")) \
+        .where(F.col("all") > F.col("top.k")).select(
+            "sig", F.col("top.component").alias("main"),
+            F.ceil((F.col("all") - F.col("top.k")) / _BLOCK).cast("int").alias("blocks"))
+    rows = lookup(members, rest, "sig")
+    own = rows.where("component <> main").select("sig", F.pmod(F.xxhash64("doc"), "blocks").cast("int").alias("block"),
+                                                 F.lit(False).alias("other"), "doc", "component")
+    other = rows.select("sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                        F.lit(True).alias("other"), "doc", "component")
+    filled = own.select("sig", "block").distinct()
+    dealt = lookup(own.unionAll(other.join(filled, ["sig", "block"], "left_semi")), sets, "doc")
+    return dealt.repartition("sig", "block").sortWithinPartitions("sig", "block", "other") \
+                .mapInArrow(_compare_blocks(percent), "a long, b long").distinct()
 
 
 def token_sets(documents: DataFrame, size: int) -> DataFrame:
