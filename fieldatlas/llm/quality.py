@@ -27,12 +27,12 @@ MEASURES = {"symbol_share": (0.02, False), "dup_line_share": (0.1, False), "repe
             "mean_word": (1.0, True)}
 
 
-def _repeat_words(words: Column) -> Column:
-    """Words inside three-word windows that occur at least twice in their text."""
+def _windows(words: Column) -> Column:
+    """Hashes of all runs of three words."""
     n = F.size(words)
-    windows = F.when(n >= 3, F.transform(F.slice(words, F.lit(1), F.greatest(n - 2, F.lit(0))), lambda w, i: F.xxhash64(
-        w, F.get(words, i + 1), F.get(words, i + 2)))).otherwise(F.array().cast("array<long>"))
-    return windows
+    hashes = F.transform(F.slice(words, F.lit(1), F.greatest(n - 2, F.lit(0))),
+                         lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+    return F.when(n >= 3, hashes).otherwise(F.array().cast("array<long>"))
 
 
 def measured(documents: DataFrame, keep: list[str]) -> DataFrame:
@@ -46,7 +46,7 @@ def measured(documents: DataFrame, keep: list[str]) -> DataFrame:
                 F.regexp_count("_text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
                 F.size("_lines").alias("_n_lines"),
                 (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines")) \
-        .withColumn("_windows", _repeat_words(F.col("_words"))).drop("_words")
+        .withColumn("_windows", _windows(F.col("_words"))).drop("_words")
     # only texts with a repeated window sort their windows with positions
     placed = F.when(F.size("_windows") > F.size(F.array_distinct("_windows")), F.sort_array(F.transform(
         "_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))

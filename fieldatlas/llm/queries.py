@@ -263,5 +263,24 @@ SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN coalesce(sum(n
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest THEN 1 ELSE 0 END)::INT AS copies
 FROM o"""
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_warc": op2_warc, "op3_suffix_dedup": op3_suffix_dedup, "op4_quality_rules": op4_quality_rules, "op7_mixing": op7_mixing, "op5_embedding_dedup": op5_embedding_dedup, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_toxicity": op8_toxicity, "op9_bpe": op9_bpe, "op10_substring_dedup": op10_substring_dedup}
-SQL: dict[str, str] = {"op3_suffix_dedup": OP3_SQL, "op2_warc": OP2_SQL, "op4_quality_rules": OP4_SQL, "op7_mixing": OP7_SQL, "op5_embedding_dedup": OP5_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_substring_dedup": OP10_SQL}
+QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_warc": op2_warc,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_mixing": op7_mixing,
+    "op8_toxicity": op8_toxicity,
+    "op9_bpe": op9_bpe,
+    "op10_substring_dedup": op10_substring_dedup,
+}
+SQL = {
+    "op2_warc": OP2_SQL,
+    "op3_suffix_dedup": OP3_SQL,
+    "op4_quality_rules": OP4_SQL,
+    "op5_embedding_dedup": OP5_SQL,
+    "op6_ngram_jaccard_join": OP6_SQL,
+    "op7_mixing": OP7_SQL,
+    "op10_substring_dedup": OP10_SQL,
+}
