@@ -11,6 +11,7 @@ one nested row per capture.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -99,8 +100,9 @@ def records(pages: DataFrame, least: int = 0) -> DataFrame:
 
 
 def write(pages: DataFrame, folder: str, least: int = 0) -> None:
-    """Write archives of all pages; a file holds at most RECORDS_PER_FILE records."""
-    records(pages, least).write.option("lineSep", END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
+    """Write compressed archives of all pages; a file holds at most RECORDS_PER_FILE records."""
+    records(pages, least).write.option("lineSep", END).option("maxRecordsPerFile", RECORDS_PER_FILE) \
+                                .option("compression", "gzip").text(folder)
 
 
 # --- reading -------------------------------------------------------------------
@@ -108,9 +110,11 @@ def write(pages: DataFrame, folder: str, least: int = 0) -> None:
 _HEAD = re.compile(rb"WARC/1\.[01]\r\n")
 
 
-def parse(data: memoryview) -> Iterator[tuple[dict[bytes, bytes], memoryview]]:
-    """Header fields and block of each record of an archive."""
-    raw, at = data.obj if isinstance(data.obj, bytes) else bytes(data), 0
+def parse(data: bytes) -> Iterator[tuple[dict[bytes, bytes], memoryview]]:
+    """Header fields and block of each record of an archive, compressed or not."""
+    raw, at = bytes(data), 0
+    if raw.startswith(b"\x1f\x8b"):
+        raw = gzip.decompress(raw)
     while at < len(raw):
         if not _HEAD.match(raw, at):
             raise ValueError(f"no record at byte {at}")
@@ -128,7 +132,7 @@ def _read_step(batch: pa.RecordBatch) -> Iterator[dict]:
         out: dict[str, list] = {k: [] for k in ("kind", "id", "request", "refers", "digest", "size", "found", "page", "uri",
                                                 "payload")}
         text = lambda fields, k: fields[k].decode() if k in fields else None
-        for fields, block in parse(memoryview(content.as_py())):
+        for fields, block in parse(content.as_py()):
             kind = fields[b"warc-type"].decode()
             if kind not in _KINDS:
                 continue

@@ -1,5 +1,6 @@
 """Every corpus operator against brute force on small tables with nulls, ties, repeats and long texts."""
 
+import gzip
 import hashlib
 import random
 import re
@@ -303,7 +304,7 @@ def test_archive_keeps_payloads_and_files_are_warc(spark, scratch, tmp_path):
     warc.write(pages, str(tmp_path / "w"))
     read = warc.captures(warc.read(spark, str(tmp_path / "w")), scratch)
     assert {r.metadata.page: r.response.payload for r in read.collect()} == {1: "x\r\n\r\ny", 2: "z"}
-    raw = b"".join(p.read_bytes() for p in (tmp_path / "w").glob("part-*"))
+    raw = b"".join(gzip.decompress(p.read_bytes()) for p in (tmp_path / "w").glob("part-*"))
     assert raw.startswith(b"WARC/1.1\r\n") and raw.endswith(b"\r\n\r\n") and raw.count(b"WARC-Type: ") == 6
 
 
