@@ -9,7 +9,7 @@ for sets that have too many of them for the pigeonhole argument to do without.
 
 Equal sets are one class from the start, candidates are verified on whole sets,
 and a bucket of candidates is searched by stars: its members are compared with
-one leader; only members that stay in other components are compared further.
+its first and last one; only members that stay in other components are compared further.
 """
 
 from __future__ import annotations
@@ -213,11 +213,11 @@ def _similar_sizes(x: str, y: str, percent: int):
     return (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
 
 
-def _stars(members: DataFrame, percent: int, last: bool) -> DataFrame:
-    """Pairs of each bucket's first (or last) member with the others."""
-    pick = F.max if last else F.min
-    lead = members.groupBy("sig").agg(pick(F.struct("doc", "n")).alias("lead"))
-    rows = lookup(members, lead, "sig").where(F.col("doc") != F.col("lead.doc"))
+def _stars(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each bucket's first and last member with the others."""
+    place = F.struct("doc", "n")
+    lead = members.groupBy("sig").agg(F.array_distinct(F.array(F.min(place), F.max(place))).alias("lead"))
+    rows = lookup(members, lead, "sig").withColumn("lead", F.explode("lead")).where(F.col("doc") != F.col("lead.doc"))
     return rows.where(_similar_sizes("n", "lead.n", percent)) \
                .select(F.least("doc", "lead.doc").alias("a"), F.greatest("doc", "lead.doc").alias("b")).distinct()
 
@@ -234,12 +234,9 @@ def _split_buckets(members: DataFrame, labels: DataFrame, scratch: Scratch) -> D
 
 def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Enough verified pairs ``a, b`` to connect every component of the similarity graph."""
-    found = None
-    for last in (False, True):
-        fresh = verified(_stars(members, percent, last), sets, percent)
-        found = scratch.save(fresh if found is None else found.unionAll(fresh))
-        labels = scratch.save(connected_components(found.withColumn("w", F.lit(1.0)), scratch))
-        members = _split_buckets(members, labels, scratch)
+    found = scratch.save(verified(_stars(members, percent), sets, percent))
+    labels = scratch.save(connected_components(found.withColumn("w", F.lit(1.0)), scratch))
+    members = _split_buckets(members, labels, scratch)
     counts = members.groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
     members = scratch.save(lookup(members, counts, "sig"))
     return scratch.save(found.unionAll(_small_bucket_links(members.where(F.col("members") <= _LARGE), sets, percent))
