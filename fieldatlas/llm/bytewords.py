@@ -120,7 +120,7 @@ def owner(first: np.ndarray, index: np.ndarray) -> np.ndarray:
     return np.searchsorted(first, index, "right") - 1
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``limit`` bytes of text each, so that working arrays stay small."""
     lengths = np.diff(flat(batch.column(column))[1])
     row = 0

@@ -80,9 +80,10 @@ def _settled(key, doc, tag, start) -> Iterator[dict]:
         yield {"key": bw.mixed((t[heads] ^ (s[heads] << 1)).astype(np.uint64)).view(np.int64), "doc": doc[at][heads],
                "tag": t[heads], "start": s[heads], "length": s[last] - s[heads] + SIZE,
                "covered": np.ones(len(heads), bool)}
-    on = ~covered
+    on = np.flatnonzero(~covered)
+    on = on[np.lexsort((start[on], tag[on]))]  # rows of one text side by side compress well
     yield {"key": key[on], "doc": doc[on], "tag": tag[on], "start": start[on],
-           "length": np.full(int(on.sum()), SIZE), "covered": np.zeros(int(on.sum()), bool)}
+           "length": np.full(len(on), SIZE), "covered": np.zeros(len(on), bool)}
 
 
 _ROWS = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("start", pa.int32()),
