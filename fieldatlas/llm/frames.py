@@ -12,7 +12,7 @@ from fieldatlas.session import configure
 # Python tasks see a few hundred texts at a time, whatever their length.
 ARROW_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
-    "spark.sql.execution.pythonUDF.arrow.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",  # scratch tables
 }
 
 

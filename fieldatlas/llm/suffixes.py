@@ -36,8 +36,9 @@ SIZE = 100            # bytes of a repeated string
 _GRAM = 32            # bytes of an anchor
 _WIDTH = SIZE - _GRAM + 1
 _CHUNK = 1 << 20      # anchors that a task settles at once
-_BATCH = 1 << 20      # bytes of a suffix array
-HOT_BUCKET = 10_000   # buckets with more members are dealt out by the first 100 bytes of their suffixes
+_PIECE = 1 << 20      # bytes of text hashed at once
+_BATCH = 1 << 19      # bytes of pieces searched at once
+HOT_BUCKET = 50_000   # buckets with more members are dealt out by the first 100 bytes of their suffixes
 
 
 # --- anchors ---------------------------------------------------------------------
@@ -78,8 +79,8 @@ def anchors(data: np.ndarray, places: np.ndarray, sums=None) -> tuple[np.ndarray
     return at, grams[at]
 
 
-def _anchor_hashes(part: pa.RecordBatch) -> np.ndarray:
-    return anchors(*bw.flat(part.column("text")))[1]
+def _anchor_hashes(batch: pa.RecordBatch) -> np.ndarray:
+    return np.concatenate([anchors(*bw.flat(part.column("text")))[1] for part in bw.pieces(batch, "text", _PIECE)])
 
 
 _ROWS = pa.schema([("key", pa.int64()), ("around", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()),
@@ -93,6 +94,8 @@ def _settled(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
     rows = {k: v[order] for k, v in rows.items()}
     key, around = rows["key"], rows["around"]
     rows["covered"] = ~np.r_[True, (key[1:] != key[:-1]) | (around[1:] != around[:-1])]
+    order = np.lexsort((rows["at"], rows["tag"]))  # rows of one text side by side compress well
+    rows = {k: v[order] for k, v in rows.items()}
     return pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in _ROWS], schema=_ROWS)
 
 
@@ -103,7 +106,7 @@ def surroundings(documents: DataFrame, sketch: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
         for batch in batches:
-            for part in bw.pieces(batch, "text", 1 << 22):
+            for part in bw.pieces(batch, "text", _PIECE):
                 data, places = bw.flat(part.column("text"))
                 if len(data) < SIZE:
                     continue
@@ -132,39 +135,19 @@ def surroundings(documents: DataFrame, sketch: np.ndarray) -> DataFrame:
 
 # --- the enhanced suffix array ------------------------------------------------------
 
-def suffix_array(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """Rank of the suffix at every place, none longer than to ``ends``, and the ranks of its first 8..128 bytes."""
-    n = len(data)
-    left = ends - np.arange(n)
-    word = np.zeros(n, np.uint64)
-    for k in range(8):
-        byte = np.zeros(n, np.uint64)
-        byte[: n - k] = data[k:]
-        word = (word << np.uint64(8)) | np.where(left > k, byte, np.uint64(0))
-    ranks = {8: np.unique(word, return_inverse=True)[1].astype(np.uint64) + np.uint64(1)}
-    width = 8
-    while width < 256:
-        rank = ranks[width]
-        after = np.zeros(n, np.uint64)
-        after[: n - width] = rank[width:]
-        after[left <= width] = 0
-        width *= 2
-        ranks[width] = np.unique((rank << np.uint64(32)) | after, return_inverse=True)[1].astype(np.uint64) + np.uint64(1)
-    return ranks[256], ranks
-
-
-def common_prefixes(a: np.ndarray, b: np.ndarray, data: np.ndarray, ends: np.ndarray,
-                    ranks: dict[int, np.ndarray]) -> np.ndarray:
-    """Length of the common prefix of the suffixes at ``a`` and ``b``."""
-    most = np.minimum(ends[a] - a, ends[b] - b)
-    out = np.zeros(len(a), np.int64)
-    last = len(data) - 1
-    for width in (128, 64, 32, 16, 8):
-        same = (out + width <= most) & (ranks[width][np.minimum(a + out, last)] == ranks[width][np.minimum(b + out, last)])
-        out += width * same
-    for _ in range(7):
-        out += (out < most) & (data[np.minimum(a + out, last)] == data[np.minimum(b + out, last)])
-    return out
+def suffix_array(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the given suffixes, each reaching to its ``end``, and the common prefix of each with the next."""
+    length = end - start
+    width = -(-int(length.max()) // 8) * 8
+    rows = np.zeros((len(start), width), np.uint8)
+    for k in range(width):
+        rows[:, k] = np.where(k < length, data[np.minimum(start + k, len(data) - 1)], 0)
+    words = rows.view(">u8")
+    order = np.lexsort([length, *words.T[::-1]])
+    rows, length = rows[order], length[order]
+    apart = rows[1:] != rows[:-1]
+    same = np.where(apart.any(1), apart.argmax(1), width)
+    return order, np.minimum(same, np.minimum(length[1:], length[:-1]))
 
 
 def _tree(lcp: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -183,30 +166,37 @@ def _tree(lcp: np.ndarray) -> Iterator[tuple[int, int, int]]:
 def maximal_repeats(data: np.ndarray, begin: np.ndarray, end: np.ndarray,
                     size: int = SIZE) -> Iterator[tuple[int, np.ndarray]]:
     """Length and all places of every maximal repeat of at least ``size`` bytes of the pieces ``begin..end``."""
-    lengths = end - begin
-    ends = np.zeros(len(data), np.int64)
-    ends[bw.ranges(begin, lengths)] = np.repeat(end, lengths)
-    rank, ranks = suffix_array(data, ends)
-    start = bw.ranges(begin, np.maximum(lengths - size + 1, 0))
-    if len(start) < 2:
-        return
-    sa = start[np.argsort(rank[start], kind="stable")]
-    lcp = common_prefixes(sa[:-1], sa[1:], data, ends, ranks)
-    before = np.where(sa > 0, data[sa - 1], 0).astype(np.int64)
-    edge = np.zeros(len(data) + 1, bool)
-    edge[begin] = True
-    bare = np.flatnonzero(edge[sa])
-    before[bare] = -1 - bare  # nothing on the left within the piece: like no other
-    runs = np.flatnonzero(np.diff(np.r_[False, lcp >= size, False].astype(np.int8)))
-    first, last = runs[::2], runs[1::2]  # members first..last of each run
-    if not len(first):
+    n = np.maximum(end - begin - size + 1, 0)
+    at, stop = bw.ranges(begin, n), np.repeat(end.astype(np.int32), n)
+    if len(at) < 2:
         return
-    differs = np.r_[False, before[1:] != before[:-1]]
-    changes = np.cumsum(differs)
-    for a, b in zip(first[changes[last] > changes[first]], last[changes[last] > changes[first]], strict=True):
-        for length, x, y in _tree(lcp[a:b]):
-            if changes[a + y] > changes[a + x]:  # left-diverse
-                yield length, sa[a + x: a + y + 1]
+    sums, down = _prefix_sums(data)
+    head = bw.mixed((sums[at + size] - sums[at]) * down[at])  # of the first bytes: equal in every interval wanted
+    before = np.where(at > np.repeat(begin, n), data[at - 1], -1 - np.arange(len(at)))  # no byte: like no other
+    order = np.argsort(head, kind="stable")
+    at, stop, head, before = at[order], stop[order], head[order], before[order]
+    group = np.cumsum(np.r_[0, head[1:] != head[:-1]])
+    heads = np.flatnonzero(np.r_[True, head[1:] != head[:-1]])
+    # where all follow the same byte, the whole subtree lies inside a longer repeat
+    keep = (np.minimum.reduceat(before, heads) < np.maximum.reduceat(before, heads))[group]
+    at, stop, before, group = at[keep], stop[keep], before[keep], group[keep]
+    cut = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True]) if len(at) else np.zeros(1, np.int64)
+    first = 0
+    while first < len(cut) - 1:  # arrays of about 32,000 suffixes, whole groups at once
+        last = max(int(np.searchsorted(cut, cut[first] + (1 << 15), "right")) - 1, first + 1)
+        some = slice(int(cut[first]), int(cut[last]))
+        order, lcp = suffix_array(data, at[some], stop[some])
+        sa, left = at[some][order], before[some][order]
+        changes = np.cumsum(np.r_[0, left[1:] != left[:-1]])
+        runs = np.flatnonzero(np.diff(np.r_[False, lcp >= size, False].astype(np.int8)))
+        for a, b in zip(runs[::2].tolist(), runs[1::2].tolist(), strict=True):
+            for length, x, y in _tree(lcp[a:b]):
+                if changes[a + y] > changes[a + x]:  # left-diverse
+                    yield length, sa[a + x: a + y + 1]
+        first = last
+
+
+_LAST = np.iinfo(np.int64).max
 
 
 def _bucket_spans(pieces: list[bytes], doc: np.ndarray, tag: np.ndarray, place: np.ndarray) -> dict[str, np.ndarray]:
@@ -216,19 +206,30 @@ def _bucket_spans(pieces: list[bytes], doc: np.ndarray, tag: np.ndarray, place:
     data = np.frombuffer(b"".join(pieces), np.uint8)
     owner = np.repeat(np.arange(len(pieces)), end - begin)
     inner = np.arange(len(data)) - begin[owner] + place[owner]
-    order = np.lexsort((inner, tag[owner], doc[owner]))
-    d, t, i = doc[owner][order], tag[owner][order], inner[order]
-    turn = np.empty(len(data), np.int64)
-    turn[order] = np.cumsum(np.r_[0, (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (i[1:] != i[:-1])])
-    found: list[tuple[np.ndarray, int]] = []
-    for length, places in maximal_repeats(data, begin, end):
-        when = turn[places]
-        later = places[when > when.min()]
-        if len(later):
-            found.append((later, length))
-    at = np.concatenate([p for p, _ in found]) if found else np.zeros(0, np.int64)
-    length = np.repeat([n for _, n in found], [len(p) for p, _ in found]) if found else at
-    return {"tag": tag[owner[at]], "start": inner[at], "length": length}
+    found = list(maximal_repeats(data, begin, end))
+    if not found:
+        return {"tag": tag[:0], "start": place[:0], "length": place[:0]}
+    at = np.concatenate([places for _, places in found])
+    sizes = np.array([len(places) for _, places in found])
+    heads = np.cumsum(sizes) - sizes
+    later = np.zeros(len(at), bool)
+    for part in (doc[owner[at]], inner[at], tag[owner[at]]):  # not the first occurrence, which several pieces may hold
+        least = np.minimum.reduceat(np.where(later, _LAST, part), heads)
+        later |= part > np.repeat(least, sizes)
+    length = np.repeat([n for n, _ in found], sizes)[later]
+    at = at[later]
+    if not len(at):
+        return {"tag": tag[:0], "start": place[:0], "length": place[:0]}
+    start = inner[at]
+    # overlapping spans of a text become one
+    _, row = np.unique(tag[owner[at]], return_inverse=True)
+    base = row.astype(np.int64) << 32
+    order = np.lexsort((start, row))
+    start, stop = (base + start)[order], (base + start + length)[order]
+    reach = np.maximum.accumulate(stop)
+    heads = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]])
+    return {"tag": tag[owner[at]][order][heads], "start": start[heads] & 0xFFFFFFFF,
+            "length": reach[np.r_[heads[1:], len(start)] - 1] - start[heads]}
 
 
 _SPANS = pa.schema([("tag", pa.int64()), ("start", pa.int32()), ("length", pa.int32())])
@@ -259,9 +260,8 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pieces(documents: DataFrame, mixed_rows: DataFrame) -> DataFrame:
     """The bytes around each given anchor: ``key, hot, piece, doc, tag, start``."""
-    per_row = mixed_rows.groupBy("tag").agg(F.collect_list(F.struct("key", "hot", "doc", "at", "left", "right")).alias("_a"))
-    texts = documents.where(F.col("doc_id").isNotNull()).select("text", row_tag().alias("tag"))
-    joined = lookup(texts, per_row, "tag")
+    per_row = mixed_rows.groupBy("tag").agg(F.collect_list(F.struct("key", "hot", "at", "left", "right")).alias("_a"))
+    texts = documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text", row_tag().alias("tag"))
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
@@ -273,11 +273,11 @@ def _pieces(documents: DataFrame, mixed_rows: DataFrame) -> DataFrame:
             col = {f.name: rows.field(f.name).to_numpy(zero_copy_only=False) for f in rows.type}
             base = np.repeat(places[:-1], n)
             begin, end = base + col["at"] - col["left"], base + col["at"] + col["right"]
-            yield {"key": col["key"], "hot": col["hot"], "doc": col["doc"],
+            yield {"key": col["key"], "hot": col["hot"], "doc": np.repeat(part.column("doc_id").to_numpy(), n),
                    "piece": [raw[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)],
                    "tag": np.repeat(part.column("tag").to_numpy(), n), "start": begin - base}
 
-    return arrow_map(joined, "key long, hot boolean, piece binary, doc long, tag long, start int", step)
+    return arrow_map(lookup(texts, per_row, "tag"), "key long, hot boolean, piece binary, doc long, tag long, start int", step)
 
 
 def _window_rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -315,14 +315,15 @@ def repeated_spans(documents: DataFrame, scratch: Scratch, bits: int = CELL_BITS
     whole = rows.where("covered").select("tag", (F.col("at") - F.col("left")).alias("start"),
                                          (F.col("left") + F.col("right")).alias("length"))
     pieces = scratch.save(_pieces(documents, rows.where("NOT covered")))
-    found = pieces.where("NOT hot").repartition("key").sortWithinPartitions("key") \
-        .select("key", "piece", "doc", "tag", "start").mapInArrow(_search, "tag long, start int, length int")
-    strings = arrow_map(pieces.where("hot").select("piece", "doc", "tag", "start"),
-                        "h1 long, h2 long, doc long, tag long, start int", _window_rows)
+    found = pieces.where("NOT hot").drop("hot").repartition("key").sortWithinPartitions("key") \
+        .mapInArrow(_search, "tag long, start int, length int")
+    spans = whole.unionAll(found)
+    strings = scratch.save(arrow_map(pieces.where("hot").select("piece", "doc", "tag", "start"),
+                                     "h1 long, h2 long, doc long, tag long, start int", _window_rows))
     lead = strings.groupBy("h1", "h2").agg(F.min(F.struct("doc", "start", "tag")).alias("lead"))
     later = lookup(strings, lead, ["h1", "h2"]).where(F.struct("doc", "start", "tag") != F.col("lead")) \
         .select("tag", "start", F.lit(SIZE).alias("length"))
-    return whole.unionAll(found).unionAll(later)
+    return spans.unionAll(later)
 
 
 def _removed(part: pa.RecordBatch, places: np.ndarray) -> np.ndarray:
