@@ -4,12 +4,15 @@ The order-6 counts are kept per class; every lower order is one Kneser-Ney
 continuation table of both classes together, so an expression that neither
 class has seen gets the same backed-off probability from both and says nothing.
 All counts are grouped sums over every training row.  A word's score depends on
-its bytes alone, so each batch scores its distinct words once.
+its bytes alone, so each batch scores its distinct words once.  Where the counts
+have more keys than a task should hold, they stay a table: the distinct words of
+the corpus are scored by a join with it, tasks hold the scores of the most
+frequent words, and the others are joined to the documents that have them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,11 +23,13 @@ from pyspark.sql import functions as F
 
 from fieldatlas.llm import bytewords as bw
 from fieldatlas.llm.frames import arrow_map
+from fieldatlas.operators.joins import lookup
 from fieldatlas.session import Scratch
 
 ORDER = 6
 DISCOUNT = 0.75
-MAX_GRAMS = 1 << 21       # grams and contexts in the model that tasks hold, by count
+MAX_GRAMS = 1 << 21       # a model of more grams or contexts is joined as a table and not held by tasks
+FRONT_WORDS = 1 << 20     # scores of frequent words that tasks hold beside such a table
 CALIBRATION_ROWS = 50_000  # labelled rows that fit the four weights of the final score
 _SPACE = 0x20
 _FEATURES = ("mean_llr", "max_word_llr", "max_word_sum", "log_words")
@@ -40,6 +45,14 @@ class Model:
     context_llr: np.ndarray
 
 
+@dataclass
+class Table:
+    """The same as rows ``h, llr, next``: a context, its back-off's log ratio, and that of each byte seen after it."""
+
+    contexts: DataFrame
+    scratch: Scratch
+
+
 # --- grams of words ----------------------------------------------------------
 
 def _word_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,35 +145,43 @@ def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
         seen = F.greatest(F.col(name) - DISCOUNT, F.lit(0.0)) / total
         return F.when(total > 0, seen + _backoff(name) * F.col("p")).otherwise(F.col("p"))
 
-    per_gram = rows.select(F.col("gram").alias("key"), (F.col("ordinary") + F.col("toxic")).alias("n"),
-                           F.log(probability("toxic") / probability("ordinary")).alias("llr"))
-    per_context = sums.select(F.col("h").alias("key"), (F.col("total_ordinary") + F.col("total_toxic")).alias("n"),
-                              F.log(_backoff("toxic") / _backoff("ordinary")).alias("llr"))
+    per_gram = rows.select(F.col("gram").alias("key"),
+                           F.log(probability("toxic") / probability("ordinary")).cast("float").alias("llr"))
+    per_context = sums.select(F.col("h").alias("key"),
+                              F.log(_backoff("toxic") / _backoff("ordinary")).cast("float").alias("llr"))
     return per_gram, per_context
 
 
-def _bounded(table: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows above the smallest count that leaves at most ``limit`` rows, sorted by key."""
-    sizes = np.array([tuple(r) for r in table.groupBy(F.least("n", F.lit(1 << 16)).alias("n"))
-                      .agg(F.count(F.lit(1)).alias("rows")).orderBy(F.col("n").desc()).collect()] or [(1, 0)])
-    fits = np.cumsum(sizes[:, 1]) <= limit
-    least = int(sizes[fits][-1, 0]) if fits.any() else 1 << 62
-    rows = table.where(F.col("n") >= least).select("key", F.col("llr").cast("float")).toArrow()
+def _held(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    rows = table.toArrow()
     key = rows.column("key").to_numpy()
     order = np.argsort(key)
     return key[order], rows.column("llr").to_numpy()[order]
 
 
-def train(labelled: DataFrame, scratch: Scratch, max_grams: int = MAX_GRAMS) -> Model | None:
-    """Fit both models on all rows ``text, toxic`` (0 or 1); None unless both classes have rows."""
+def _by_context(per_gram: DataFrame, per_context: DataFrame) -> DataFrame:
+    """Rows ``h, llr, next``; a context has at most 256 next bytes."""
+    byte = F.col("key").bitwiseAND(F.lit(255)).cast("int")
+    after = per_gram.groupBy(F.shiftright("key", 8).alias("h")) \
+        .agg(F.map_from_entries(F.collect_list(F.struct(byte, "llr"))).alias("next"))
+    return per_context.withColumnRenamed("key", "h").join(after, "h")
+
+
+def train(labelled: DataFrame, scratch: Scratch, max_grams: int = MAX_GRAMS) -> Model | Table | None:
+    """Fit both models on all rows ``text, toxic`` (0 or 1); None unless both classes have rows.
+
+    Every gram and context is kept; above ``max_grams`` of either they are a table.
+    """
     grams = scratch.save(gram_counts(labelled))
     totals = grams.agg(F.sum("ordinary"), F.sum("toxic")).first()
     if not totals[0] or not totals[1]:
         return None
-    per_gram, per_context = log_ratios(grams)
-    saved = scratch.save(per_gram)
-    model = Model(*_bounded(saved, max_grams), *_bounded(per_context, max_grams))
-    for part in (grams, saved):
+    per_gram, per_context = [scratch.save(part) for part in log_ratios(grams)]
+    if max(per_gram.count(), per_context.count()) > max_grams:
+        model = Table(scratch.save(_by_context(per_gram, per_context)), scratch)
+    else:
+        model = Model(*_held(per_gram), *_held(per_context))
+    for part in (grams, per_gram, per_context):
         scratch.drop(part)
     return model
 
@@ -184,34 +205,122 @@ def word_scores(model: Model, data: np.ndarray, start: np.ndarray, end: np.ndarr
     return np.bincount(word, weights=llr, minlength=len(start))
 
 
-def features(df: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Keep the named columns and add the four length-normalised features of each text."""
-    held = df.sparkSession.sparkContext.broadcast(model)  # at most 2 * MAX_GRAMS keys
-    names = [f"_{name}" for name in _FEATURES]
+def _corpus_words(df: DataFrame) -> DataFrame:
+    """``code, word, n``: every distinct word, and in how many places it stands."""
+    def step(batch: pa.RecordBatch) -> Iterator[dict]:
+        for part in bw.pieces(batch, "text"):
+            data, found, index, inverse = _distinct(part)
+            start, length = found.start[index], (found.end - found.start)[index]
+            ends = np.r_[0, np.cumsum(length)].astype(np.int64)
+            joined = data[bw.ranges(start, length)]
+            yield {"code": found.code[index].view(np.int64), "n": np.bincount(inverse, minlength=len(index)),
+                   "word": pa.LargeStringArray.from_buffers(len(index), pa.py_buffer(ends), pa.py_buffer(joined))}
+
+    parts = arrow_map(df.select("text"), "code long, word string, n long", step)
+    return parts.groupBy("code").agg(F.min("word").alias("word"), F.sum("n").alias("n"))
+
+
+def _scored_words(words: DataFrame, table: Table) -> DataFrame:
+    """``code, total, size, n``: the score of each word by a join of its grams with the whole model."""
+    def step(batch: pa.RecordBatch) -> Iterator[dict]:
+        for part in bw.pieces(batch, "word"):
+            data, places = bw.flat(part.column("word"))
+            grams, word = _word_grams(data, places[:-1], places[1:])
+            yield {"code": part.column("code").to_numpy()[word], "h": grams >> 8, "byte": grams & 255}
+
+    grams = arrow_map(words.select("code", "word"), "code long, h long, byte int", step)
+    llr = F.coalesce(F.col("next")[F.col("byte")], "llr", F.lit(0.0))
+    totals = lookup(grams, table.contexts, "h", "left").groupBy("code").agg(
+        F.sum(llr.cast("double")).alias("total"), F.count(F.lit(1)).alias("size"))
+    return totals.join(words.select("code", "n"), "code")
+
+
+def _front(words: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Codes and scores of the words at or above the smallest number of places that leaves at most ``limit``; that number."""
+    sizes = np.array([tuple(r) for r in words.groupBy(F.least("n", F.lit(1 << 16)).alias("n"))
+                      .agg(F.count(F.lit(1)).alias("rows")).orderBy(F.col("n").desc()).collect()] or [(1, 0)])
+    fits = np.cumsum(sizes[:, 1]) <= limit
+    least = int(sizes[fits][-1, 0]) if fits.any() else 1 << 62
+    front = words.where(F.col("n") >= least).select(F.col("code").alias("key"), F.col("total").alias("llr"))
+    return *_held(front), least
+
+
+def _sums(df: DataFrame, keep: list[str], score: Callable) -> DataFrame:
+    """The kept columns, sums and maxima over each text's words with a score, and ``_open``: the codes of the others.
+
+    ``score`` gives the total of each distinct word of a batch, and whether it has one.
+    """
     given = df.select(*keep, *([] if "text" in keep else ["text"]))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema if f.name in keep]
-                       + [f"{name} double" for name in names])
+                       + ["_sum double, _ratio double, _most double, _bytes long, _n long, _open array<long>"])
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
             data, found, index, inverse = _distinct(part)
-            total = word_scores(held.value, data, found.start[index], found.end[index])
+            total, known = score(data, found, index)
             size = (found.end - found.start)[index] + 1
             n = np.diff(found.first)
             has = n > 0
             heads = found.first[:-1][has]
-            out = np.zeros((4, part.num_rows))
+            out = {name: np.full(part.num_rows, -np.inf) for name in ("_ratio", "_most")}
+            out |= {"_sum": np.zeros(part.num_rows), "_bytes": np.zeros(part.num_rows, np.int64), "_n": n}
+            missing = ~known[inverse]
             if len(heads):
                 sums, sizes = total[inverse], size[inverse]
-                out[0, has] = np.add.reduceat(sums, heads) / np.add.reduceat(sizes, heads)
-                out[1, has] = np.maximum.reduceat(sums / sizes, heads)
-                out[2, has] = np.maximum.reduceat(sums, heads)
-            out[3] = np.log1p(n)
-            yield {name: part.column(name) for name in keep} | dict(zip(names, out, strict=True))
+                out["_sum"][has] = np.add.reduceat(np.where(missing, 0.0, sums), heads)
+                out["_bytes"][has] = np.add.reduceat(sizes, heads)
+                out["_ratio"][has] = np.maximum.reduceat(np.where(missing, -np.inf, sums / sizes), heads)
+                out["_most"][has] = np.maximum.reduceat(np.where(missing, -np.inf, sums), heads)
+            ends = np.r_[0, np.cumsum(missing)][found.first].astype(np.int32)
+            out["_open"] = pa.ListArray.from_arrays(ends, pa.array(found.code[missing].view(np.int64)))
+            yield {name: part.column(name) for name in keep} | out
 
     return arrow_map(given, schema, step)
 
 
+def _as_features(sums: DataFrame, keep: list[str]) -> DataFrame:
+    some = F.col("_n") > 0
+    values = (F.col("_sum") / F.col("_bytes"), F.col("_ratio"), F.col("_most"), F.log1p("_n"))
+    return sums.select(*keep, *[F.when(some, value).otherwise(0.0).alias(f"_{name}")
+                                for name, value in zip(_FEATURES, values, strict=True)])
+
+
+def features(df: DataFrame, model: Model | Table, keep: list[str]) -> DataFrame:
+    """Keep the named columns and add the four length-normalised features of each text."""
+    context = df.sparkSession.sparkContext
+    if isinstance(model, Model):
+        held = context.broadcast(model)  # at most 2 * MAX_GRAMS keys
+
+        def score(data: np.ndarray, found: bw.Words, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return word_scores(held.value, data, found.start[index], found.end[index]), np.ones(len(index), bool)
+
+        return _as_features(_sums(df, keep, score), keep)
+
+    scratch = model.scratch
+    words = scratch.save(_corpus_words(df))
+    scored = scratch.save(_scored_words(words, model))
+    scratch.drop(words)
+    codes, totals, least = _front(scored, FRONT_WORDS)
+    front = context.broadcast((codes, totals))  # at most FRONT_WORDS words
+
+    def known(data: np.ndarray, found: bw.Words, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _find(*front.value, found.code[index].view(np.int64))
+
+    sums = _sums(df, keep, known)
+    rest = scored.where(F.col("n") < least)
+    if rest.isEmpty():
+        return _as_features(sums, keep)
+    sums = scratch.save(sums.withColumn("_row", F.monotonically_increasing_id()))
+    opened = sums.select("_row", F.explode("_open").alias("code"))
+    more = lookup(opened, rest.select("code", "total", "size"), "code").groupBy("_row").agg(
+        F.sum("total").alias("_sum2"), F.max(F.col("total") / F.col("size")).alias("_ratio2"),
+        F.max("total").alias("_most2"))
+    both = lookup(sums.drop("_open"), more, "_row", "left")
+    return _as_features(both.withColumns({
+        "_sum": F.col("_sum") + F.coalesce("_sum2", F.lit(0.0)), "_ratio": F.greatest("_ratio", "_ratio2"),
+        "_most": F.greatest("_most", "_most2")}), keep)
+
+
 def calibrated(scored: DataFrame, labels: DataFrame, rows: int = CALIBRATION_ROWS) -> np.ndarray:
     """Logistic weights (last: constant) for the features, from at most about ``rows`` labelled rows."""
     names = [f"_{name}" for name in _FEATURES]

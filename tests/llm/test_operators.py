@@ -487,3 +487,25 @@ def test_toxicity_of_planted_words(spark, scratch):
     one_class = toxicity.toxicity(docs, docs, known.where("toxic = 0"), scratch, ["doc_id"])
     assert {r.score for r in one_class.collect()} == {0.0}
     assert toxicity.toxicity(docs.limit(0), docs, known.limit(0), scratch).count() == 0
+
+
+def test_toxicity_keeps_every_gram(spark, scratch, monkeypatch):
+    """A model of more grams than tasks hold gives the features of the whole model, words seen once included."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["common", "words", "Ärger", f"rare{i}x{k}"]) for k in range(rng.randint(1, 40))),
+             i % 2) for i in range(60)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    more = [(100, None), (101, " "), (None, "unseen rare3x1 rare3x1"), (7, rows[7][1]), (7, rows[8][1]), (102, "z" * 9000)]
+    docs = train.select("doc_id", "text").unionAll(spark.createDataFrame(more, "doc_id long, text string"))
+
+    def of(limit):
+        got = toxicity.features(docs, toxicity.train(train, scratch, limit), ["doc_id", "text"]).collect()
+        return sorted(((r.doc_id is None, r.doc_id, r.text or ""), r[2:]) for r in got)
+
+    whole = of(1 << 21)
+    assert len(whole) == len(rows) + len(more) and len({v for _, v in whole}) > 50
+    for front in (1 << 20, 3, 0):
+        monkeypatch.setattr(toxicity, "FRONT_WORDS", front, raising=False)
+        got = of(40)
+        assert [k for k, _ in got] == [k for k, _ in whole]
+        assert np.allclose([v for _, v in got], [v for _, v in whole], atol=1e-9)
