@@ -168,11 +168,18 @@ def _by_context(per_gram: DataFrame, per_context: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame, scratch: Scratch, max_grams: int = MAX_GRAMS) -> Model | Table | None:
-    """Fit both models on all rows ``text, toxic`` (0 or 1); None unless both classes have rows.
+    """Fit both models on all rows ``text, toxic`` (0 or 1); None unless both classes have rows."""
+    grams = scratch.save(gram_counts(labelled))
+    model = fitted(grams, scratch, max_grams)
+    scratch.drop(grams)
+    return model
+
+
+def fitted(grams: DataFrame, scratch: Scratch, max_grams: int = MAX_GRAMS) -> Model | Table | None:
+    """The models of given counts; None unless both classes have some.
 
     Every gram and context is kept; above ``max_grams`` of either they are a table.
     """
-    grams = scratch.save(gram_counts(labelled))
     totals = grams.agg(F.sum("ordinary"), F.sum("toxic")).first()
     if not totals[0] or not totals[1]:
         return None
@@ -181,7 +188,7 @@ def train(labelled: DataFrame, scratch: Scratch, max_grams: int = MAX_GRAMS) ->
         model = Table(scratch.save(_by_context(per_gram, per_context)), scratch)
     else:
         model = Model(*_held(per_gram), *_held(per_context))
-    for part in (grams, per_gram, per_context):
+    for part in (per_gram, per_context):
         scratch.drop(part)
     return model
 
@@ -367,7 +374,8 @@ def toxicity(documents: DataFrame, labelled: DataFrame, labels: DataFrame, scrat
     """The kept columns of every document and a toxicity score between 0 and 1.
 
     ``labelled`` holds the training documents, ``labels`` has ``doc_id, toxic``
-    for training rows only.  Four fifths of them give the counts, the last fifth the final weights.
+    for training rows only.  Counts of four fifths of them score the last fifth, which gives
+    the final weights; the counts behind the scores of the documents are those of all.
     Null and empty texts have no words and get the score of a text without any;
     repeated rows are scored each; rows with a null label are not used.  If one
     class has no training row, every score is 1 where all labels are 1, else 0.
@@ -377,11 +385,20 @@ def toxicity(documents: DataFrame, labelled: DataFrame, labels: DataFrame, scrat
                   .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = scratch.save(known)
     fold = F.pmod(F.crc32(F.concat(F.lit("fold"), F.col("doc_id").cast("string"))), F.lit(5))
-    texts = labelled.where(F.col("doc_id").isNotNull() & (fold != 4)).select("doc_id", "text")
-    model = train(texts.join(known.hint("shuffle_hash"), "doc_id"), scratch)
+    texts = labelled.where(F.col("doc_id").isNotNull()).select("doc_id", "text", (fold == 4).alias("last"))
+    rows = texts.join(known.hint("shuffle_hash"), "doc_id")
+    most, last = [scratch.save(gram_counts(rows.where(part))) for part in (~F.col("last"), F.col("last"))]
+    grams = scratch.save(most.unionAll(last).groupBy("gram").agg(
+        F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")))
+    model = fitted(grams, scratch)
     if model is None:
         least = known.agg(F.min("toxic")).first()[0]
         return documents.select(*keep, F.lit(1.0 if least == 1 else 0.0).alias(score))
-    held = labelled.where(F.col("doc_id").isNotNull() & (fold == 4)).select("doc_id", "text")
-    weights = calibrated(features(held, model, ["doc_id"]), known.where(fold == 4))
+    weights = fit_logistic(np.zeros((0, len(_FEATURES) + 1)), np.zeros(0))
+    partial = fitted(most, scratch)
+    if partial is not None:
+        held = labelled.where(F.col("doc_id").isNotNull() & (fold == 4)).select("doc_id", "text")
+        weights = calibrated(features(held, partial, ["doc_id"]), known.where(fold == 4))
+    for part in (most, last, grams):
+        scratch.drop(part)
     return with_score(features(documents, model, keep), weights, score)

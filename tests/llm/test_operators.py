@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -509,3 +510,18 @@ def test_toxicity_keeps_every_gram(spark, scratch, monkeypatch):
         got = of(40)
         assert [k for k, _ in got] == [k for k, _ in whole]
         assert np.allclose([v for _, v in got], [v for _, v in whole], atol=1e-9)
+
+
+def test_toxicity_counts_every_training_row(spark, scratch, monkeypatch):
+    """The model that scores documents counts the fifth that fits the weights as well."""
+    fold = {i: zlib.crc32(f"fold{i}".encode()) % 5 for i in range(40)}
+    rows = [(i, f"calm w{i % 7} " + ("zaxwort" if fold[i] == 4 else "grunkle") * (i % 2)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    used = []
+    features = toxicity.features
+    monkeypatch.setattr(toxicity, "features", lambda df, model, keep: used.append(model) or features(df, model, keep))
+    assert toxicity.toxicity(docs, docs, known, scratch).count() == 40
+    gram = int.from_bytes(b"zaxwor", "big")
+    assert {fold[i] for i in range(1, 40, 2)} > {4}
+    assert gram not in used[0].grams and gram in used[-1].grams
