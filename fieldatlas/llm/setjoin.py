@@ -365,18 +365,36 @@ def token_sets(documents: DataFrame, size: int) -> DataFrame:
     return arrow_map(documents.select("doc_id", "text"), "doc long, tokens array<long>", step)
 
 
+def _class_sets(documents: DataFrame, size: int, classes: DataFrame) -> DataFrame:
+    """``doc, tokens`` of every class, ``doc`` its number; rows are matched by set identity, not by id."""
+    def step(batch: pa.RecordBatch) -> Iterator[dict]:
+        for part in bw.pieces(batch, "text"):
+            sets = shingle_sets(part, size)
+            sums = np.array([(s.sum(), bw.mixed(s).sum()) for s in sets], np.uint64).reshape(-1, 2)
+            ends = np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32)
+            yield {"h1": bw.mixed(sums[:, 0]).view(np.int64), "h2": bw.mixed(sums[:, 1]).view(np.int64),
+                   "n_shingles": np.array([len(s) for s in sets], np.int64),
+                   "tokens": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64), pa.int64()))}
+
+    found = arrow_map(documents, "h1 long, h2 long, n_shingles long, tokens array<long>", step)
+    return lookup(found, classes.select("h1", "h2", "n_shingles", "node"), ["h1", "h2", "n_shingles"]) \
+        .groupBy(F.col("node").alias("doc")).agg(F.first("tokens").alias("tokens"))
+
+
 def components(documents: DataFrame, scratch: Scratch, size: int, percent: int) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row.
 
     Two documents link when their sets of ``size``-word shingles (lower-cased)
     have a Jaccard similarity of at least ``percent`` / 100; the component is the
     smallest id reachable.  Null and empty texts have no set and stay alone.
-    Rows that share an id count as one document with several texts.  A row
-    without an id gets the component of the rows with an equal set, else null.
+    Rows are told apart by their sets: one id with several texts takes part with
+    each, and each row gets the component of its own text.  A row without an id gets the component of the rows with an equal set, else null.
     """
     ids = scratch.save(set_ids(documents, size))
+    repeats = _repeats_ids(ids)  # then ids do not name sets, and classes are numbered
+    node = F.monotonically_increasing_id() if repeats else F.col("rep")
     classes = scratch.save(ids.where("n_shingles > 0").groupBy("h1", "h2", "n_shingles")
-                           .agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"))
+                           .agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL").withColumn("node", node))
     largest = classes.agg(F.max("n_shingles")).first()[0] or 0
     ranges = bands(largest)
     in_band = {r["low"]: r["sets"] for r in _per_band(classes, ranges).collect()}  # one row a band
@@ -386,17 +404,26 @@ def components(documents: DataFrame, scratch: Scratch, size: int, percent: int)
     rows = scratch.save(signatures(documents.where(F.col("doc_id").isNotNull()), size, ranges, schemes, percent))
     shared = rows.groupBy("sig").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x <> y").select("sig")
     hits = lookup(rows, shared, "sig").distinct()
-    members = scratch.save(lookup(hits, classes, "h1").select("sig", F.col("rep").alias("doc"),
+    members = scratch.save(lookup(hits, classes, "h1").select("sig", F.col("node").alias("doc"),
                                                               F.col("n_shingles").alias("n")))
     scratch.drop(rows)
-    wanted = members.select(F.col("doc").alias("doc_id")).distinct()
-    texts = documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    sets = scratch.save(token_sets(texts, size).groupBy("doc").agg(F.first("tokens").alias("tokens"))
-                        if _repeats_ids(ids) else token_sets(texts, size))
+    wanted = members.select(F.col("doc").alias("node")).distinct()
+    if repeats:
+        named = lookup(classes, wanted, "node", "left_semi")
+        texts = documents.select("doc_id", "text").join(named.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+        sets = scratch.save(_class_sets(texts, size, named))
+    else:
+        texts = documents.select("doc_id", "text").join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+        sets = scratch.save(token_sets(texts, size))
     edges = links(members, sets, percent, scratch)
     labels = scratch.save(connected_components(edges.withColumn("w", F.lit(1.0)), scratch))
-    named = lookup(classes, labels.withColumnsRenamed({"node": "rep"}), "rep", "left") \
-        .select("h1", "h2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    named = lookup(classes, labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    if repeats:
+        least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+        named = lookup(named, least, "component")
+    else:
+        named = named.withColumn("component_id", F.col("component"))
+    named = named.select("h1", "h2", "n_shingles", "component_id")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return lookup(ids, named, ["h1", "h2", "n_shingles"], "left").select("doc_id", "n_shingles",
                                                                          own.alias("component_id"))

@@ -225,6 +225,20 @@ def test_set_join_of_a_large_group(spark, scratch, monkeypatch):
     assert asserted(got, ["doc_id", "n_shingles", "component_id"]) == brute_sets(near, 3, 90)
 
 
+def test_set_join_of_ids_with_several_texts(spark, scratch):
+    """Each text of a repeated id is compared on its own set, whatever the order of rows."""
+    rng = random.Random(4)
+    texts = [[f"u{rng.randint(0, 9000)}" for _ in range(200)] for _ in range(12)]
+    rows = []
+    for k, words in enumerate(texts):
+        near = [*words[:100], "changed", *words[101:]]
+        rows += [(k // 2, " ".join(words)), (100 + k, " ".join(near))]  # two texts an id, a near copy of each
+    for turned in (rows, rows[::-1]):
+        got = setjoin.components(spark.createDataFrame(turned, "doc_id long, text string").coalesce(1), scratch, 3, 90)
+        assert sorted((r.doc_id, r.component_id) for r in got.collect()) == sorted(
+            [(k // 2, k // 2) for k in range(12)] + [(100 + k, k // 2) for k in range(12)])
+
+
 def test_set_join_without_rows_or_ids(spark, nothing, scratch):
     assert setjoin.components(nothing, scratch, 3, 90).count() == 0
     got = setjoin.components(spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (None, "z"), (None, None)],
