@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, with their SQL where SQL can say it."""
+"""The corpus operators as queries over the given tables, with their SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldatlas.llm import bpe, langid, mixing, quality, setjoin, suffixes, toxicity, vectors, warc, windows
+from fieldatlas.llm import bpe, langid, mixing, quality, recipes, setjoin, suffixes, toxicity, vectors, warc, windows
 from fieldatlas.llm.frames import table
 from fieldatlas.session import Scratch
 
@@ -263,6 +263,19 @@ SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN coalesce(sum(n
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest THEN 1 ELSE 0 END)::INT AS copies
 FROM o"""
 
+
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return recipes.deduplicated(table(spark, folder, "documents"), Scratch(spark))
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+           FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t) AS text_sha256
+FROM d JOIN g USING (t)"""
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_warc": op2_warc,
@@ -274,6 +287,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 SQL = {
     "op2_warc": OP2_SQL,
@@ -283,4 +297,5 @@ SQL = {
     "op6_ngram_jaccard_join": OP6_SQL,
     "op7_mixing": OP7_SQL,
     "op10_substring_dedup": OP10_SQL,
+    "op13_exact_dedup": OP13_SQL,
 }
