@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldatlas.llm import bpe, langid, mixing, quality, recipes, setjoin, suffixes, toxicity, vectors, warc, windows
+from fieldatlas.llm import bpe, divergence, langid, mixing, quality, recipes, setjoin, suffixes, toxicity, vectors, warc, windows
 from fieldatlas.llm.frames import table
 from fieldatlas.session import Scratch
 
@@ -264,6 +264,35 @@ SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN coalesce(sum(n
 FROM o"""
 
 
+def op12_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"), Scratch(spark))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT i, lang, source, unnest(w) AS term FROM d),
+terms AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY ALL HAVING count(DISTINCT i) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+dense AS (SELECT g.lang, g.source, term, lang_n, coalesce(n, 0) AS n
+          FROM g JOIN terms USING (lang) LEFT JOIN c USING (lang, source, term)),
+s AS (SELECT *, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER own + 2 * count(*) OVER own) AS p,
+        1 + 1000000000::HUGEINT * (lang_n + 2) // (sum(lang_n) OVER own + 2 * count(*) OVER own) AS q
+      FROM dense WINDOW own AS (PARTITION BY lang, source)),
+pair AS (SELECT x.lang, x.source, y.source AS item, coalesce(v, 0) AS value FROM g x JOIN g y USING (lang)
+         LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS v
+                    FROM s a JOIN s b USING (lang, term) GROUP BY ALL) f
+           ON f.lang = x.lang AND f.source = x.source AND f.item = y.source
+         WHERE x.source <> y.source),
+term AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM s WHERE n > 0 AND p > q),
+parts AS (SELECT 'pair' AS part, * FROM pair UNION ALL SELECT 'term', * FROM term)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 10"""
+
+
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return recipes.deduplicated(table(spark, folder, "documents"), Scratch(spark))
 
@@ -287,6 +316,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_divergence_audit": op12_divergence_audit,
     "op13_exact_dedup": op13_exact_dedup,
 }
 SQL = {
@@ -297,5 +327,6 @@ SQL = {
     "op6_ngram_jaccard_join": OP6_SQL,
     "op7_mixing": OP7_SQL,
     "op10_substring_dedup": OP10_SQL,
+    "op12_divergence_audit": OP12_SQL,
     "op13_exact_dedup": OP13_SQL,
 }
