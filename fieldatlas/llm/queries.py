@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldatlas.llm import bpe, divergence, langid, mixing, quality, recipes, setjoin, suffixes, toxicity, vectors, warc, windows
+from fieldatlas.llm import (bpe, divergence, langid, mixing, quality, recipes, repair, setjoin, suffixes, toxicity, vectors,
+                            warc, windows)
 from fieldatlas.llm.frames import table
 from fieldatlas.session import Scratch
 
@@ -264,6 +265,64 @@ SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN coalesce(sum(n
 FROM o"""
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.audited(table(spark, folder, "conversations"), Scratch(spark))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE tab AS (SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v
+  FROM (SELECT unnest(range(256)) AS i))),
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+d0 AS (SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+         list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT)),
+         lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8))) % 20 AS fate FROM c, tab),
+d AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+        CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS time FROM d0 WHERE fate <> 0),
+o AS (SELECT *, substr(role, 1, 1) AS r, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+        NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, time) AS i,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, time) > 1 AS again FROM d),
+f AS (SELECT *, CASE WHEN blank OR again THEN 'b' WHEN cut THEN 't' ELSE '' END AS fault,
+        lag(r) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+facts AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) AS n,
+            count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+            count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (before || r NOT IN ('su', 'ua', 'au')) AS illegal
+          FROM f GROUP BY conv_id),
+ins(a, b, price, w) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'),
+  (1, 2, 5, 'I'), (1, 3, 10, 'II'), (2, 3, 5, 'I'), (3, 2, 5, 'I')),
+read(a, sym, b) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+edit AS (SELECT 'D' AS letter, a, NULL AS sym, b, 2 AS price FROM ins WHERE w = ''
+         UNION ALL SELECT 'K', a, sym, b, 0 FROM read UNION ALL SELECT 'R', a, NULL, b, 1 FROM read WHERE sym <> 's'),
+parse AS (
+  SELECT conv_id, 0 AS i, b AS state, {'cost': price, 'audit': w} AS best FROM facts, ins WHERE a = 0
+  UNION ALL
+  SELECT p.conv_id, p.i + 1, n.b, min({'cost': p.best.cost + e.price + n.price
+           + CASE WHEN fault = 't' AND letter <> 'D' THEN 5 ELSE 0 END, 'audit': p.best.audit || letter || n.w})
+  FROM parse p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+  JOIN edit e ON e.a = p.state AND (letter = 'D' OR fault <> 'b') AND (letter <> 'K' OR sym = r)
+  JOIN ins n ON n.a = e.b GROUP BY p.conv_id, p.i, n.b),
+done AS (SELECT p.conv_id, min(best) AS best FROM parse p JOIN facts x ON x.conv_id IS NOT DISTINCT FROM p.conv_id AND x.n = p.i
+         WHERE state IN (0, 3) GROUP BY p.conv_id),
+letters AS (SELECT conv_id, unnest(string_split(best.audit, '')) AS letter, unnest(range(length(best.audit))) AS spot FROM done),
+edits AS (SELECT *, sum((letter <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY spot) AS i FROM letters),
+kept AS (SELECT w.conv_id, spot, letter, role, text, row_number() OVER one AS place,
+           first_value(letter = 'K' AND r = 's') OVER one AS system
+         FROM edits w LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i AND letter <> 'I'
+         WHERE letter <> 'D' WINDOW one AS (PARTITION BY w.conv_id ORDER BY spot)),
+fixed AS (SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place + system::INT) % 2 = 1 THEN 'user'
+            ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY spot) AS body FROM kept GROUP BY conv_id)
+SELECT q.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q
+LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM q.conv_id
+LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM q.conv_id
+LEFT JOIN fixed ON fixed.conv_id IS NOT DISTINCT FROM q.conv_id"""
+
+
 def op12_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"), Scratch(spark))
 
@@ -316,6 +375,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_divergence_audit": op12_divergence_audit,
     "op13_exact_dedup": op13_exact_dedup,
 }
@@ -327,6 +387,7 @@ SQL = {
     "op6_ngram_jaccard_join": OP6_SQL,
     "op7_mixing": OP7_SQL,
     "op10_substring_dedup": OP10_SQL,
+    "op11_conversation_repair": OP11_SQL,
     "op12_divergence_audit": OP12_SQL,
     "op13_exact_dedup": OP13_SQL,
 }
