@@ -7,7 +7,7 @@ import corpus_pipeline
 from fieldatlas.llm import queries
 from tools_compare import compare
 
-TABLES = "documents embeddings pages benchmark labels".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, db, small, name):
 
 
 def test_native_queries_run_no_python(spark, small):
-    for name in ("op4_quality_rules", "op7_mixing"):
+    for name in ("op4_quality_rules", "op7_mixing", "op13_exact_dedup"):
         plan = queries.QUERIES[name](spark, small)._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
