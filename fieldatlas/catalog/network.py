@@ -9,6 +9,7 @@ from fieldatlas import derive
 from fieldatlas.catalog import fragments as q
 from fieldatlas.functions.numbers import round_to
 from fieldatlas.operators import communities, graph, reports
+from fieldatlas.operators.joins import lookup
 from fieldatlas.plans import clustering, network
 from fieldatlas.session import Scratch
 
@@ -78,7 +79,42 @@ def _hierarchy_checks(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("micro_clusters", "meso_clusters", "macro_clusters")
 
 
+def _bridged(spark: SparkSession, folder: str) -> DataFrame:
+    """Communities of pairs of customers that start as one and are held together by a weak bridge vertex.
+
+    Every order of a customer with eight or more cites the first of them; the
+    bridge (-1 - pair) hangs on both first orders, more on the even customer's.
+    The resolution lies where leaving a star never pays and two stars are better
+    apart, so the bridge belongs to the even star.  ``joint`` is what splitting
+    the start by connected components leaves, named by the smallest order.
+    """
+    scratch = Scratch(spark)
+    orders = derive.table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    stars = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("hub"), F.count(F.lit(1)).alias("n")) \
+                  .where("n >= 8").withColumn("pair", F.floor(F.col("o_custkey") / 2).cast("bigint"))
+    whole = stars.groupBy("pair").agg(F.count(F.lit(1)).alias("m")).where("m = 2").select("pair")
+    stars = scratch.save(stars.join(whole, "pair"))
+    leaves = lookup(orders, stars.select("o_custkey", "hub", "pair"), "o_custkey")
+    bridge = F.when(F.col("o_custkey") % 2 == 0, 0.2).otherwise(0.1)
+    edges = leaves.where("o_orderkey <> hub").select(
+        F.col("o_orderkey").alias("src"), F.col("hub").alias("dst"), F.lit(1.0).alias("weight")).unionAll(
+        stars.select((-1 - F.col("pair")).alias("src"), F.col("hub").alias("dst"), bridge.alias("weight")))
+    start = scratch.save(leaves.select(F.col("o_orderkey").alias("node"), F.col("pair").alias("community")).unionAll(
+        stars.select((-1 - F.col("pair")).alias("node"), F.col("pair").alias("community")).distinct()))
+    table = scratch.save(graph.undirected(edges))
+    weight = table.agg(F.sum("w")).first()[0] or 0.0
+    found = communities.leiden(table, start.select("node"), weight / 300.0, scratch, start=start)
+    joint = graph.connected_components(table, scratch)
+
+    def named(labels: DataFrame, key: str, name: str) -> DataFrame:
+        first = labels.where("node >= 0").groupBy(key).agg(F.min("node").alias(name))
+        return labels.join(first, key).select("node", name)
+
+    return named(found, "community", "first").join(named(joint, "component", "joint"), "node")
+
+
 QUERIES = {
+    "communities_bridged": _bridged,
     "induced_edges": _induced_edges,
     "dense_index": _index,
     "network_edges": _network_edges,
@@ -124,6 +160,11 @@ _FAULTS = ("null_meso_docs", "null_macro_docs", "micro_without_meso", "micro_wit
            "meso_with_multiple_macro")
 
 SQL = {
+    "communities_bridged": """WITH s AS (SELECT o_custkey, min(o_orderkey) AS hub, o_custkey // 2 AS pair FROM orders
+        GROUP BY o_custkey HAVING count(*) >= 8 QUALIFY count(*) OVER (PARTITION BY o_custkey // 2) = 2),
+      n AS (SELECT o_orderkey AS node, hub AS first, pair FROM orders JOIN s USING (o_custkey)
+        UNION ALL SELECT -1 - pair, hub, pair FROM s WHERE o_custkey % 2 = 0)
+      SELECT node, first, min(first) OVER (PARTITION BY pair) AS joint FROM n""",
     "dense_index": f"WITH {_INDEX} SELECT id, node_str FROM idx",
     "network_edges": f"""WITH {_INDEX} SELECT f.id AS "from", t.id AS "to", 1 AS weight
       FROM lineitem JOIN idx f ON f.node_str = 'W' || l_orderkey JOIN idx t ON t.node_str = 'W' || l_partkey""",

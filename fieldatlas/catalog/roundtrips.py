@@ -149,7 +149,8 @@ def _planted(spark: SparkSession, folder: str) -> DataFrame:
 
     Orders cite the customer's first order; openings are joined by single weak
     links.  The resolution lies where leaving one's star never pays and joining
-    two stars never does, so the customers are the best partition.
+    two stars never does, so the customers are the best partition.  Also whether
+    modularity never fell from one level to the next, up and down again.
     """
     scratch = Scratch(spark)
     orders = derive.table(spark, folder, "orders").select("o_orderkey", "o_custkey")
@@ -157,9 +158,11 @@ def _planted(spark: SparkSession, folder: str) -> DataFrame:
     kept = scratch.save(orders.join(large, "o_custkey", "left_semi").select(F.col("o_orderkey").alias("node")))
     edges = scratch.save(graph.induced(graph.undirected(derive.lineage_citations(spark, folder)), kept))
     weight = edges.agg(F.sum("w")).first()[0] or 0.0
-    found = scratch.save(communities.detect(edges, kept, weight / 60.0, scratch))
+    steps: list[float] = []
+    found = scratch.save(communities.detect(edges, kept, weight / 60.0, scratch, refine=True, qualities=steps))
+    rises = len(steps) > 2 and all(after >= before for before, after in zip(steps, steps[1:], strict=False))
     first = found.groupBy("community").agg(F.min("node").alias("first"))
-    return found.join(first, "community").select("node", "first")
+    return found.join(first, "community").select("node", "first", F.lit(rises).alias("never_falls"))
 
 
 QUERIES = {
@@ -190,7 +193,7 @@ _SUBSET_ENTITIES = f"""WITH {q.MICRO}, {_CHOSEN},
   inside AS (SELECT * FROM works WHERE micro_cluster IN (SELECT micro_cluster FROM chosen)) """
 
 SQL = {
-    "communities_planted": """SELECT o_orderkey AS node, min(o_orderkey) OVER (PARTITION BY o_custkey) AS first
+    "communities_planted": """SELECT o_orderkey AS node, min(o_orderkey) OVER (PARTITION BY o_custkey) AS first, true AS never_falls
       FROM orders QUALIFY count(*) OVER (PARTITION BY o_custkey) >= 3""",
     "roundtrip_nodes": """SELECT 'W' || doc_id AS id, split_part(text, '.', 1) AS title, lang AS language,
       n_chars AS citations, source AS publication_source, (1990 + doc_id % 37)::INT AS publication_year,

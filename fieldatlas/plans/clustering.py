@@ -72,7 +72,7 @@ def _upper_level(edges: DataFrame, labels: DataFrame, gamma: float, keep: float,
     pruned = scratch.save(graph.sparsify(raw, keep, scratch))
     # communities without links are vertices too
     nodes = scratch.save(labels.select(F.col("community").alias("node")).distinct())
-    found = communities.detect(pruned, nodes, gamma, scratch, rounds=rounds, seed=seed, connected=True)
+    found = communities.leiden(pruned, nodes, gamma, scratch, rounds=rounds, seed=seed)
     return scratch.save(graph.compacted(found, scratch)), raw, pruned
 
 

@@ -117,6 +117,32 @@ def test_communities_recover_planted_cliques(spark, scratch):
     assert sorted(map(sorted, groups.values())) == [list(range(c * 6, c * 6 + 6)) for c in range(6)]
 
 
+def test_refinement_splits_what_a_bridge_holds_together(spark, scratch):
+    edges = cliques(1, 6)[:-1] + [(10 + a, 10 + b, w) for a, b, w in cliques(1, 6)[:-1]] + [(50, 0, 0.2), (50, 10, 0.1)]
+    edges += [(a + shift, b + shift, w) for shift in (20, 30, 40) for a, b, w in cliques(1, 6)[:-1]]
+    table = scratch.save(graph.undirected(edge_table(spark, edges)))
+    start = graph.vertices(table).select("node", F.when(F.col("node") % 50 < 20, 0).otherwise(
+        F.floor(F.col("node") / 10)).cast("bigint").alias("community"))
+    joint = dict(communities._split_disconnected(table, start, scratch).collect())
+    assert joint[0] == joint[10] == joint[50]  # connected inside, so components leave it whole
+    parts = {r.node: r.part for r in communities.refined_parts(table, start, 1.0, scratch).collect()}
+    given = dict(start.collect())
+    inner = [(a, b) for a, b, _ in edges if parts[a] == parts[b]]
+    for node, part in parts.items():
+        assert given[node] == given[part]
+        assert labels_by_hand(inner).get(node, node) == labels_by_hand(inner).get(part, part)
+    found = dict(communities.leiden(table, graph.vertices(table), 1.0, scratch, start=start).collect())
+    assert found[0] == found[5] == found[50] != found[10] == found[15] and len(set(found.values())) == 5
+
+
+def test_modularity_never_falls_between_levels(spark, scratch):
+    table = scratch.save(graph.undirected(edge_table(spark, random_edges(6, 40, 90))))
+    steps = []
+    found = communities.detect(table, graph.vertices(table), 1.0, scratch, refine=True, qualities=steps)
+    assert len(steps) >= 3 and all(b >= a for a, b in zip(steps, steps[1:], strict=False))
+    assert graph.modularity(table, found, 1.0).first()[0] == pytest.approx(steps[-1])
+
+
 def test_communities_do_not_depend_on_row_order(spark, scratch):
     rows = cliques(4, 5)
     random.Random(9).shuffle(rows)
