@@ -13,11 +13,12 @@ frequent words, and the others are joined to the documents that have them.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,7 @@ class Model:
     gram_llr: np.ndarray
     contexts: np.ndarray
     context_llr: np.ndarray
+    sent: list[Broadcast] = field(default_factory=list)
 
 
 @dataclass
@@ -51,6 +53,7 @@ class Table:
 
     contexts: DataFrame
     scratch: Scratch
+    sent: list[Broadcast] = field(default_factory=list)
 
 
 # --- grams of words ----------------------------------------------------------
@@ -97,13 +100,13 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
 
 # --- Kneser-Ney --------------------------------------------------------------
 
-def _lower_orders(grams: DataFrame) -> DataFrame:
-    """``gram, p``: shared continuation probability of every order-5 gram."""
+def _lower_orders(grams: DataFrame, scratch: Scratch) -> DataFrame:
+    """``gram, p``: shared continuation probability of every order-5 gram.  Every order is a table, so no plan nests."""
     levels = []
     keys = grams.select("gram")
     for order in range(ORDER - 1, 0, -1):
         tail = F.col("gram").bitwiseAND(F.lit((1 << (8 * order)) - 1))
-        counts = keys.groupBy(tail.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        counts = scratch.save(keys.groupBy(tail.alias("gram")).agg(F.count(F.lit(1)).alias("n")))
         levels.append((order, counts))
         keys = counts.select("gram")
     lower = None
@@ -116,8 +119,10 @@ def _lower_orders(grams: DataFrame) -> DataFrame:
             tail = F.col("gram").bitwiseAND(F.lit((1 << (8 * (order - 1))) - 1))
             rows = rows.withColumn("tail", tail).join(lower.withColumnsRenamed({"gram": "tail", "p": "q"}), "tail")
             below = F.col("q")
-        lower = rows.select("gram", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") * below)
-                                     / F.col("total")).alias("p"))
+        previous, lower = lower, scratch.save(rows.select(
+            "gram", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") * below) / F.col("total")).alias("p")))
+        for part in (previous, counts):
+            scratch.drop(part)
     return lower
 
 
@@ -133,12 +138,13 @@ def _backoff(name: str):
     return F.when(total > 0, DISCOUNT * F.col(f"kinds_{name}") / total).otherwise(1.0)
 
 
-def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
+def log_ratios(grams: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Log ratio toxic to ordinary of each seen gram, and of the back-off weight of each seen context."""
-    sums = _class_sums(grams)
+    sums = scratch.save(_class_sums(grams))
+    lower = _lower_orders(grams, scratch)
     tail = F.col("gram").bitwiseAND(F.lit((1 << (8 * (ORDER - 1))) - 1))
     rows = (grams.withColumn("h", F.shiftright("gram", 8)).withColumn("tail", tail).join(sums, "h")
-            .join(_lower_orders(grams).withColumnsRenamed({"gram": "tail"}), "tail"))
+            .join(lower.withColumnsRenamed({"gram": "tail"}), "tail"))
 
     def probability(name: str):
         total = F.col(f"total_{name}")
@@ -149,7 +155,10 @@ def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
                            F.log(probability("toxic") / probability("ordinary")).cast("float").alias("llr"))
     per_context = sums.select(F.col("h").alias("key"),
                               F.log(_backoff("toxic") / _backoff("ordinary")).cast("float").alias("llr"))
-    return per_gram, per_context
+    saved = scratch.save(per_gram), scratch.save(per_context)
+    for part in (sums, lower):
+        scratch.drop(part)
+    return saved
 
 
 def _held(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +192,7 @@ def fitted(grams: DataFrame, scratch: Scratch, max_grams: int = MAX_GRAMS) -> Mo
     totals = grams.agg(F.sum("ordinary"), F.sum("toxic")).first()
     if not totals[0] or not totals[1]:
         return None
-    per_gram, per_context = [scratch.save(part) for part in log_ratios(grams)]
+    per_gram, per_context = log_ratios(grams, scratch)
     if max(per_gram.count(), per_context.count()) > max_grams:
         model = Table(scratch.save(_by_context(per_gram, per_context)), scratch)
     else:
@@ -297,6 +306,7 @@ def features(df: DataFrame, model: Model | Table, keep: list[str]) -> DataFrame:
     context = df.sparkSession.sparkContext
     if isinstance(model, Model):
         held = context.broadcast(model)  # at most 2 * MAX_GRAMS keys
+        model.sent.append(held)
 
         def score(data: np.ndarray, found: bw.Words, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             return word_scores(held.value, data, found.start[index], found.end[index]), np.ones(len(index), bool)
@@ -309,6 +319,7 @@ def features(df: DataFrame, model: Model | Table, keep: list[str]) -> DataFrame:
     scratch.drop(words)
     codes, totals, least = _front(scored, FRONT_WORDS)
     front = context.broadcast((codes, totals))  # at most FRONT_WORDS words
+    model.sent.append(front)
 
     def known(data: np.ndarray, found: bw.Words, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return _find(*front.value, found.code[index].view(np.int64))
@@ -390,8 +401,8 @@ def toxicity(documents: DataFrame, labelled: DataFrame, labels: DataFrame, scrat
     most, last = [scratch.save(gram_counts(rows.where(part))) for part in (~F.col("last"), F.col("last"))]
     grams = scratch.save(most.unionAll(last).groupBy("gram").agg(
         F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")))
-    model = fitted(grams, scratch)
-    if model is None:
+    totals = grams.agg(F.sum("ordinary"), F.sum("toxic")).first()
+    if not totals[0] or not totals[1]:
         least = known.agg(F.min("toxic")).first()[0]
         return documents.select(*keep, F.lit(1.0 if least == 1 else 0.0).alias(score))
     weights = fit_logistic(np.zeros((0, len(_FEATURES) + 1)), np.zeros(0))
@@ -399,6 +410,9 @@ def toxicity(documents: DataFrame, labelled: DataFrame, labels: DataFrame, scrat
     if partial is not None:
         held = labelled.where(F.col("doc_id").isNotNull() & (fold == 4)).select("doc_id", "text")
         weights = calibrated(features(held, partial, ["doc_id"]), known.where(fold == 4))
+        for used in partial.sent:  # one model at a time
+            used.destroy()
+    model = fitted(grams, scratch)
     for part in (most, last, grams):
         scratch.drop(part)
     return with_score(features(documents, model, keep), weights, score)
