@@ -20,11 +20,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldatlas.llm import bytewords as bw
 from fieldatlas.llm.frames import arrow_map
+from fieldatlas.llm.sketch import CELL_BITS, maybe_repeated, repeated_cells
 from fieldatlas.operators.graph import connected_components
 from fieldatlas.operators.joins import lookup
 from fieldatlas.session import Scratch
@@ -174,27 +176,43 @@ def set_signatures(sets: list[np.ndarray], band: int, scheme: Scheme) -> tuple[n
     return np.concatenate(out), np.concatenate(of)
 
 
+def _signatures_of(part: pa.RecordBatch, size: int, ranges: list[tuple[int, int]], schemes: list[Scheme | None],
+                   percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Signatures of the distinct sets of some rows, with the name of the set each belongs to."""
+    groups: dict[int, list[np.ndarray]] = {}
+    seen = set()
+    for s in shingle_sets(part, size):
+        name = bw.mixed(np.array([s.sum()], np.uint64)).view(np.int64)[0] if len(s) else 0
+        if not len(s) or (name, len(s)) in seen:
+            continue
+        seen.add((name, len(s)))
+        for band in schemes_of(len(s), ranges, percent):
+            if schemes[band] is not None:
+                groups.setdefault(band, []).append(s)
+    for band, sets in groups.items():
+        sig, of = set_signatures(sets, band, schemes[band])
+        yield sig, bw.mixed(np.array([s.sum() for s in sets], np.uint64)).view(np.int64)[of]
+
+
 def signatures(documents: DataFrame, size: int, ranges: list[tuple[int, int]], schemes: list[Scheme | None],
-               percent: int) -> DataFrame:
-    """``sig, h1``: every signature of every set."""
+               percent: int, bits: int = CELL_BITS) -> tuple[DataFrame, Broadcast]:
+    """``sig, h1``: the signatures that may belong to several rows, and the broadcast sketch that tells.
+
+    A first pass sketches all signatures; one that occurs once can link nothing and never leaves its task.
+    """
+    def hashes(part: pa.RecordBatch) -> np.ndarray:
+        found = [sig for sig, _ in _signatures_of(part, size, ranges, schemes, percent)]
+        return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+    held = documents.sparkSession.sparkContext.broadcast(repeated_cells(documents, hashes, bits))
+
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part in bw.pieces(batch, "text", 1 << 22):
-            groups: dict[int, list[np.ndarray]] = {}
-            seen = set()
-            for s in shingle_sets(part, size):
-                name = bw.mixed(np.array([s.sum()], np.uint64)).view(np.int64)[0] if len(s) else 0
-                if not len(s) or (name, len(s)) in seen:
-                    continue
-                seen.add((name, len(s)))
-                for band in schemes_of(len(s), ranges, percent):
-                    if schemes[band] is not None:
-                        groups.setdefault(band, []).append(s)
-            for band, sets in groups.items():
-                sig, of = set_signatures(sets, band, schemes[band])
-                names = bw.mixed(np.array([s.sum() for s in sets], np.uint64)).view(np.int64)
-                yield {"sig": sig.view(np.int64), "h1": names[of]}
+        for part in bw.pieces(batch, "text"):
+            for sig, names in _signatures_of(part, size, ranges, schemes, percent):
+                hit = maybe_repeated(held.value, sig)
+                yield {"sig": sig[hit].view(np.int64), "h1": names[hit]}
 
-    return arrow_map(documents.select("text"), "sig long, h1 long", step)
+    return arrow_map(documents.select("text"), "sig long, h1 long", step), held
 
 
 # --- candidates and verification -------------------------------------------------
@@ -401,7 +419,9 @@ def components(documents: DataFrame, scratch: Scratch, size: int, percent: int)
     schemes = [allocate(low, high, in_band.get(low, 0) + in_band.get(below, 0), percent)
                for below, (low, high) in zip([0, *[r[0] for r in ranges]], ranges, strict=False)]
 
-    rows = scratch.save(signatures(documents.where(F.col("doc_id").isNotNull()), size, ranges, schemes, percent))
+    emitted, sketch = signatures(documents.where(F.col("doc_id").isNotNull()), size, ranges, schemes, percent)
+    rows = scratch.save(emitted)
+    sketch.destroy()
     shared = rows.groupBy("sig").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x <> y").select("sig")
     hits = lookup(rows, shared, "sig").distinct()
     members = scratch.save(lookup(hits, classes, "h1").select("sig", F.col("node").alias("doc"),
