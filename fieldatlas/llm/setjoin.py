@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldatlas.llm import bytewords as bw
@@ -32,7 +32,8 @@ from fieldatlas.operators.joins import lookup
 from fieldatlas.session import Scratch
 
 _BAND_RATIO = 1.25
-_COMMON = 0.02  # assumed chance that an unrelated set holds a given token
+_COMMON = 0.003  # assumed chance that an unrelated set holds a given token; for the cost model only
+_MARKS = 64      # buckets of the token counts that candidates are compared by first
 
 
 # --- allocation ----------------------------------------------------------------
@@ -70,6 +71,11 @@ def _at_most(k: int, mean: float) -> float:
     return sum(math.exp(-mean) * mean ** i / math.factorial(i) for i in range(k + 1))
 
 
+def _shared_by_chance(mean: float) -> float:
+    """Chance that an unrelated set holds all tokens but one of a segment; most of it comes from small segments."""
+    return math.exp(-mean) + (math.exp(-mean * (1 - _COMMON)) - math.exp(-mean)) / _COMMON
+
+
 def allocate(low: int, high: int, sets: int, percent: int) -> Scheme | None:
     """Cheapest scheme for a band: indexed signatures plus expected chance pairs.  None: only equal sets link."""
     bound = largest_difference(2 * high, percent)
@@ -89,7 +95,7 @@ def allocate(low: int, high: int, sets: int, percent: int) -> Scheme | None:
             if mean < 1:
                 continue
             index = sets * (plain + fuzzy * (mean + 1))
-            chance = sets * sets / 2 * (plain * _COMMON ** (small + 1) + fuzzy * _COMMON ** mean)
+            chance = sets * sets / 2 * (plain * _COMMON ** (small + 1) + fuzzy * _shared_by_chance(mean))
             scheme = Scheme(plain, fuzzy, small, plain + 2 * fuzzy - bound)
             if best is None or index + chance < best[0]:
                 best = (index + chance, scheme)
@@ -147,6 +153,11 @@ def set_ids(documents: DataFrame, size: int) -> DataFrame:
 
 def set_signatures(sets: list[np.ndarray], band: int, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of the sets under one scheme, with the number of the set each belongs to."""
+    return _weighed_signatures(sets, band, scheme)[:2]
+
+
+def _weighed_signatures(sets: list[np.ndarray], band: int, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same with the number of plain signatures that their set must share, less those left out; 0: not plain."""
     m = scheme.segments
     token = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -169,16 +180,19 @@ def set_signatures(sets: list[np.ndarray], band: int, scheme: Scheme) -> tuple[n
     use = (plain & ~small) | (small & np.repeat(needs, m)) | ~plain
     kept = cells[use]
     out, of = [signature(kept, total[kept], count[kept])], [kept // m]
+    spare = np.where(needs, 1, scheme.slack - small.reshape(-1, m).sum(1))
+    spares = [np.where(plain[kept], spare[kept // m], 0)]
     if scheme.fuzzy:
         inner = np.flatnonzero(segment >= scheme.plain)
         out.append(signature(cell[inner], total[cell[inner]] - spread[inner], count[cell[inner]] - 1))
         of.append(owner[inner])
-    return np.concatenate(out), np.concatenate(of)
+        spares.append(np.zeros(len(inner), np.int64))
+    return np.concatenate(out), np.concatenate(of), np.concatenate(spares)
 
 
 def _signatures_of(part: pa.RecordBatch, size: int, ranges: list[tuple[int, int]], schemes: list[Scheme | None],
-                   percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Signatures of the distinct sets of some rows, with the name of the set each belongs to."""
+                   percent: int) -> Iterator[dict[str, np.ndarray]]:
+    """``sig, h1, band, spare`` of the distinct sets of some rows; ``h1`` names the set."""
     groups: dict[int, list[np.ndarray]] = {}
     seen = set()
     for s in shingle_sets(part, size):
@@ -190,35 +204,57 @@ def _signatures_of(part: pa.RecordBatch, size: int, ranges: list[tuple[int, int]
             if schemes[band] is not None:
                 groups.setdefault(band, []).append(s)
     for band, sets in groups.items():
-        sig, of = set_signatures(sets, band, schemes[band])
-        yield sig, bw.mixed(np.array([s.sum() for s in sets], np.uint64)).view(np.int64)[of]
+        sig, of, spare = _weighed_signatures(sets, band, schemes[band])
+        yield {"sig": sig, "h1": bw.mixed(np.array([s.sum() for s in sets], np.uint64)).view(np.int64)[of],
+               "band": np.full(len(sig), band), "spare": spare}
 
 
 def signatures(documents: DataFrame, size: int, ranges: list[tuple[int, int]], schemes: list[Scheme | None],
                percent: int, bits: int = CELL_BITS) -> tuple[DataFrame, Broadcast]:
-    """``sig, h1``: the signatures that may belong to several rows, and the broadcast sketch that tells.
+    """``sig, h1, band, spare``: the signatures that may belong to several rows, and the broadcast sketch that tells.
 
     A first pass sketches all signatures; one that occurs once can link nothing and never leaves its task.
     """
     def hashes(part: pa.RecordBatch) -> np.ndarray:
-        found = [sig for sig, _ in _signatures_of(part, size, ranges, schemes, percent)]
+        found = [rows["sig"] for rows in _signatures_of(part, size, ranges, schemes, percent)]
         return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
     held = documents.sparkSession.sparkContext.broadcast(repeated_cells(documents, hashes, bits))
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
-            for sig, names in _signatures_of(part, size, ranges, schemes, percent):
-                hit = maybe_repeated(held.value, sig)
-                yield {"sig": sig[hit].view(np.int64), "h1": names[hit]}
+            for rows in _signatures_of(part, size, ranges, schemes, percent):
+                hit = maybe_repeated(held.value, rows["sig"])
+                yield {name: values[hit] for name, values in (rows | {"sig": rows["sig"].view(np.int64)}).items()}
 
-    return arrow_map(documents.select("text"), "sig long, h1 long", step), held
+    return arrow_map(documents.select("text"), "sig long, h1 long, band int, spare int", step), held
+
+
+def thinned(hits: DataFrame) -> DataFrame:
+    """Leave out each set's most frequent plain signatures, as many as it can do without.
+
+    ``hits`` has ``sig, h1, band, spare`` and ``n``, the frequency of the signature.  Two similar sets agree in
+    more segments than either leaves out, and both leave out by one order, so that the rarest on which they agree stays.
+    """
+    order = Window.partitionBy("h1", "band", F.col("spare") > 0).orderBy(F.col("n").desc(), "sig")
+    return hits.withColumn("_turn", F.row_number().over(order)).where("spare = 0 OR _turn >= spare").drop("_turn")
 
 
 # --- candidates and verification -------------------------------------------------
 
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Leave out pairs whose counts of tokens by bucket differ more than similar sets may; whole sets stay where they are."""
+    def side(end: str) -> DataFrame:
+        return sets.select(F.col("doc").alias(end), F.col("n").alias(f"n{end}"), F.col("marks").alias(f"m{end}"))
+
+    both = lookup(lookup(pairs, side("a"), "a"), side("b"), "b")
+    apart = F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.abs(x.cast("int") - y)), F.lit(0), lambda so_far, d: so_far + d)
+    return both.where(apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a < b`` whose whole sets are similar."""
+    pairs = _near(pairs, sets, percent)
     left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
     both = lookup(lookup(pairs, left, "a"), right, "b")
@@ -366,37 +402,46 @@ def _large_bucket_links(members: DataFrame, sets: DataFrame, percent: int, scrat
     other = rows.select("sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                         F.lit(True).alias("other"), "doc", "component")
     filled = own.select("sig", "block").distinct()
-    dealt = lookup(own.unionAll(other.join(filled, ["sig", "block"], "left_semi")), sets, "doc")
+    dealt = lookup(own.unionAll(other.join(filled, ["sig", "block"], "left_semi")), sets.select("doc", "tokens"), "doc")
     return dealt.repartition("sig", "block").sortWithinPartitions("sig", "block", "other") \
                 .mapInArrow(_compare_blocks(percent), "a long, b long").distinct()
 
 
+_SETS = "tokens array<long>, n int, marks array<tinyint>"
+
+
+def _set_columns(sets: list[np.ndarray]) -> dict[str, pa.Array]:
+    """Tokens, their number and their counts by bucket, the latter cut off where a byte ends."""
+    n = np.array([len(s) for s in sets], np.int64)
+    flat = np.concatenate(sets)
+    cell = np.repeat(np.arange(len(sets)), n) * _MARKS + (flat.view(np.uint64) % np.uint64(_MARKS)).astype(np.int64)
+    marks = np.minimum(np.bincount(cell, minlength=len(sets) * _MARKS), 127).astype(np.int8)
+    ends = np.r_[0, np.cumsum(n)].astype(np.int32)
+    return {"tokens": pa.ListArray.from_arrays(ends, pa.array(flat.view(np.int64), pa.int64())), "n": pa.array(n, pa.int32()),
+            "marks": pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * _MARKS, pa.array(marks))}
+
+
 def token_sets(documents: DataFrame, size: int) -> DataFrame:
-    """``doc, tokens`` of every row."""
+    """``doc, tokens, n, marks`` of every row."""
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
-            sets = [s.view(np.int64) for s in shingle_sets(part, size)]
-            ends = np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32)
-            yield {"doc": part.column("doc_id"),
-                   "tokens": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets), pa.int64()))}
+            yield {"doc": part.column("doc_id")} | _set_columns(shingle_sets(part, size))
 
-    return arrow_map(documents.select("doc_id", "text"), "doc long, tokens array<long>", step)
+    return arrow_map(documents.select("doc_id", "text"), f"doc long, {_SETS}", step)
 
 
 def _class_sets(documents: DataFrame, size: int, classes: DataFrame) -> DataFrame:
-    """``doc, tokens`` of every class, ``doc`` its number; rows are matched by set identity, not by id."""
+    """``doc, tokens, n, marks`` of every class, ``doc`` its number; rows are matched by set identity, not by id."""
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
             sets = shingle_sets(part, size)
             sums = np.array([(s.sum(), bw.mixed(s).sum()) for s in sets], np.uint64).reshape(-1, 2)
-            ends = np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32)
             yield {"h1": bw.mixed(sums[:, 0]).view(np.int64), "h2": bw.mixed(sums[:, 1]).view(np.int64),
-                   "n_shingles": np.array([len(s) for s in sets], np.int64),
-                   "tokens": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64), pa.int64()))}
+                   "n_shingles": np.array([len(s) for s in sets], np.int64)} | _set_columns(sets)
 
-    found = arrow_map(documents, "h1 long, h2 long, n_shingles long, tokens array<long>", step)
+    found = arrow_map(documents, f"h1 long, h2 long, n_shingles long, {_SETS}", step)
     return lookup(found, classes.select("h1", "h2", "n_shingles", "node"), ["h1", "h2", "n_shingles"]) \
-        .groupBy(F.col("node").alias("doc")).agg(F.first("tokens").alias("tokens"))
+        .groupBy(F.col("node").alias("doc")).agg(*[F.first(name).alias(name) for name in ("tokens", "n", "marks")])
 
 
 def components(documents: DataFrame, scratch: Scratch, size: int, percent: int) -> DataFrame:
@@ -422,8 +467,9 @@ def components(documents: DataFrame, scratch: Scratch, size: int, percent: int)
     emitted, sketch = signatures(documents.where(F.col("doc_id").isNotNull()), size, ranges, schemes, percent)
     rows = scratch.save(emitted)
     sketch.destroy()
-    shared = rows.groupBy("sig").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x <> y").select("sig")
-    hits = lookup(rows, shared, "sig").distinct()
+    shared = rows.groupBy("sig").agg(F.min("h1").alias("x"), F.max("h1").alias("y"), F.count(F.lit(1)).alias("n")) \
+        .where("x <> y").select("sig", "n")
+    hits = thinned(lookup(rows, shared, "sig").distinct())
     members = scratch.save(lookup(hits, classes, "h1").select("sig", F.col("node").alias("doc"),
                                                               F.col("n_shingles").alias("n")))
     scratch.drop(rows)
