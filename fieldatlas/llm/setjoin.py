@@ -254,7 +254,6 @@ def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a < b`` whose whole sets are similar."""
-    pairs = _near(pairs, sets, percent)
     left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
     both = lookup(lookup(pairs, left, "a"), right, "b")
@@ -287,8 +286,19 @@ def _split_buckets(members: DataFrame, labels: DataFrame, scratch: Scratch) -> D
 
 
 def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Enough verified pairs ``a, b`` to connect every component of the similarity graph."""
-    found = scratch.save(verified(_stars(members, percent), sets, percent))
+    """Enough verified pairs ``a, b`` to connect every component of the similarity graph.
+
+    Whole sets travel once for each pair, so each set is first compared with one of its candidates only; the
+    others follow where the two are not connected by then.
+    """
+    stars = scratch.save(_near(_stars(members, percent), sets, percent))
+    one = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    found = scratch.save(verified(one, sets, percent))
+    labels = connected_components(found.withColumn("w", F.lit(1.0)), scratch)
+    for end in "ab":
+        stars = lookup(stars, labels.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left")
+    open_ = stars.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    found = scratch.save(found.unionAll(verified(open_, sets, percent)))
     labels = scratch.save(connected_components(found.withColumn("w", F.lit(1.0)), scratch))
     members = _split_buckets(members, labels, scratch)
     counts = members.groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
@@ -306,7 +316,7 @@ def _small_bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> Da
     y = members.select("sig", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     pairs = x.join(y, "sig").where(F.col("a") < F.col("b")).where("ca <> cb") \
              .where(_similar_sizes("na", "nb", percent)).select("a", "b").distinct()
-    return verified(pairs, sets, percent)
+    return verified(_near(pairs, sets, percent), sets, percent)
 
 
 _BLOCK = 256  # sets that a task holds while the rest of a bucket streams past
