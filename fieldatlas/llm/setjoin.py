@@ -33,7 +33,7 @@ from fieldatlas.session import Scratch
 
 _BAND_RATIO = 1.25
 _COMMON = 0.003  # assumed chance that an unrelated set holds a given token; for the cost model only
-_MARKS = 64      # buckets of the token counts that candidates are compared by first
+_MARKS = 256     # buckets of the token counts that candidates are compared by first
 
 
 # --- allocation ----------------------------------------------------------------
@@ -319,67 +319,41 @@ def _small_bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> Da
     return verified(_near(pairs, sets, percent), sets, percent)
 
 
-_BLOCK = 256  # sets that a task holds while the rest of a bucket streams past
-
-
-class _Sets:
-    """Postings of the tokens of some sets, for their intersections with others."""
-
-    def __init__(self, docs: list[int], groups: list[int], tokens: list[np.ndarray]):
-        self.docs, self.groups = np.array(docs), np.array(groups)
-        self.sizes = np.array([len(t) for t in tokens])
-        flat = np.concatenate(tokens)
-        order = np.argsort(flat, kind="stable")
-        self.vocab, first = np.unique(flat[order], return_index=True)
-        self.first, self.count = first, np.diff(np.r_[first, len(flat)])
-        self.owner = np.repeat(np.arange(len(docs)), self.sizes)[order]
-
-    def intersections(self, tokens: list[np.ndarray]) -> np.ndarray:
-        """Own sets x given sets."""
-        flat = np.concatenate(tokens)
-        of = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
-        at = np.minimum(np.searchsorted(self.vocab, flat), len(self.vocab) - 1)
-        hit = self.vocab[at] == flat
-        at, of = at[hit], of[hit]
-        mine = self.owner[bw.ranges(self.first[at], self.count[at])]
-        cell = mine * len(tokens) + np.repeat(of, self.count[at])
-        return np.bincount(cell, minlength=len(self.docs) * len(tokens)).reshape(len(self.docs), -1)
+_BLOCK = 256  # sets whose counts a task holds while the rest of a bucket streams past
 
 
 def _compare_blocks(percent: int):
-    """Links between sets of different components; rows arrive by block, its own sets first."""
+    """Pairs of sets of different components whose counts by bucket are near; rows arrive by block, its own sets first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, own, held = None, [], None
         for batch in batches:
-            out: list[tuple[int, int, int]] = []  # own set, other set, its component
-            rows = zip(*(batch.column(k).to_pylist() for k in ("sig", "block", "other", "doc", "component")),
-                       _arrays(batch.column("tokens")), strict=True)
-            others: list[tuple] = []
-
-            def flush(others=others, out=out):
-                for k in range(0, len(others), 64):
-                    some = others[k: k + 64]
-                    inter = held.intersections([o[2] for o in some])
-                    total = held.sizes[:, None] + np.array([len(o[2]) for o in some])[None, :] - inter
-                    group = np.array([o[1] for o in some])
-                    near = (inter * 100 >= total * percent) & (held.groups[:, None] != group[None, :])
-                    for i, j in zip(*np.nonzero(near), strict=True):
-                        out.append((int(held.docs[i]), int(some[j][0]), int(group[j])))
-                others.clear()
-
-            for sig, block, other, doc, component, tokens in rows:
+            found: list[tuple[int, int]] = []
+            marks = _arrays(batch.column("marks"))
+            rows = list(zip(*(batch.column(k).to_pylist() for k in ("sig", "block", "other", "doc", "component", "n")),
+                            strict=True))
+            at = 0
+            while at < len(rows):
+                sig, block, other, *facts = rows[at]
                 if (sig, block) != key:
-                    flush()
                     key, own, held = (sig, block), [], None
                 if not other:
-                    own.append((doc, component, tokens))
+                    own.append((*facts, marks[at]))
+                    at += 1
                     continue
                 if held is None:
-                    held = _Sets(*map(list, zip(*own, strict=True)))
-                others.append((doc, component, tokens))
-            flush()
-            one = {(a, group): b for a, b, group in out}  # one link to each component is enough
-            pairs = [(min(a, b), max(a, b)) for (a, _), b in one.items()]
+                    held = [np.array(column) for column in zip(*own, strict=True)]
+                    held[3] = held[3].astype(np.int16)
+                to = at
+                while to < len(rows) and to < at + 64 and rows[to][:3] == (sig, block, True):
+                    to += 1
+                docs, groups, sizes = (np.array([r[k] for r in rows[at:to]]) for k in (3, 4, 5))
+                apart = np.abs(held[3][:, None, :] - np.stack(marks[at:to]).astype(np.int16)[None, :, :]).sum(2, np.int64)
+                near = (apart * (100 + percent) <= (held[2][:, None] + sizes[None, :]) * (100 - percent)) \
+                    & (held[1][:, None] != groups[None, :])
+                i, j = np.nonzero(near)
+                found += zip(held[0][i].tolist(), docs[j].tolist(), strict=True)
+                at = to
+            pairs = {(min(p), max(p)) for p in found}
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
     return run
 
@@ -390,7 +364,7 @@ def _arrays(column: pa.Array) -> list[np.ndarray]:
 
 
 def _large_bucket_links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Links across components of large buckets, compared in blocks and never listed as candidates.
+    """Links across components of large buckets, compared in blocks by counts, then as whole sets.
 
     Buckets that share members form one group, so a set is sent once, not once a
     bucket.  One component of a group, the largest there, needs no block of its
@@ -412,9 +386,10 @@ def _large_bucket_links(members: DataFrame, sets: DataFrame, percent: int, scrat
     other = rows.select("sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                         F.lit(True).alias("other"), "doc", "component")
     filled = own.select("sig", "block").distinct()
-    dealt = lookup(own.unionAll(other.join(filled, ["sig", "block"], "left_semi")), sets.select("doc", "tokens"), "doc")
-    return dealt.repartition("sig", "block").sortWithinPartitions("sig", "block", "other") \
-                .mapInArrow(_compare_blocks(percent), "a long, b long").distinct()
+    dealt = lookup(own.unionAll(other.join(filled, ["sig", "block"], "left_semi")), sets.select("doc", "n", "marks"), "doc")
+    pairs = dealt.repartition("sig", "block").sortWithinPartitions("sig", "block", "other") \
+                 .mapInArrow(_compare_blocks(percent), "a long, b long").distinct()
+    return verified(pairs, sets, percent)
 
 
 _SETS = "tokens array<long>, n int, marks array<tinyint>"
