@@ -18,6 +18,9 @@ def lookup(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: st
     spread over several tasks.  Null keys meet each other.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    named = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
-    return left.join(named, same, how).drop(*[f"_key_{k}" for k in keys])
+    taken, prefix = {c.lower() for c in [*left.columns, *right.columns]}, "_key_"
+    while any(f"{prefix}{k}".lower() in taken for k in keys):
+        prefix = f"_{prefix}"
+    named = right.withColumnsRenamed({k: f"{prefix}{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys]
+    return left.join(named, same, how).drop(*[f"{prefix}{k}" for k in keys])

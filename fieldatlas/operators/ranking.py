@@ -24,13 +24,10 @@ def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
           rank_col: str | None = None) -> DataFrame:
     """First ``n`` rows of each group in the given order.
 
-    The optimizer's limit for cutting groups before the shuffle is raised to n,
-    so map tasks forward at most n rows of a group whatever n is.
+    Map tasks forward at most n rows of a group, for any n below the optimizer's
+    limit, which the session settings raise.
     """
     name = rank_col or "_rank"
-    conf, limit = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(conf.get(limit)) < n:
-        conf.set(limit, str(n))
     window = Window.partitionBy(*keys).orderBy(*order)
     out = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)
     return out if rank_col else out.drop(name)
@@ -67,6 +64,26 @@ def with_group_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return out.drop("_pos", "_first", "_members")
 
 
+def first_rows(df: DataFrame, key: str, coarse: Column, order: Sequence[Column], takes: DataFrame,
+               scratch: Scratch) -> DataFrame:
+    """First rows of each group, as many as ``take`` in ``takes`` (``key, take``) says, without sorting the groups.
+
+    ``coarse`` grows with ``order`` and is never null.  Its counts per group fold
+    before the shuffle and tell where each group is cut; only the rows at the cut
+    are ranked.  Rows beyond it are never moved.
+    """
+    rows = df.withColumn("_coarse", coarse)
+    counts = rows.groupBy(key, "_coarse").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_coarse").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    cuts = lookup(counts, takes.select(key, "take"), key).where("_before < take").groupBy(key).agg(
+        F.max(F.struct("_coarse", (F.col("take") - F.col("_before")).alias("left"))).alias("_cut"))
+    near = scratch.save(lookup(rows, cuts, key).where("_coarse <= _cut._coarse"))
+    ties = near.where("_coarse = _cut._coarse").withColumn(
+        "_turn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_turn <= _cut.left")
+    return near.where("_coarse < _cut._coarse").unionByName(ties.drop("_turn")).drop("_coarse", "_cut")
+
+
 def dense_index(df: DataFrame, key: str, name: str, scratch: Scratch) -> DataFrame:
     """Distinct non-null keys with dense 0-based ids in key order."""
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()

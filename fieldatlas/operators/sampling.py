@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldatlas.operators.ranking import with_group_rank, with_position
+from fieldatlas.operators.ranking import first_rows, with_position
 from fieldatlas.session import Scratch
 
 
@@ -39,7 +39,7 @@ def stratified_sample(df: DataFrame, key: str, row_id: str, limit: int, seed: in
     Rows of a stratum are taken in the order of md5('seed:id').
     """
     sizes = scratch.save(df.groupBy(key).agg(F.count(F.lit(1)).alias("n_docs")))
-    seats = allocate(sizes, key, limit, scratch).select(key, "take")
+    seats = allocate(sizes, key, limit, scratch)
     dice = F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string")))
-    ranked = with_group_rank(df, [key], [dice.asc(), F.col(row_id).asc()], "_draw", scratch)
-    return ranked.join(seats, key).where("_draw <= take").drop("_draw", "take")
+    # 65,536 equally likely beginnings, so that few rows of a stratum share the one at the cut
+    return first_rows(df, key, F.substring(dice, 1, 4), [dice.asc(), F.col(row_id).asc()], seats, scratch)

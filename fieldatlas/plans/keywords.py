@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldatlas.operators.joins import lookup
-from fieldatlas.operators.ranking import top_n, with_group_rank
+from fieldatlas.operators.ranking import first_rows, top_n
 from fieldatlas.operators.selection import restrict
 from fieldatlas.session import Scratch
 
@@ -17,12 +17,12 @@ from fieldatlas.session import Scratch
 def representatives(articles: DataFrame, scratch: Scratch, floor: int = 5, percent: int = 1) -> DataFrame:
     """Most cited titled works of each micro cluster: ``percent`` of it, at least ``floor``."""
     titled = articles.where(F.col("micro_cluster").isNotNull() & F.col("title").isNotNull())
-    # ids alone are ranked and written; the chosen works' other columns are fetched afterwards
-    ranked = with_group_rank(titled.select("id", "micro_cluster", "citations"), ["micro_cluster"],
-                             [F.col("citations").desc_nulls_last(), F.col("id").asc()],
-                             "_rank", scratch, size_col="_size")
-    share = F.floor((F.col("_size") * percent + 99) / 100)
-    chosen = ranked.where(F.col("_rank") <= F.greatest(F.lit(floor), share)).select("id").distinct()
+    # ids alone are selected and written; the chosen works' other columns are fetched afterwards
+    ids = scratch.save(titled.select("id", "micro_cluster", "citations"))
+    sizes = ids.groupBy("micro_cluster").agg(F.count(F.lit(1)).alias("n"))
+    takes = sizes.select("micro_cluster", F.greatest(F.lit(floor), F.floor((F.col("n") * percent + 99) / 100)).alias("take"))
+    rarity = F.struct(F.col("citations").isNull(), -F.coalesce("citations", F.lit(0)))
+    chosen = first_rows(ids, "micro_cluster", rarity, [F.col("id").asc()], takes, scratch).select("id").distinct()
     return restrict(titled, chosen, "id")
 
 

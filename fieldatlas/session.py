@@ -19,6 +19,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",  # ranks cut before the shuffle up to this
 }
 
 def configure(spark: SparkSession) -> SparkSession:

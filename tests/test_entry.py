@@ -41,3 +41,14 @@ def test_query_equals_sql(spark, db, small, name):
     df = entry.queries()[name](spark, small)
     cursor = db.execute(entry.oracle_sql()[name])
     compare(df.columns, [tuple(r) for r in df.collect()], [d[0] for d in cursor.description], cursor.fetchall())
+
+
+@pytest.mark.parametrize("missing", ["tiktoken", "public_tokenizers"])
+def test_other_queries_survive_a_missing_library(missing):
+    import subprocess
+    import sys
+    code = ("import sys; sys.modules[%r] = None\n"
+            "import __spark_entry__ as e\nnames = set(e.queries())\n"
+            "assert len(names) > 100 and not any(n.startswith('op1') for n in names) and set(e.oracle_sql()) <= names" % missing)
+    done = subprocess.run([sys.executable, "-c", code], cwd=entry.__file__.rsplit("/", 1)[0], capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr

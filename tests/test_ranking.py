@@ -68,3 +68,27 @@ def test_scratch_uses_the_shared_folder(spark, scratch):
     saved = scratch.save(spark.range(5).toDF("x"))
     assert all(f.startswith(f"file://{folder}") or f.startswith(f"file:{folder}") for f in saved.inputFiles())
     scratch.drop(saved)
+
+
+def test_first_rows_equal_a_full_sort(spark, scratch):
+    rng = random.Random(12)
+    rows = [(i, rng.choice(["a", "a", "a", "b", None]), rng.choice([None, 0, 0, 1, 2, 9])) for i in range(400)]
+    takes = [("a", 57), ("b", 1000), (None, 1), ("unknown", 3)]
+    df = spark.createDataFrame(rows, "id long, k string, v long")
+    wanted = spark.createDataFrame(takes, "k string, take long")
+    coarse = F.struct(F.col("v").isNull(), -F.coalesce("v", F.lit(0)))
+    found = ranking.first_rows(df, "k", coarse, [F.col("id").asc()], wanted, scratch)
+    expected = []
+    for key, take in takes:
+        expected += sorted((r for r in rows if r[1] == key), key=lambda r: (r[2] is None, -(r[2] or 0), r[0]))[:take]
+    assert found.columns == df.columns
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
+    plan = found._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan.lower()
+
+
+def test_lookup_with_a_column_named_like_its_own_key(spark):
+    left = spark.createDataFrame([(1, "x", 7), (1, "y", 8)], "k long, _key_k string, __KEY_k long")
+    right = spark.createDataFrame([(1, "r")], "k long, r string")
+    from fieldatlas.operators.joins import lookup
+    assert sorted(map(tuple, lookup(left, right, "k").collect())) == [(1, "x", 7, "r"), (1, "y", 8, "r")]
