@@ -75,9 +75,8 @@ def repeated_cells(texts: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.nd
                   .mapInArrow(_merge, "block long, repeated binary")
     size = (1 << _BLOCK_BITS) // 8
     out = np.zeros(max((2 << bits) // 8, 2 * size), np.uint8)
-    rows = merged.toArrow()  # fixed: 2 ** (bits + 1) bits
-    for b, raw in zip(rows.column("block").to_pylist(), rows.column("repeated").to_pylist(), strict=True):
-        out[b * size: (b + 1) * size] = np.frombuffer(raw, np.uint8)
+    for row in merged.toLocalIterator():  # fixed: 2 ** (bits + 1) bits, one partition at a time
+        out[row.block * size: (row.block + 1) * size] = np.frombuffer(row.repeated, np.uint8)
     return out.reshape(2, -1)
 
 
