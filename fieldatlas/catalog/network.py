@@ -194,6 +194,13 @@ SQL = {
       SELECT DISTINCT least(u, v) AS a, greatest(u, v) AS b FROM r WHERE rn <= (deg * 3 + 9) // 10""",
     "spanning_forest_size": f"""WITH RECURSIVE {_COMPONENTS}
       SELECT count(*) - count(DISTINCT component) AS forest_edges FROM reach""",
+    "sparsified_graph": f"""WITH RECURSIVE {q.FOREST},
+      ends AS (SELECT a AS u, b AS v, w FROM g WHERE a <> b UNION ALL SELECT b, a, w FROM g WHERE a <> b),
+      r AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY w DESC, v) AS rn,
+                   count(*) OVER (PARTITION BY u) AS deg FROM ends),
+      k AS (SELECT least(u, v) AS a, greatest(u, v) AS b FROM r WHERE rn <= (deg * 3 + 9) // 10
+            UNION SELECT a, b FROM steps WHERE a IS NOT NULL)
+      SELECT a, b, CAST(w AS DOUBLE) AS w FROM g JOIN k USING (a, b)""",
     "hierarchy_qc": "SELECT count(*) AS docs_total, " + ", ".join(
         f"CAST(0 AS BIGINT) AS {name}" for name in _FAULTS) + " FROM orders",
 }

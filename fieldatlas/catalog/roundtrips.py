@@ -9,6 +9,7 @@ from fieldatlas import derive
 from fieldatlas.catalog import fragments as q
 from fieldatlas.catalog.reports import report
 from fieldatlas.catalog.subqueries import _CHOSEN, _entities, _subset_tables
+from fieldatlas.functions.numbers import round_to
 from fieldatlas.operators import communities, graph, reports, selection
 from fieldatlas.plans import network, subquery
 from fieldatlas.session import Scratch
@@ -76,14 +77,14 @@ def _evolved(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _optional(spark: SparkSession, folder: str) -> DataFrame:
-    """Regions with names from a table that is there and colours from one that is not."""
+    """Customers with names from a table that is there and colours from one that is not."""
     place = _place(spark)
-    regions = derive.table(spark, folder, "region")
-    writers.write_table(regions.select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("label")), f"{place}/names")
+    customers = derive.table(spark, folder, "customer")
+    writers.write_table(customers.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("label")), f"{place}/names")
     names = readers.with_column_named(readers.read_optional(spark, f"{place}/names", "key bigint, label string"),
                                       ["title", "label"], "name")
     colors = readers.read_optional(spark, f"{place}/none", "key bigint, color string")
-    return regions.select(F.col("r_regionkey").alias("key")).join(names, "key", "left").join(colors, "key", "left")
+    return customers.select(F.col("c_custkey").alias("key")).join(names, "key", "left").join(colors, "key", "left")
 
 
 def _reused(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,8 +99,9 @@ def _reused(spark: SparkSession, folder: str) -> DataFrame:
         raise AssertionError("stored vectors were not used")
 
     writers.reuse_or_compute(spark, given.select("id"), f"{place}/vectors", compute)
-    again = writers.reuse_or_compute(spark, given.where("id % 3 = 0").select("id"), f"{place}/vectors", never)
-    return again.select("id", F.size("embedding").cast("bigint").alias("entries"))
+    again = writers.reuse_or_compute(spark, given.select("id"), f"{place}/vectors", never)
+    total = F.aggregate("embedding", F.lit(0.0), lambda so_far, x: so_far + x.cast("double"))
+    return again.select("id", F.size("embedding").cast("bigint").alias("entries"), round_to(total, 6).alias("total"))
 
 
 def _manifest(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,8 +212,8 @@ SQL = {
       'nodes/2026-06-26' AS target FROM (VALUES (1), (2)) t(step)""",
     "evolved_schema": """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS o_custkey,
       CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority FROM orders""",
-    "optional_table": """SELECT r_regionkey AS key, r_name AS name, NULL::VARCHAR AS color FROM region""",
-    "reused_vectors": """SELECT vec_id AS id, len(embedding)::BIGINT AS entries FROM embeddings WHERE vec_id % 3 = 0""",
+    "optional_table": """SELECT c_custkey AS key, c_name AS name, NULL::VARCHAR AS color FROM customer""",
+    "reused_vectors": """SELECT vec_id AS id, len(embedding)::BIGINT AS entries, floor(list_sum(embedding::DOUBLE[]) * 1000000.0 + 0.5) / 1000000.0 AS total FROM embeddings""",
     "subset_report_macro": f"""WITH {q.REPORTS}, {_CHOSEN} SELECT * FROM report_macro
       WHERE macro_cluster IN (SELECT macro_cluster FROM chosen)""",
     "subset_top_institutions": _SUBSET_ENTITIES + _entities("micro_cluster", "institutions", "institution", 20, "inside"),
@@ -227,22 +229,5 @@ SQL = {
       ORDER BY publications DESC, meso_cluster)::INT AS place FROM report_meso""",
     "sorted_by_column": """SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal DESC)::INT AS place
       FROM customer WHERE c_acctbal <> 0""",
-    # an edge belongs unless heavier ones (ties by ends) already join its ends
-    "spanning_forest": """WITH RECURSIVE g AS (
-  SELECT least(x.c_nationkey, y.c_nationkey)::BIGINT AS a, greatest(x.c_nationkey, y.c_nationkey)::BIGINT AS b, sum(w) AS w
-  FROM (SELECT least(l_orderkey, l_partkey) AS s, greatest(l_orderkey, l_partkey) AS t, count(*) AS w
-        FROM lineitem GROUP BY 1, 2)
-    JOIN orders p ON s = p.o_orderkey JOIN customer x ON p.o_custkey = x.c_custkey
-    JOIN orders r ON t = r.o_orderkey JOIN customer y ON r.o_custkey = y.c_custkey
-  GROUP BY 1, 2),
-e AS (SELECT *, row_number() OVER (ORDER BY w DESC, a, b) AS rank FROM g WHERE a <> b),
-steps AS (
-  SELECT 0::BIGINT AS rank, map_from_entries(list((v, v))) AS label, NULL::BIGINT AS a, NULL::BIGINT AS b
-  FROM (SELECT DISTINCT unnest([a, b]) AS v FROM g)
-  UNION ALL
-  SELECT e.rank, CASE WHEN s.label[e.a] = s.label[e.b] THEN s.label ELSE map_from_entries(list_transform(
-      map_entries(s.label), lambda x: (x.key, CASE WHEN x.value = s.label[e.b] THEN s.label[e.a] ELSE x.value END))) END,
-    CASE WHEN s.label[e.a] <> s.label[e.b] THEN e.a END, CASE WHEN s.label[e.a] <> s.label[e.b] THEN e.b END
-  FROM steps s JOIN e ON e.rank = s.rank + 1)
-SELECT a, b FROM steps WHERE a IS NOT NULL""",
+    "spanning_forest": f"WITH RECURSIVE {q.FOREST} SELECT a, b FROM steps WHERE a IS NOT NULL",
 }

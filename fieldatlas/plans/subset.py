@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -88,15 +89,69 @@ def nodes_query(nodes: DataFrame, topic: Topic) -> DataFrame:
     return nodes.where(topic.condition()).select(*[c for c in SUBSET_COLUMNS if c in nodes.columns])
 
 
+_QUOTED = r"'(?:[^'\\]|\\.)*'|--[^\n]*|/\*.*?\*/"  # text constants and comments name no table and no parameter
+
+
+def _sql_over(tables: dict[str, DataFrame], text: str, args: dict) -> DataFrame:
+    """SQL text over the given tables, by plain names and named parameters; no view stays in the session.
+
+    Raises when the text leaves one of the tables unread, or a parameter is given that it does not use;
+    Spark raises on parameters that lack a value and on tables that it does not know.
+    """
+    read: set[str] = set()
+
+    def bound(match: re.Match) -> str:
+        name = (match.group("name") or "").lower()
+        if name not in tables:
+            return match.group().replace("{", "{{").replace("}", "}}")
+        read.add(name)
+        return f"{{{name}}}"
+
+    filled = re.sub(rf"(?:{_QUOTED})|(?<![\w:.])(?P<name>[A-Za-z_]\w*)|[{{}}]", bound, text.strip().rstrip(";"), flags=re.DOTALL)
+    if lacking := sorted(set(tables) - read):
+        raise ValueError(f"the query must read {', '.join(lacking)}")
+    used = set(re.findall(r"(?<![\w:]):([A-Za-z_]\w*)", re.sub(_QUOTED, "", text, flags=re.DOTALL)))
+    if unknown := sorted(set(args) - used):
+        raise ValueError(f"the query has no parameters named {', '.join(unknown)}")
+    some = next(iter(tables.values()))
+    return some.sparkSession.sql(filled, args=args, **tables)
+
+
 def sql_subset(nodes: DataFrame, query: str, **args) -> DataFrame:
     """A subset given as SQL text over ``nodes_snapshot`` with named parameters.
 
-    Raises when the text does not read the node table or a parameter is missing.
+    Raises when the text does not read the node table, a parameter is missing or one is unknown.
+    """
+    return _sql_over({"nodes_snapshot": nodes}, query, args)
+
+
+@dataclass(frozen=True)
+class SqlTopic:
+    """Two SQL texts: nodes over ``nodes_snapshot``, then edges over ``edges_snapshot`` and ``nodes_query``."""
+
+    nodes: str
+    edges: str
+
+
+def build_sql(nodes: DataFrame, edges: DataFrame, topic: SqlTopic, target: str, nodes_args: dict | None = None,
+              edges_args: dict | None = None, force: bool = False, validate_only: bool = False) -> dict[str, int] | None:
+    """Write nodes_query and then edges_query of two SQL texts.
+
+    The edges text reads ``nodes_query`` from what was written, so the node
+    subset is computed once.  Both texts are analysed against the tables before
+    anything is removed or written.
     """
-    if "nodes_snapshot" not in query:
-        raise ValueError("the subset query must read nodes_snapshot")
-    nodes.createOrReplaceTempView("nodes_snapshot")
-    return nodes.sparkSession.sql(query.rstrip().rstrip(";"), args=args)
+    found = _sql_over({"nodes_snapshot": nodes}, topic.nodes, nodes_args or {})
+    _sql_over({"edges_snapshot": edges, "nodes_query": found}, topic.edges, edges_args or {})
+    if validate_only:
+        return None
+    spark = nodes.sparkSession
+    places = [f"{target}/nodes_query", f"{target}/edges_query"]
+    ensure_writable(spark, places, force)
+    count = write_table(found, places[0])
+    kept = spark.read.parquet(places[0])
+    chosen = _sql_over({"edges_snapshot": edges, "nodes_query": kept}, topic.edges, edges_args or {})
+    return {"nodes": count, "edges": write_table(chosen, places[1])}
 
 
 def unique_ids(nodes: DataFrame) -> None:

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from fieldatlas.plans import ingest, subset
@@ -165,10 +166,37 @@ def test_subset_build_and_validation(spark, tmp_path):
         subset.topic_named("nothing")
     with pytest.raises(ValueError, match="nodes_snapshot"):
         subset.sql_subset(nodes(spark), "SELECT 1")
+    with pytest.raises(ValueError, match="parameters"):
+        subset.sql_subset(nodes(spark), "SELECT id FROM nodes_snapshot -- :year", year=1)
     with pytest.raises(ValueError, match="unique"):
         subset.unique_ids(nodes(spark).union(nodes(spark)))
 
 
+def test_sql_pair_binds_edges_to_the_written_nodes(spark, tmp_path):
+    given = nodes(spark)
+    ids = sorted(r.id for r in given.select("id").collect())
+    few = ids[:2]
+    edges = spark.createDataFrame([(few[0], few[1], 1), (few[0], ids[-1], 1)], "from string, to string, weight int")
+    topic = subset.SqlTopic(
+        "SELECT id FROM Nodes_Snapshot WHERE id IN (:one, :two) AND 'nodes_query {x}' <> ':none'",
+        "SELECT e.* FROM edges_snapshot e JOIN nodes_query a ON a.id = e.from JOIN nodes_query ON nodes_query.id = e.to;")
+    args = {"one": few[0], "two": few[1]}
+    views = {t.name for t in spark.catalog.listTables()}
+    assert subset.build_sql(given, edges, topic, str(tmp_path), args, validate_only=True) is None
+    assert not list(tmp_path.iterdir())
+    assert subset.build_sql(given, edges, topic, str(tmp_path), args) == {"nodes": 2, "edges": 1}
+    assert spark.read.parquet(f"{tmp_path}/edges_query").collect() == edges.limit(1).collect()
+    assert {t.name for t in spark.catalog.listTables()} == views
+    with pytest.raises(FileExistsError):
+        subset.build_sql(given, edges, topic, str(tmp_path), args)
+    with pytest.raises(ValueError, match="nodes_query"):
+        subset.build_sql(given, edges, subset.SqlTopic(topic.nodes, "SELECT * FROM edges_snapshot -- nodes_query"),
+                         str(tmp_path), args, force=True)
+    with pytest.raises(AnalysisException):  # a parameter without a value; what was written stays
+        subset.build_sql(given, edges, topic, str(tmp_path), {"one": few[0]}, force=True)
+    assert spark.read.parquet(f"{tmp_path}/nodes_query").count() == 2
+
+
 def test_embeddings_are_reused_only_when_complete(spark, tmp_path):
     calls = []
 
