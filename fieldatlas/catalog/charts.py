@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import colorsys
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,6 +112,12 @@ def _color_ramp(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("cluster_code", "main_cluster", "color", round_to(F.col("lightness"), 6).alias("lightness"))
 
 
+def _color_shades(spark: SparkSession, folder: str) -> DataFrame:
+    """A palette that starts again after its last colour, and the shade of every sub-cluster."""
+    return charts.cluster_colors(_codes(spark, folder).select("cluster_code"), PALETTE, Scratch(spark), recycle=True) \
+                 .select("cluster_code", "color", "sub_color")
+
+
 def _plot_clusters(spark: SparkSession, folder: str) -> DataFrame:
     rows = derive.table(spark, folder, "part").select(
         F.concat_ws("-", F.col("p_size").cast("string"), F.col("p_partkey").cast("string")).alias("cluster_code"),
@@ -213,6 +221,7 @@ QUERIES = {
     "recent_years": lambda s, d: charts.recent_years(derive.works(s, d), 5),
     "cluster_labels": _cluster_labels,
     "color_ramp": _color_ramp,
+    "color_shades": _color_shades,
     "plot_clusters": _plot_clusters,
     "cluster_sheet": _cluster_sheet,
     "article_pack": _article_sheet,
@@ -273,6 +282,27 @@ _CODES = """codes AS (SELECT CAST(split_part(p_brand, '#', 2) AS INTEGER) AS r,
     || CASE p_partkey % 3 WHEN 0 THEN '---' WHEN 1 THEN '-0' ELSE '' END AS cluster_code,
   CASE WHEN p_partkey % 4 IN (0, 1) THEN NULL ELSE 'Field of ' || p_name END AS gn,
   CASE WHEN p_partkey % 8 <> 0 THEN p_name END AS cn FROM part)"""
+_SHOWN = """s AS (SELECT *, regexp_replace(regexp_replace(cluster_code, '-0$', ''), '---$', '') AS shown FROM codes),
+n AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY shown, cluster_code) AS rn,
+  count(*) OVER (PARTITION BY r) AS c, dense_rank() OVER (ORDER BY r) AS g FROM s)"""
+
+
+def _palette_rows() -> str:
+    """Place, colour, hue and saturation of the palette by the standard library."""
+    rows = []
+    for place, color in enumerate(PALETTE):
+        hue, _, saturation = colorsys.rgb_to_hls(*[int(color[at:at + 2], 16) / 255 for at in (1, 3, 5)])
+        rows.append(f"({place}, '{color}', {hue!r}::DOUBLE, {saturation!r}::DOUBLE)")
+    return ", ".join(rows)
+
+
+def _channel(turn: str) -> str:
+    at = f"(hue + {turn} - floor(hue + {turn}))"
+    return f"""CAST(round_even(255 * CASE WHEN {at} < 1 / 6.0::DOUBLE THEN lower_ + (upper_ - lower_) * 6 * {at}
+      WHEN {at} < 0.5 THEN upper_ WHEN {at} < 2 / 3.0::DOUBLE THEN lower_ + (upper_ - lower_) * (2 / 3.0::DOUBLE - {at}) * 6
+      ELSE lower_ END, 0) AS INTEGER)"""
+
+
 _MICRO_CODES = """mr AS (SELECT macro_cluster, row_number() OVER (ORDER BY sum(publications) DESC, macro_cluster) AS m
   FROM report_micro GROUP BY 1),
 sheet AS (SELECT r.*, m AS macro_cluster_id,
@@ -353,12 +383,18 @@ SQL = {
       CAST(r AS VARCHAR) AS main_cluster,
       substring(CASE WHEN coalesce(gn, cn) IS NULL THEN shown ELSE shown || '. ' || coalesce(gn, cn) END, 1, 35) AS label
       FROM (SELECT *, regexp_replace(regexp_replace(cluster_code, '-0$', ''), '---$', '') AS shown FROM codes)""",
-    "color_ramp": f"""WITH {_CODES}, s AS (SELECT *, regexp_replace(regexp_replace(cluster_code, '-0$', ''), '---$', '') AS shown FROM codes),
-      n AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY shown, cluster_code) AS rn,
-        count(*) OVER (PARTITION BY r) AS c, dense_rank() OVER (ORDER BY r) AS g FROM s)
+    "color_ramp": f"""WITH {_CODES}, {_SHOWN}
       SELECT cluster_code, CAST(r AS VARCHAR) AS main_cluster,
         coalesce(['{PALETTE[0]}', '{PALETTE[1]}', '{PALETTE[2]}'][g], '#d3d3d3') AS color,
         CASE WHEN g <= 3 AND c > 1 THEN {q.rounded('0.30 + 0.40 * (rn - 1) / CAST(c - 1 AS DOUBLE)', 6)} END AS lightness FROM n""",
+    "color_shades": f"""WITH {_CODES}, {_SHOWN}, p(place, color, hue, sat) AS (VALUES {_palette_rows()}),
+      l AS (SELECT n.*, color, hue, sat, g = max(g) OVER () AS last_, 0.3::DOUBLE + (0.7::DOUBLE - 0.3::DOUBLE) * (rn - 1) / greatest(c - 1, 1) AS light
+        FROM n JOIN p ON place = (g - 1) % {len(PALETTE)}),
+      u AS (SELECT *, CASE WHEN light <= 0.5 THEN light * (1 + sat) ELSE light + sat - light * sat END AS upper_,
+        2 * light - CASE WHEN light <= 0.5 THEN light * (1 + sat) ELSE light + sat - light * sat END AS lower_ FROM l)
+      SELECT cluster_code, CASE WHEN last_ THEN '#d3d3d3' ELSE color END AS color,
+        CASE WHEN last_ THEN '#d3d3d3' WHEN c <= 1 THEN color ELSE format('#{{:02x}}{{:02x}}{{:02x}}',
+          {_channel('1 / 3.0::DOUBLE')}, {_channel('0')}, {_channel('-1 / 3.0::DOUBLE')}) END AS sub_color FROM u""",
     "plot_clusters": """SELECT p_size || '-' || p_partkey AS cluster_code, p_partkey % 30 AS documents FROM part
       WHERE (p_size || '-' || p_partkey) NOT LIKE '%-99%' AND p_partkey % 30 >= 10""",
     "cluster_sheet": f"""WITH {q.MICRO}, {_MICRO_CODES}, {_NAMES}

@@ -59,8 +59,7 @@ def ramp_lightness(rank: Column, count: Column) -> Column:
     return F.lit(RAMP_LOW) + F.lit(RAMP_HIGH - RAMP_LOW) * (rank - 1) / F.greatest(count - 1, F.lit(1))
 
 
-def shade(color: Column, lightness: Column) -> Column:
-    """The colour at another lightness, keeping hue and saturation."""
+def hue_and_saturation(color: Column) -> tuple[Column, Column]:
     red, green, blue = [F.conv(F.substring(color, at, 2), 16, 10).cast("double") / 255.0
                         for at in (2, 4, 6)]
     top, bottom = F.greatest(red, green, blue), F.least(red, green, blue)
@@ -72,7 +71,11 @@ def shade(color: Column, lightness: Column) -> Column:
         .when(red == top, (green - blue) / width) \
         .when(green == top, 2.0 + (blue - red) / width) \
         .otherwise(4.0 + (red - green) / width) / 6.0
-    hue = hue - F.floor(hue)
+    return hue - F.floor(hue), sat
+
+
+def shade(hue: Column, sat: Column, lightness: Column) -> Column:
+    """The colour of a hue and saturation at some lightness; the arguments should be plain columns, they are used often."""
     upper = F.when(lightness <= 0.5, lightness * (1.0 + sat)).otherwise(lightness + sat - lightness * sat)
     lower = 2.0 * lightness - upper
 

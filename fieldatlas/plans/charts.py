@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas.functions import text
 from fieldatlas.functions.codes import display_label, main_code, tail_clean_code
-from fieldatlas.functions.colors import CHART_GREY, GREY, palette_color, ramp_lightness, shade
+from fieldatlas.functions.colors import CHART_GREY, GREY, hue_and_saturation, palette_color, ramp_lightness, shade
 from fieldatlas.functions.numbers import as_id, as_number, sqrt_scale
 from fieldatlas.operators.joins import lookup
 from fieldatlas.operators.ranking import first_per_key, group_median, top_n, with_group_rank, with_position
@@ -170,6 +170,8 @@ def cluster_colors(codes: DataFrame, palette: list[str], scratch: Scratch, recyc
     mains = with_position(rows.select("main_cluster").distinct(), numbers_first("main_cluster"), "_pos", scratch)
     count = mains.count()
     mains = mains.select("main_cluster", palette_color(F.col("_pos") + 1, F.lit(count), palette, recycle).alias("color"))
+    hue, saturation = hue_and_saturation(F.col("color"))
+    mains = scratch.save(mains.withColumns({"_hue": hue, "_saturation": saturation}))  # one row per main cluster
     shown = tail_clean_code(F.col("cluster_code"))
     ranked = with_group_rank(
         rows, ["main_cluster"],
@@ -177,9 +179,10 @@ def cluster_colors(codes: DataFrame, palette: list[str], scratch: Scratch, recyc
         "_rank", scratch, size_col="_size")
     plain = (F.col("color") == GREY) | (F.col("_size") <= 1)
     lightness = ramp_lightness(F.col("_rank"), F.col("_size"))
-    return ranked.join(mains, "main_cluster").select(
-        "cluster_code", "main_cluster", "color", F.when(~plain, lightness).alias("lightness"),
-        F.when(plain, F.col("color")).otherwise(shade(F.col("color"), lightness)).alias("sub_color"))
+    found = scratch.save(ranked.join(mains, "main_cluster").withColumn("lightness", F.when(~plain, lightness)))
+    shaded = shade(F.col("_hue"), F.col("_saturation"), F.col("lightness"))
+    return found.select("cluster_code", "main_cluster", "color", "lightness",
+                        F.when(plain, F.col("color")).otherwise(shaded).alias("sub_color"))
 
 
 def plot_clusters(report: DataFrame, facet: bool = False) -> DataFrame:

@@ -68,7 +68,7 @@ def test_shades_match_hls(spark):
     rng = random.Random(2)
     rows = [("#%06x" % rng.randrange(1 << 24), rng.uniform(0.3, 0.7)) for _ in range(60)] + [("#808080", 0.4)]
     df = spark.createDataFrame(rows, "c string, l double")
-    for (base, light), found in zip(rows, df.select(colors.shade(F.col("c"), F.col("l")).alias("s")).collect()):
+    for (base, light), found in zip(rows, df.select(colors.shade(*colors.hue_and_saturation(F.col("c")), F.col("l")).alias("s")).collect()):
         h, _, s = colorsys.rgb_to_hls(*[int(base[i:i + 2], 16) / 255 for i in (1, 3, 5)])
         wanted = [int(round(x * 255)) for x in colorsys.hls_to_rgb(h, light, s)]
         shown = [int(found.s[i:i + 2], 16) for i in (1, 3, 5)]
