@@ -201,3 +201,9 @@ def test_migration(spark, tmp_path):
     migrate.point_to(spark, root, "none")
     with pytest.raises(RuntimeError, match="empty"):
         migrate.migrate(spark, root, "v2")
+
+
+def test_equal_values_sort_by_the_other_columns(spark):
+    rows = [(i, float(i % 2)) for i in (8, 3, 5, 0, 7, 2, 9, 4, 1, 6)]
+    df = spark.createDataFrame(rows, "k int, v double").repartition(5)
+    assert [r.k for r in selection.sort_by(df, "v", ascending=False).collect()] == [1, 3, 5, 7, 9, 0, 2, 4, 6, 8]
