@@ -210,3 +210,13 @@ def test_isolated_vertices_stay_alone(spark, scratch):
 def test_empty_graph(spark, scratch):
     table = graph.undirected(edge_table(spark, [(1, 1, 2)])).where(F.col("a") != F.col("b"))
     assert graph.sparsify(table, 0.3, scratch).count() == 0
+
+
+def test_refinement_rounds_do_not_grow_with_the_vertices(spark, scratch):
+    """1,200 leaves that surely gain join their stars in a few rounds; half of them a round would take over ten."""
+    rows = [(100 * hub, 100 * hub + leaf, 1) for hub in range(40) for leaf in range(1, 31)]
+    table = scratch.save(graph.undirected(edge_table(spark, rows)))
+    start = graph.vertices(table).withColumn("community", F.floor(F.col("node") / 100).cast("bigint"))
+    parts = dict(communities.refined_parts(table, start, 10.0, scratch, rounds=8).collect())
+    pairs = {(part, node // 100) for node, part in parts.items()}
+    assert len(parts) == 1240 and len(pairs) == 40 and len({part for part, _ in pairs}) == 40
