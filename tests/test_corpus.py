@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from fieldatlas import derive
 from fieldatlas.plans import ingest, subset
 from fieldatlas.sources import readers, schemas, writers
 
@@ -221,3 +222,15 @@ def test_word_edges_are_those_of_sql(spark):
     assert [r.id for r in df.where(subset.text_matches(pattern)).orderBy("id").collect()] == [1, 2, 3]
     assert [r.id for r in df.where(subset.title_matches(r"\Ban")).orderBy("id").collect()] == [4]
     assert subset.ascii_edges(r"a\\b[\d]\Q\b\E\.") == r"a\\b[\d]\Q\b\E\."
+
+
+def test_word_places_are_built_without_python_workers(spark, small):
+    rows = [(1, "b a b"), (2, ""), (3, None), (4, " a"), (5, "\u00e9 e\u00e9 \u00e9  z")]
+    df = spark.createDataFrame(rows, "n int, text string")
+    found = derive._with_positions(df, F.split("text", r"\s+"), "at")
+    assert found.columns == ["n", "text", "at"]
+    assert {r.n: r["at"] for r in found.collect()} == {
+        1: {"a": [1], "b": [0, 2]}, 2: {"": [0]}, 3: None, 4: {"": [0], "a": [1]},
+        5: {"\u00e9": [0, 2], "e\u00e9": [1], "z": [3]}}
+    plan = derive.raw_work_lines(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
