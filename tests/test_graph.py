@@ -238,3 +238,23 @@ def test_planted_stars_stay_apart_however_many_there_are(spark, scratch):
     assert len(links) == 399 and len(rows) == 1199
     assert all(1 > gamma * d / twice for d in degree.values())
     assert all(w < gamma * degree[a] * degree[b] / twice for a, b, w in links)
+
+
+def test_leaves_follow_their_only_neighbour_where_it_pays(spark):
+    edges = [(0, 1, 1), (0, 2, 1), (0, 3, 1), (3, 4, 1), (4, 5, 1), (5, 3, 1), (8, 9, 1), (7, 7, 1), (4, 6, 0.5), (6, 6, 1)]
+    table = graph.undirected(edge_table(spark, edges))
+    found = dict(communities._followed_leaves(table, 1.0).collect())
+    assert found == {**{n: n for n in range(10)}, 1: 0, 2: 0, 9: 8}
+    # at this resolution 2m / gamma is 4: a leaf of the star of 0, whose other degree is 4, is not sure to stay
+    assert dict(communities._followed_leaves(table, 19 / 4).collect()) == {**{n: n for n in range(10)}, 9: 8}
+
+
+def test_stars_are_settled_before_the_first_rounds(spark, scratch, monkeypatch):
+    edges = [(c * 10, c * 10 + i, 1) for c in range(6) for i in range(1, 8)] + [(c * 10, c * 10 + 10, 0.1) for c in range(5)]
+    sizes, moves = [], communities._local_moves
+    monkeypatch.setattr(communities, "_local_moves", lambda level, *rest, **more: (
+        sizes.append(level.count()), moves(level, *rest, **more))[1])
+    table = graph.undirected(edge_table(spark, edges))
+    found = dict(communities.detect(table, graph.vertices(table), 1.0, scratch, refine=True).collect())
+    assert all(len({found[c * 10 + i] for i in range(8)}) == 1 for c in range(6)) and len(set(found.values())) > 1
+    assert sizes[0] == 11 and max(sizes[1:]) == 47  # six loops and five links, then the whole graph once, to check
