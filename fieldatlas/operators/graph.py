@@ -157,22 +157,22 @@ def spanning_forest(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) ->
 
     Boruvka: in each round every component takes its best outgoing edge, chosen
     by a partial aggregate; parallel links between two components fold to the
-    best one, so the table shrinks fast.
+    best one, so the table shrinks fast.  Edges are numbered once in order of
+    preference, so that rounds compare plain numbers.
     """
+    order = [(-F.col("w")).asc(), F.col("a").asc(), F.col("b").asc()]
+    ranked = scratch.save(edges.where("a <> b").orderBy(*order).select("a", "b", F.monotonically_increasing_id().alias("edge")))
     # x, y are the current components of an edge's ends
-    links = scratch.save(edges.where("a <> b").select(
-        F.col("a").alias("x"), F.col("b").alias("y"),
-        F.struct((-F.col("w")).alias("k"), F.col("a"), F.col("b")).alias("edge")))
+    links = ranked.select(F.col("a").alias("x"), F.col("b").alias("y"), "edge")
     chosen: list[DataFrame] = []
     for _ in range(max_rounds):
-        ends = links.select(F.col("x").alias("c"), "x", "y", "edge").unionAll(
-            links.select(F.col("y").alias("c"), "x", "y", "edge"))
-        best = ends.groupBy("c").agg(F.min(F.struct("edge", "x", "y")).alias("best"))
-        picked = scratch.save(best.select("best.edge", "best.x", "best.y").distinct())
+        ends = links.select(F.col("x").alias("c"), "edge").unionAll(links.select(F.col("y").alias("c"), "edge"))
+        best = ends.groupBy("c").agg(F.min("edge").alias("edge")).select("edge").distinct()
+        picked = scratch.save(links.join(best, "edge", "left_semi"))
         if picked.isEmpty():
             scratch.drop(picked)
             break
-        chosen.append(picked.select("edge.a", "edge.b"))
+        chosen.append(picked.select("edge"))
         merged = scratch.save(connected_components(
             picked.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), scratch))
         left = merged.select(F.col("node").alias("x"), F.col("component").alias("cx"))
@@ -191,7 +191,7 @@ def spanning_forest(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) ->
     forest = chosen[0]
     for part in chosen[1:]:
         forest = forest.unionAll(part)
-    return forest.distinct()
+    return ranked.join(forest, "edge", "left_semi").select("a", "b").distinct()
 
 
 def sparsify(edges: DataFrame, keep: float, scratch: Scratch) -> DataFrame:

@@ -258,3 +258,13 @@ def test_stars_are_settled_before_the_first_rounds(spark, scratch, monkeypatch):
     found = dict(communities.detect(table, graph.vertices(table), 1.0, scratch, refine=True).collect())
     assert all(len({found[c * 10 + i] for i in range(8)}) == 1 for c in range(6)) and len(set(found.values())) > 1
     assert sizes[0] == 11 and max(sizes[1:]) == 47  # six loops and five links, then the whole graph once, to check
+
+
+def test_forest_rounds_compare_plain_numbers(spark, scratch, monkeypatch):
+    """A minimum of structs would sort all links twice a round; ties of weight go to the smaller pair."""
+    plans, save = [], scratch.save
+    monkeypatch.setattr(scratch, "save", lambda df: (
+        plans.append(df._jdf.queryExecution().executedPlan().toString()), save(df))[1])
+    table = graph.undirected(edge_table(spark, [(1, 2, 1), (2, 3, 1), (1, 3, 1), (3, 4, 2), (7, 8, 1), (9, 9, 5)]))
+    assert {(r.a, r.b) for r in graph.spanning_forest(table, scratch).collect()} == {(1, 2), (1, 3), (3, 4), (7, 8)}
+    assert len(plans) > 4 and not any("SortAggregate" in plan for plan in plans)
