@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldatlas.operators.joins import lookup
@@ -58,14 +58,17 @@ def class_keywords(docs: DataFrame, label: str, text: str, scratch: Scratch, top
     counts classes.  The class id is the group key throughout.
     """
     stop = english_stop_words() if stop_words is None else list(stop_words)
-    counts = scratch.save(
+    term = Window.partitionBy("term")
+    counts = (
         docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).hint("rebalance")
         .select(F.col(label).alias("cluster"), words(F.col(text), stop).alias("_words"))
         .select("cluster", F.explode(F.concat("_words", word_pairs(F.col("_words")))).alias("term"))
         .groupBy("cluster", "term").agg(F.count(F.lit(1)).alias("n")))
-    totals = counts.groupBy("term").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"))
-    kept = scratch.save(counts.join(totals.where(F.col("classes") >= min_df).select("term", "total"), "term"))
-    sizes = kept.groupBy("cluster").agg(F.sum("n").alias("size"))
+    # a term has at most one row a class, so no window holds more rows than there are classes
+    kept = scratch.save(counts.withColumns({"total": F.sum("n").over(term), "classes": F.count(F.lit(1)).over(term)})
+                        .where(F.col("classes") >= min_df).drop("classes"))
+    # written first, so that its size is known and the terms of a few large classes stay where they are
+    sizes = scratch.save(kept.groupBy("cluster").agg(F.sum("n").alias("size")))
     mean_size = sizes.agg(F.floor(F.avg("size"))).first()[0] or 0
     score = F.sqrt(F.col("n") / F.col("size")) * F.log(F.lit(1.0) + F.lit(float(mean_size)) / F.col("total"))
     scored = lookup(kept, sizes, "cluster").select("cluster", "term", F.round(score, 9).alias("score"))

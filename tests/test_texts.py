@@ -113,6 +113,18 @@ def test_class_keywords_by_hand(spark, scratch):
     assert "the" in keywords.english_stop_words()
 
 
+def test_class_keywords_leave_large_classes_spread(spark, scratch):
+    docs = spark.range(3000).selectExpr("if(id % 10 = 0, 'a', 'b') AS label",
+                                        "concat('w', hex(hash(id)), ' v', hex(hash(id + 7))) AS body")
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, "8k")  # far below the terms, above one row a class
+    try:
+        plan = keywords.class_keywords(docs, "label", "body", scratch)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_weighted_roll_up(spark):
     micro = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "micro_cluster bigint, embedding array<double>")
     meta = spark.createDataFrame([(1, 9, 3, 5), (2, 9, None, 4)],
