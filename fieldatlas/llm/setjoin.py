@@ -7,9 +7,11 @@ fewer and larger segments are indexed together with all their one-deletion
 neighbours.  Segments so small that unrelated sets share them are indexed only
 for sets that have too many of them for the pigeonhole argument to do without.
 
-Equal sets are one class from the start, candidates are verified on whole sets,
-and a bucket of candidates is searched by stars: its members are compared with
-its first and last one; only members that stay in other components are compared further.
+Equal sets are one class from the start; one row of a class is indexed, told
+by a sketch of the ids that stand for classes, so that copies do not make
+signatures look shared and no text moves for it.  Candidates are verified on whole sets, and a bucket of
+candidates is searched by stars: its members are compared with its first and
+last one; only members that stay in other components are compared further.
 """
 
 from __future__ import annotations
@@ -209,25 +211,46 @@ def _signatures_of(part: pa.RecordBatch, size: int, ranges: list[tuple[int, int]
                "band": np.full(len(sig), band), "spare": spare}
 
 
-def signatures(documents: DataFrame, size: int, ranges: list[tuple[int, int]], schemes: list[Scheme | None],
-               percent: int, bits: int = CELL_BITS) -> tuple[DataFrame, Broadcast]:
-    """``sig, h1, band, spare``: the signatures that may belong to several rows, and the broadcast sketch that tells.
+_CHOSEN_BITS = 25  # cells of each row of the sketch of ids: two rows of 4 MB as bit sets
 
-    A first pass sketches all signatures; one that occurs once can link nothing and never leaves its task.
+
+def _id_hashes(part: pa.RecordBatch) -> np.ndarray:
+    return bw.mixed(np.asarray(part.column("doc_id").to_numpy(zero_copy_only=False), np.int64).view(np.uint64))
+
+
+def chosen_ids(classes: DataFrame) -> np.ndarray:
+    """A sketch that holds every ``rep`` of ``classes``, and few other ids."""
+    ids = classes.select(F.col("rep").alias("doc_id"), F.lit("").alias("text"))
+    return repeated_cells(ids, lambda part: np.repeat(_id_hashes(part), 2), _CHOSEN_BITS, ("doc_id", "text"))
+
+
+def signatures(documents: DataFrame, classes: DataFrame, size: int, ranges: list[tuple[int, int]],
+               schemes: list[Scheme | None], percent: int, bits: int = CELL_BITS) -> tuple[DataFrame, list[Broadcast]]:
+    """``sig, h1, band, spare``: the signatures that may belong to several sets, and the broadcast sketches that tell.
+
+    Rows that stand for no class in ``classes`` are left out, but for a few that the sketch of ids lets through.  A first
+    pass sketches all signatures; one that occurs once can link nothing and never leaves its task.
     """
+    context = documents.sparkSession.sparkContext
+    chosen = context.broadcast(chosen_ids(classes))
+
+    def found(part: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
+        rows = part.filter(pa.array(maybe_repeated(chosen.value, _id_hashes(part))))
+        return _signatures_of(rows, size, ranges, schemes, percent) if rows.num_rows else iter(())
+
     def hashes(part: pa.RecordBatch) -> np.ndarray:
-        found = [rows["sig"] for rows in _signatures_of(part, size, ranges, schemes, percent)]
-        return np.concatenate(found) if found else np.zeros(0, np.uint64)
+        sigs = [rows["sig"] for rows in found(part)]
+        return np.concatenate(sigs) if sigs else np.zeros(0, np.uint64)
 
-    held = documents.sparkSession.sparkContext.broadcast(repeated_cells(documents, hashes, bits))
+    held = context.broadcast(repeated_cells(documents, hashes, bits, ("doc_id", "text")))
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
-            for rows in _signatures_of(part, size, ranges, schemes, percent):
+            for rows in found(part):
                 hit = maybe_repeated(held.value, rows["sig"])
                 yield {name: values[hit] for name, values in (rows | {"sig": rows["sig"].view(np.int64)}).items()}
 
-    return arrow_map(documents.select("text"), "sig long, h1 long, band int, spare int", step), held
+    return arrow_map(documents.select("doc_id", "text"), "sig long, h1 long, band int, spare int", step), [chosen, held]
 
 
 def thinned(hits: DataFrame) -> DataFrame:
@@ -449,9 +472,10 @@ def components(documents: DataFrame, scratch: Scratch, size: int, percent: int)
     schemes = [allocate(low, high, in_band.get(low, 0) + in_band.get(below, 0), percent)
                for below, (low, high) in zip([0, *[r[0] for r in ranges]], ranges, strict=False)]
 
-    emitted, sketch = signatures(documents.where(F.col("doc_id").isNotNull()), size, ranges, schemes, percent)
+    emitted, sketches = signatures(documents.where(F.col("doc_id").isNotNull()), classes, size, ranges, schemes, percent)
     rows = scratch.save(emitted)
-    sketch.destroy()
+    for sketch in sketches:
+        sketch.destroy()
     shared = rows.groupBy("sig").agg(F.min("h1").alias("x"), F.max("h1").alias("y"), F.count(F.lit(1)).alias("n")) \
         .where("x <> y").select("sig", "n")
     hits = thinned(lookup(rows, shared, "sig").distinct())

@@ -8,7 +8,7 @@ too low.  When a corpus outgrows the sketch more hashes pass; none is lost.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -68,9 +68,9 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_cells(texts: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.ndarray],
-                   bits: int = CELL_BITS) -> np.ndarray:
+                   bits: int = CELL_BITS, columns: Sequence[str] = ("text",)) -> np.ndarray:
     """Both rows of the merged sketch as bit sets: which cells were hit at least twice."""
-    parts = arrow_map(texts.select("text"), "block long, cells binary, twice binary", _blocks(hashes_of, bits))
+    parts = arrow_map(texts.select(*columns), "block long, cells binary, twice binary", _blocks(hashes_of, bits))
     merged = parts.repartition("block").sortWithinPartitions("block") \
                   .mapInArrow(_merge, "block long, repeated binary")
     size = (1 << _BLOCK_BITS) // 8

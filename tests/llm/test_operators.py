@@ -246,6 +246,17 @@ def test_set_join_without_rows_or_ids(spark, nothing, scratch):
     assert sorted((r.n_shingles, r.component_id or -1) for r in got.collect()) == [(0, -1), (1, -1), (2, 4), (2, 4)]
 
 
+def test_copies_of_a_set_are_not_indexed(spark, scratch):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, text) for i in range(40)] + [(100 + i, " ".join(f"x{i}y{j}" for j in range(60))) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    classes = setjoin.set_ids(docs, 3).groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    ranges = setjoin.bands(58)
+    schemes = [setjoin.allocate(low, high, 60, 90) for low, high in ranges]
+    emitted, _ = setjoin.signatures(docs, classes, 3, ranges, schemes, 90)
+    assert emitted.count() == 0  # nothing is shared by different sets
+
+
 def test_every_scheme_finds_similar_sets():
     rng = np.random.default_rng(2)
     for percent in (80, 90):
