@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas import derive
 from fieldatlas.catalog import fragments as q
-from fieldatlas.catalog.reports import all_reports, flat_lists, report
+from fieldatlas.catalog.reports import all_reports, flat_lists, report, report_of
 from fieldatlas.functions.numbers import round_to
 from fieldatlas.operators import selection
 from fieldatlas.operators.reports import entity_stats, top_articles
@@ -91,15 +91,19 @@ def _subquery_summary(spark: SparkSession, folder: str) -> DataFrame:
     return subquery.summary(*[tables[f"cluster_report_{level}"] for level in ("micro", "meso", "macro")])
 
 
-def _institution_summary(spark: SparkSession, folder: str, scratch: Scratch) -> DataFrame:
-    return institution.cluster_summary(report(spark, folder, "micro"), derive.works(spark, folder),
-                                       INSTITUTION, scratch)
+def _institution_summary(works: DataFrame, scratch: Scratch) -> DataFrame:
+    return institution.cluster_summary(report_of(works, "micro"), works, INSTITUTION, scratch)
+
+
+def _institution_focus(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark)
+    return _institution_summary(scratch.save(derive.works(spark, folder)), scratch)
 
 
 def _institution_top(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark)
-    found = scratch.save(_institution_summary(spark, folder, scratch))
-    return institution.top_works(found, derive.works(spark, folder), INSTITUTION)
+    works = scratch.save(derive.works(spark, folder))  # read by the report and twice for the institution
+    return institution.top_works(scratch.save(_institution_summary(works, scratch)), works, INSTITUTION)
 
 
 QUERIES = {
@@ -122,7 +126,7 @@ QUERIES = {
     "subquery_summary": _subquery_summary,
     "representatives": lambda s, d: keywords.representatives(derive.works(s, d), Scratch(s)).select(
         "id", "micro_cluster", "meso_cluster", "macro_cluster"),
-    "institution_focus": lambda s, d: _institution_summary(s, d, Scratch(s)),
+    "institution_focus": _institution_focus,
     "institution_top10": _institution_top,
 }
 

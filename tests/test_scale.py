@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from fieldatlas.catalog import all_queries
 from fieldatlas.functions import text
 from fieldatlas.operators import ranking
 from fieldatlas.plans import charts, keywords, packs
@@ -59,3 +60,7 @@ def test_entities_are_cut_after_blanks(spark):
     sheet = spark.createDataFrame([(1, "1-1")], "micro_cluster bigint, cluster_code string")
     got = packs.entity_sheet(articles, sheet, "micro", "institutions", "institution", top=3).collect()
     assert [(r.institution, r.freq) for r in got] == [("nan", 3), ("A", 2), ("B", 1)]
+
+
+def test_institution_reads_the_works_once(spark, small):
+    assert not any("lineitem" in f for f in all_queries()["institution_top10"](spark, small).inputFiles())
