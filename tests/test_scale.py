@@ -64,3 +64,7 @@ def test_entities_are_cut_after_blanks(spark):
 
 def test_institution_reads_the_works_once(spark, small):
     assert not any("lineitem" in f for f in all_queries()["institution_top10"](spark, small).inputFiles())
+
+
+def test_payload_reads_the_works_once(spark, small):
+    assert not any("lineitem" in f for f in all_queries()["report_payload"](spark, small).inputFiles())
