@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas.llm import bytewords as bw
 from fieldatlas.llm.frames import arrow_map
-from fieldatlas.llm.sketch import CELL_BITS, maybe_repeated, repeated_cells
+from fieldatlas.llm.sketch import CELL_BITS, bits_for, maybe_repeated, repeated_cells
 from fieldatlas.operators.graph import connected_components
 from fieldatlas.operators.joins import lookup
 from fieldatlas.session import Scratch
@@ -218,10 +218,15 @@ def _id_hashes(part: pa.RecordBatch) -> np.ndarray:
     return bw.mixed(np.asarray(part.column("doc_id").to_numpy(zero_copy_only=False), np.int64).view(np.uint64))
 
 
-def chosen_ids(classes: DataFrame) -> np.ndarray:
-    """A sketch that holds every ``rep`` of ``classes``, and few other ids."""
-    ids = classes.select(F.col("rep").alias("doc_id"), F.lit("").alias("text"))
-    return repeated_cells(ids, lambda part: np.repeat(_id_hashes(part), 2), _CHOSEN_BITS, ("doc_id", "text"))
+def chosen_ids(ids: DataFrame) -> np.ndarray:
+    """A sketch that holds every id of a one-column table, and few others."""
+    named = ids.toDF("doc_id")
+    return repeated_cells(named, lambda part: np.repeat(_id_hashes(part), 2), _CHOSEN_BITS, ("doc_id",), None)
+
+
+def _among(part: pa.RecordBatch, chosen: Broadcast) -> pa.RecordBatch:
+    """The rows whose id may be among the chosen ones."""
+    return part.filter(pa.array(maybe_repeated(chosen.value, _id_hashes(part))))
 
 
 def signatures(documents: DataFrame, classes: DataFrame, size: int, ranges: list[tuple[int, int]],
@@ -232,10 +237,10 @@ def signatures(documents: DataFrame, classes: DataFrame, size: int, ranges: list
     pass sketches all signatures; one that occurs once can link nothing and never leaves its task.
     """
     context = documents.sparkSession.sparkContext
-    chosen = context.broadcast(chosen_ids(classes))
+    chosen = context.broadcast(chosen_ids(classes.select("rep")))
 
     def found(part: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
-        rows = part.filter(pa.array(maybe_repeated(chosen.value, _id_hashes(part))))
+        rows = _among(part, chosen)
         return _signatures_of(rows, size, ranges, schemes, percent) if rows.num_rows else iter(())
 
     def hashes(part: pa.RecordBatch) -> np.ndarray:
@@ -253,6 +258,45 @@ def signatures(documents: DataFrame, classes: DataFrame, size: int, ranges: list
     return arrow_map(documents.select("doc_id", "text"), "sig long, h1 long, band int, spare int", step), [chosen, held]
 
 
+def sifted(rows: DataFrame, bits: int = CELL_BITS) -> tuple[DataFrame, Broadcast]:
+    """The rows whose signature may occur again among ``rows`` themselves, told by other cells than those they passed.
+
+    The cells of the first sketch fill up as documents grow; what it lets through fills few cells of the second.
+    """
+    def hashes(batch: pa.RecordBatch) -> np.ndarray:
+        return bw.mixed(batch.column("sig").to_numpy().view(np.uint64))
+
+    cells = repeated_cells(rows, hashes, bits_for(rows.count(), bits), ("sig",), None)
+    held = rows.sparkSession.sparkContext.broadcast(cells)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(maybe_repeated(held.value, hashes(batch))))
+
+    return rows.mapInArrow(run, rows.schema), held
+
+
+def _indexed(documents: DataFrame, classes: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+    """``sig, h1, band, spare``, written: the signatures that may belong to several sets."""
+    largest = classes.agg(F.max("n_shingles")).first()[0] or 0
+    ranges = bands(largest)
+    in_band = {r["low"]: r["sets"] for r in _per_band(classes, ranges).collect()}  # one row a band
+    counts = [in_band.get(low, 0) + in_band.get(below, 0)
+              for below, (low, _) in zip([0, *[r[0] for r in ranges]], ranges, strict=False)]
+    schemes = [allocate(low, high, n, percent) for n, (low, high) in zip(counts, ranges, strict=True)]
+    expected = sum(n * (s.segments + high) for n, (_, high), s in zip(counts, ranges, schemes, strict=True) if s)
+    emitted, sketches = signatures(documents, classes, size, ranges, schemes, percent, bits_for(expected))
+    first = scratch.save(emitted)
+    for sketch in sketches:
+        sketch.destroy()
+    del emitted, sketches  # the driver lets go of the first sketch before it takes the second
+    again, sketch = sifted(first)
+    rows = scratch.save(again)
+    sketch.destroy()
+    scratch.drop(first)
+    return rows
+
+
 def thinned(hits: DataFrame) -> DataFrame:
     """Leave out each set's most frequent plain signatures, as many as it can do without.
 
@@ -429,25 +473,30 @@ def _set_columns(sets: list[np.ndarray]) -> dict[str, pa.Array]:
             "marks": pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * _MARKS, pa.array(marks))}
 
 
-def token_sets(documents: DataFrame, size: int) -> DataFrame:
-    """``doc, tokens, n, marks`` of every row."""
+def token_sets(documents: DataFrame, size: int, chosen: Broadcast) -> DataFrame:
+    """``doc, tokens, n, marks`` of the rows whose id is chosen, and of few others; no text is shuffled."""
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
-            yield {"doc": part.column("doc_id")} | _set_columns(shingle_sets(part, size))
+            rows = _among(part, chosen)
+            if rows.num_rows:
+                yield {"doc": rows.column("doc_id")} | _set_columns(shingle_sets(rows, size))
 
     return arrow_map(documents.select("doc_id", "text"), f"doc long, {_SETS}", step)
 
 
-def _class_sets(documents: DataFrame, size: int, classes: DataFrame) -> DataFrame:
+def _class_sets(documents: DataFrame, size: int, classes: DataFrame, chosen: Broadcast) -> DataFrame:
     """``doc, tokens, n, marks`` of every class, ``doc`` its number; rows are matched by set identity, not by id."""
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
-            sets = shingle_sets(part, size)
+            rows = _among(part, chosen)
+            if not rows.num_rows:
+                continue
+            sets = shingle_sets(rows, size)
             sums = np.array([(s.sum(), bw.mixed(s).sum()) for s in sets], np.uint64).reshape(-1, 2)
             yield {"h1": bw.mixed(sums[:, 0]).view(np.int64), "h2": bw.mixed(sums[:, 1]).view(np.int64),
                    "n_shingles": np.array([len(s) for s in sets], np.int64)} | _set_columns(sets)
 
-    found = arrow_map(documents, f"h1 long, h2 long, n_shingles long, {_SETS}", step)
+    found = arrow_map(documents.select("doc_id", "text"), f"h1 long, h2 long, n_shingles long, {_SETS}", step)
     return lookup(found, classes.select("h1", "h2", "n_shingles", "node"), ["h1", "h2", "n_shingles"]) \
         .groupBy(F.col("node").alias("doc")).agg(*[F.first(name).alias(name) for name in ("tokens", "n", "marks")])
 
@@ -466,16 +515,8 @@ def components(documents: DataFrame, scratch: Scratch, size: int, percent: int)
     node = F.monotonically_increasing_id() if repeats else F.col("rep")
     classes = scratch.save(ids.where("n_shingles > 0").groupBy("h1", "h2", "n_shingles")
                            .agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL").withColumn("node", node))
-    largest = classes.agg(F.max("n_shingles")).first()[0] or 0
-    ranges = bands(largest)
-    in_band = {r["low"]: r["sets"] for r in _per_band(classes, ranges).collect()}  # one row a band
-    schemes = [allocate(low, high, in_band.get(low, 0) + in_band.get(below, 0), percent)
-               for below, (low, high) in zip([0, *[r[0] for r in ranges]], ranges, strict=False)]
-
-    emitted, sketches = signatures(documents.where(F.col("doc_id").isNotNull()), classes, size, ranges, schemes, percent)
-    rows = scratch.save(emitted)
-    for sketch in sketches:
-        sketch.destroy()
+    named_rows = documents.where(F.col("doc_id").isNotNull())
+    rows = _indexed(named_rows, classes, size, percent, scratch)
     shared = rows.groupBy("sig").agg(F.min("h1").alias("x"), F.max("h1").alias("y"), F.count(F.lit(1)).alias("n")) \
         .where("x <> y").select("sig", "n")
     hits = thinned(lookup(rows, shared, "sig").distinct())
@@ -483,13 +524,10 @@ def components(documents: DataFrame, scratch: Scratch, size: int, percent: int)
                                                               F.col("n_shingles").alias("n")))
     scratch.drop(rows)
     wanted = members.select(F.col("doc").alias("node")).distinct()
-    if repeats:
-        named = lookup(classes, wanted, "node", "left_semi")
-        texts = documents.select("doc_id", "text").join(named.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-        sets = scratch.save(_class_sets(texts, size, named))
-    else:
-        texts = documents.select("doc_id", "text").join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-        sets = scratch.save(token_sets(texts, size))
+    named = lookup(classes, wanted, "node", "left_semi")
+    chosen = documents.sparkSession.sparkContext.broadcast(chosen_ids(named.select("rep")))
+    sets = scratch.save(_class_sets(named_rows, size, named, chosen) if repeats else token_sets(named_rows, size, chosen))
+    chosen.destroy()
     edges = links(members, sets, percent, scratch)
     labels = scratch.save(connected_components(edges.withColumn("w", F.lit(1.0)), scratch))
     named = lookup(classes, labels, "node", "left").withColumn("component", F.coalesce("component", "node"))

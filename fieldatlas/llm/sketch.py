@@ -1,7 +1,8 @@
 """A count-min sketch over all partitions: which hashes may occur more than once.
 
 Every task adds its hashes to two rows of cells; the sketches of all tasks are
-merged block by block, never on the driver.  The merged sketch is two bit sets
+merged block by block, never on the driver, which gets the cells of a block as
+a list while they are few.  The merged sketch is two bit sets
 of fixed size whatever the corpus, hence safe to broadcast.  Counts are never
 too low.  When a corpus outgrows the sketch more hashes pass; none is lost.
 """
@@ -13,12 +14,15 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fieldatlas.llm import bytewords as bw
-from fieldatlas.llm.frames import arrow_map
+from fieldatlas.session import Scratch
 
 CELL_BITS = 27     # cells of each row: two rows of 16 MB as bit sets
 _BLOCK_BITS = 16
+_AT_ONCE = 1 << 20  # hashes that a task gathers before it sorts them into cells
+_SPARSE = (1 << _BLOCK_BITS) // 16  # below so many repeated cells a block is a list of offsets, else a bit set
 
 
 def _cells(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -26,23 +30,37 @@ def _cells(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(32)) & mask).astype(np.int64)
 
 
-def _blocks(hashes_of: Callable[[pa.RecordBatch], np.ndarray], bits: int):
-    """Cells hit by a batch, one row a block of cells: sorted offsets, and those hit twice."""
-    def step(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part in bw.pieces(batch, "text"):
-            hashes = hashes_of(part)
-            if not len(hashes):
-                continue
-            for row, cells in enumerate(_cells(hashes, bits)):
-                cell, n = np.unique(cells, return_counts=True)
-                block = cell >> _BLOCK_BITS
-                heads = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-                offset = (cell & ((1 << _BLOCK_BITS) - 1)).astype(np.uint16)
-                ends = np.r_[heads[1:], len(cell)]
-                yield {"block": block[heads] + (row << bits >> _BLOCK_BITS),
-                       "cells": [offset[a:b].tobytes() for a, b in zip(heads, ends, strict=True)],
-                       "twice": [offset[a:b][n[a:b] > 1].tobytes() for a, b in zip(heads, ends, strict=True)]}
-    return step
+def bits_for(hashes: float, most: int = CELL_BITS) -> int:
+    """Bits of a cell number for about so many hashes, eight cells or more for each of them, but at most ``most``."""
+    return min(most, max(_BLOCK_BITS, int(8 * hashes).bit_length()))
+
+
+def _blocks(hashes_of: Callable[[pa.RecordBatch], np.ndarray], bits: int, text: str | None):
+    """Cells hit by some rows, one row a block of cells: sorted offsets, and those hit twice."""
+    def sorted_in(hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for row, cells in enumerate(_cells(hashes, bits)):
+            cell, n = np.unique(cells, return_counts=True)
+            block = cell >> _BLOCK_BITS
+            heads = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+            offset = (cell & ((1 << _BLOCK_BITS) - 1)).astype(np.uint16)
+            ends = np.r_[heads[1:], len(cell)]
+            yield pa.RecordBatch.from_pydict({
+                "block": pa.array(block[heads] + (row << bits >> _BLOCK_BITS), pa.int64()),
+                "cells": pa.array([offset[a:b].tobytes() for a, b in zip(heads, ends, strict=True)], pa.binary()),
+                "twice": pa.array([offset[a:b][n[a:b] > 1].tobytes() for a, b in zip(heads, ends, strict=True)], pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            for part in bw.pieces(batch, text) if text else [batch]:
+                held.append(hashes_of(part))
+                count += len(held[-1])
+                if count >= _AT_ONCE:
+                    yield from sorted_in(np.concatenate(held))
+                    held, count = [], 0
+        if count:
+            yield from sorted_in(np.concatenate(held))
+    return run
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,8 +68,10 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block, counts = None, np.zeros(1 << _BLOCK_BITS, np.uint8)
 
     def done() -> pa.RecordBatch:
+        few = np.flatnonzero(counts > 1)
+        raw = few.astype(np.uint16) if len(few) < _SPARSE else np.packbits(counts > 1)
         return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()),
-                                           "repeated": pa.array([np.packbits(counts > 1).tobytes()], pa.binary())})
+                                           "repeated": pa.array([raw.tobytes()], pa.binary())})
 
     for batch in batches:
         for b, cells, twice in zip(*(batch.column(k).to_pylist() for k in ("block", "cells", "twice")), strict=True):
@@ -67,16 +87,25 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def repeated_cells(texts: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.ndarray],
-                   bits: int = CELL_BITS, columns: Sequence[str] = ("text",)) -> np.ndarray:
-    """Both rows of the merged sketch as bit sets: which cells were hit at least twice."""
-    parts = arrow_map(texts.select(*columns), "block long, cells binary, twice binary", _blocks(hashes_of, bits))
+def repeated_cells(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.ndarray], bits: int = CELL_BITS,
+                   columns: Sequence[str] = ("text",), text: str | None = "text") -> np.ndarray:
+    """Both rows of the merged sketch as bit sets: which cells were hit at least twice.
+
+    Batches are cut by the length of ``text``, where given.
+    """
+    parts = rows.select(*columns).mapInArrow(_blocks(hashes_of, bits, text), "block long, cells binary, twice binary")
     merged = parts.repartition("block").sortWithinPartitions("block") \
-                  .mapInArrow(_merge, "block long, repeated binary")
+                  .mapInArrow(_merge, "block long, repeated binary").where(F.length("repeated") > 0)
     size = (1 << _BLOCK_BITS) // 8
     out = np.zeros(max((2 << bits) // 8, 2 * size), np.uint8)
-    for row in merged.toLocalIterator():  # fixed: 2 ** (bits + 1) bits, one partition at a time
-        out[row.block * size: (row.block + 1) * size] = np.frombuffer(row.repeated, np.uint8)
+    with Scratch(rows.sparkSession) as scratch:  # written first, so that the shuffle goes before the sketch is used
+        for row in scratch.save(merged).toLocalIterator():  # at most 2 ** (bits + 1) bits, one partition at a time
+            raw = np.frombuffer(row.repeated, np.uint8)
+            if len(raw) < size:
+                full = np.zeros(1 << _BLOCK_BITS, bool)
+                full[raw.view(np.uint16)] = True
+                raw = np.packbits(full)
+            out[row.block * size: (row.block + 1) * size] = raw
     return out.reshape(2, -1)
 
 

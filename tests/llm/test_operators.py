@@ -7,10 +7,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fieldatlas.llm import bpe, langid, mixing, quality, setjoin, suffixes, toxicity, vectors, warc, windows
+from fieldatlas.llm import bpe, langid, mixing, quality, setjoin, sketch, suffixes, toxicity, vectors, warc, windows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, component_id string"
@@ -257,6 +258,40 @@ def test_copies_of_a_set_are_not_indexed(spark, scratch):
     assert emitted.count() == 0  # nothing is shared by different sets
 
 
+def test_a_sketch_of_few_hashes_is_sent_as_lists():
+    """Cells hit twice travel to the driver; 64 KB of cells took 8 KB whatever they held."""
+    cells = np.array([5, 77, 900], np.uint16).tobytes()
+    rows = pa.RecordBatch.from_pydict({"block": [3, 3], "cells": [cells, cells[2:4]], "twice": [cells[:2], b""]})
+    merged = list(sketch._merge(iter([rows])))
+    assert [b.to_pylist() for b in merged] == [[{"block": 3, "repeated": np.array([5, 77], np.uint16).tobytes()}]]
+
+
+@pytest.mark.parametrize("count", [300, 90_000])
+def test_a_sketch_holds_every_repeated_hash(spark, count):
+    data = spark.range(0, count, 1, 3).selectExpr("xxhash64(id) AS sig").unionAll(
+        spark.range(0, count // 30).selectExpr("xxhash64(id) AS sig"))
+    cells = sketch.repeated_cells(data, lambda b: b.column("sig").to_numpy().view(np.uint64), 17, ("sig",), None)
+    hit = sketch.maybe_repeated(cells, data.toArrow().column("sig").to_numpy().view(np.uint64))
+    assert hit[: count // 30].all() and hit[count:].all()
+    assert count > 1000 or hit.sum() < count // 10
+
+
+def test_signatures_are_sifted_a_second_time(spark):
+    """What the first sketch let through and occurs once goes before the rows are shuffled."""
+    rows = spark.range(2000).selectExpr("xxhash64(id div 2 + if(id < 1900, id, 0)) AS sig", "id AS h1", "1 AS band", "1 AS spare")
+    wanted = {r.sig for r in rows.groupBy("sig").count().where("count > 1").collect()}
+    got = [r.sig for r in setjoin.sifted(rows)[0].collect()]
+    assert wanted and wanted <= set(got) and len(got) < 1000
+
+
+def test_sets_are_read_without_a_shuffle_of_texts(spark, docs):
+    ids = docs.where("doc_id % 7 = 0").select("doc_id")
+    chosen = spark.sparkContext.broadcast(setjoin.chosen_ids(ids))
+    sets = setjoin.token_sets(docs, 3, chosen)
+    assert "hashpartitioning" not in sets._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id for r in ids.collect()} <= {r.doc for r in sets.collect()}
+
+
 def test_every_scheme_finds_similar_sets():
     rng = np.random.default_rng(2)
     for percent in (80, 90):
