@@ -30,7 +30,8 @@ def _network_edges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    return graph.connected_components(graph.undirected(edges), Scratch(spark))
+    pairs = edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
+    return graph.connected_components(pairs, Scratch(spark))  # weights do not matter, so nothing is folded first
 
 
 def _largest_component(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,7 +8,10 @@ one row, so hubs stay ordinary keys that adaptive execution can split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldatlas.operators.joins import lookup
@@ -55,20 +58,44 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 6
     edge table shrinks towards one star per component in O(log^2 n) rounds,
     whatever the diameter.
     """
-    nodes = vertices(edges)
-    table = scratch.save(edges.where("a <> b").select(F.col("b").alias("hi"), F.col("a").alias("lo")).distinct())
-    mark = _fingerprint(table)
-    for _ in range(max_rounds):
-        previous = table
-        table = scratch.save(_small_star(_large_star(table)))
-        scratch.drop(previous)
-        before, mark = mark, _fingerprint(table)
-        if mark == before:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return nodes.join(table.select(F.col("hi").alias("node"), F.col("lo").alias("component")), "node", "left") \
-                .select("node", F.coalesce("component", "node").alias("component"))
+    pairs = scratch.save(edges.where("a <> b").select(F.col("b").alias("hi"), F.col("a").alias("lo")))
+    with _spread(scratch.spark, pairs.count()):
+        table = scratch.save(pairs.distinct())
+        scratch.drop(pairs)
+        mark = _fingerprint(table)
+        for _ in range(max_rounds):
+            previous = table
+            table = scratch.save(_small_star(_large_star(table)))
+            scratch.drop(previous)
+            before, mark = mark, _fingerprint(table)
+            if mark == before:
+                break
+        else:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        # the table has every vertex of a pair now: others once as ``hi``, the smallest of a component as ``lo``
+        roots = scratch.save(table.select(F.col("lo").alias("node")).distinct())
+        alone = scratch.save(vertices(edges.where("NOT coalesce(a <> b, false)")))
+    labels = table.select(F.col("hi").alias("node"), F.col("lo").alias("component")) \
+        .unionAll(roots.select("node", F.col("node").alias("component")))
+    if alone.isEmpty():
+        return labels
+    return labels.unionAll(alone.join(labels.select("node"), "node", "left_anti")
+                           .select("node", F.col("node").alias("component")))
+
+
+_ROWS_A_TASK = 1 << 20
+
+
+@contextmanager
+def _spread(spark: SparkSession, rows: int) -> Iterator[None]:
+    """More shuffle partitions while many rows are moved, so that no task's tables grow with the graph."""
+    key = "spark.sql.shuffle.partitions"
+    was = spark.conf.get(key)
+    spark.conf.set(key, max(int(was), -(-rows // _ROWS_A_TASK)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
 
 
 def _large_star(table: DataFrame) -> DataFrame:

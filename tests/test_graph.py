@@ -268,3 +268,21 @@ def test_forest_rounds_compare_plain_numbers(spark, scratch, monkeypatch):
     table = graph.undirected(edge_table(spark, [(1, 2, 1), (2, 3, 1), (1, 3, 1), (3, 4, 2), (7, 8, 1), (9, 9, 5)]))
     assert {(r.a, r.b) for r in graph.spanning_forest(table, scratch).collect()} == {(1, 2), (1, 3), (3, 4), (7, 8)}
     assert len(plans) > 4 and not any("SortAggregate" in plan for plan in plans)
+
+
+def test_components_of_loops_and_missing_ends(spark, scratch):
+    rows = [(1, 2), (2, 3), (3, 3), (7, 7), (7, 7), (8, None), (9, 10)]
+    edges = spark.createDataFrame(rows, "a long, b long")
+    got = graph.connected_components(edges, scratch)
+    assert sorted((r.node or -1, r.component or -1) for r in got.collect()) == [
+        (-1, -1), (1, 1), (2, 1), (3, 1), (7, 7), (8, 8), (9, 9), (10, 9)]
+
+
+def test_components_are_spread_by_the_size_of_the_graph(spark, scratch, monkeypatch):
+    monkeypatch.setattr(graph, "_ROWS_A_TASK", 10)
+    seen, was = [], spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(graph, "_large_star", lambda table, step=graph._large_star: seen.append(
+        int(spark.conf.get("spark.sql.shuffle.partitions"))) or step(table))
+    edges = spark.range(200).selectExpr("id AS a", "id + 1 AS b")
+    assert {r.component for r in graph.connected_components(edges, scratch).collect()} == {0}
+    assert set(seen) == {20} and spark.conf.get("spark.sql.shuffle.partitions") == was
