@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas.llm import bytewords as bw
 from fieldatlas.llm.frames import arrow_map
-from fieldatlas.llm.sketch import CELL_BITS, bits_for, maybe_repeated, repeated_cells
+from fieldatlas.llm.sketch import CELL_BITS, bits_for, maybe_repeated, named, parts_for, repeated_cells, repeated_names
 from fieldatlas.operators.graph import connected_components
 from fieldatlas.operators.joins import lookup
 from fieldatlas.session import Scratch
@@ -211,6 +211,7 @@ def _signatures_of(part: pa.RecordBatch, size: int, ranges: list[tuple[int, int]
                "band": np.full(len(sig), band), "spare": spare}
 
 
+_ROOM = 4  # cells for each signature, else a sketch tells too little
 _CHOSEN_BITS = 25  # cells of each row of the sketch of ids: two rows of 4 MB as bit sets
 
 
@@ -230,11 +231,13 @@ def _among(part: pa.RecordBatch, chosen: Broadcast) -> pa.RecordBatch:
 
 
 def signatures(documents: DataFrame, classes: DataFrame, size: int, ranges: list[tuple[int, int]],
-               schemes: list[Scheme | None], percent: int, bits: int = CELL_BITS) -> tuple[DataFrame, list[Broadcast]]:
+               schemes: list[Scheme | None], percent: int, expected: float = 0,
+               bits: int = CELL_BITS) -> tuple[DataFrame, list[Broadcast]]:
     """``sig, h1, band, spare``: the signatures that may belong to several sets, and the broadcast sketches that tell.
 
     Rows that stand for no class in ``classes`` are left out, but for a few that the sketch of ids lets through.  A first
-    pass sketches all signatures; one that occurs once can link nothing and never leaves its task.
+    pass sketches all signatures; one that occurs once can link nothing and never leaves its task.  Where the
+    ``expected`` number of them would fill the sketch, their keys are counted first, and the sketch holds the repeated ones.
     """
     context = documents.sparkSession.sparkContext
     chosen = context.broadcast(chosen_ids(classes.select("rep")))
@@ -247,12 +250,21 @@ def signatures(documents: DataFrame, classes: DataFrame, size: int, ranges: list
         sigs = [rows["sig"] for rows in found(part)]
         return np.concatenate(sigs) if sigs else np.zeros(0, np.uint64)
 
-    held = context.broadcast(repeated_cells(documents, hashes, bits, ("doc_id", "text")))
+    many, parts = expected * _ROOM > 1 << bits, parts_for(expected)
+    if many:
+        with Scratch(documents.sparkSession) as scratch:
+            names = scratch.save(repeated_names(documents, hashes, parts, ("doc_id", "text")))
+            cells = repeated_cells(names, lambda part: np.repeat(part.column("name").to_numpy().view(np.uint64), 2),
+                                   bits_for(names.count(), bits), ("name",), None)
+    else:
+        cells = repeated_cells(documents, hashes, bits_for(expected, bits) if expected else bits, ("doc_id", "text"))
+    held = context.broadcast(cells)
+    del cells
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
             for rows in found(part):
-                hit = maybe_repeated(held.value, rows["sig"])
+                hit = maybe_repeated(held.value, named(rows["sig"], parts) if many else rows["sig"])
                 yield {name: values[hit] for name, values in (rows | {"sig": rows["sig"].view(np.int64)}).items()}
 
     return arrow_map(documents.select("doc_id", "text"), "sig long, h1 long, band int, spare int", step), [chosen, held]
@@ -285,7 +297,7 @@ def _indexed(documents: DataFrame, classes: DataFrame, size: int, percent: int,
               for below, (low, _) in zip([0, *[r[0] for r in ranges]], ranges, strict=False)]
     schemes = [allocate(low, high, n, percent) for n, (low, high) in zip(counts, ranges, strict=True)]
     expected = sum(n * (s.segments + high) for n, (_, high), s in zip(counts, ranges, schemes, strict=True) if s)
-    emitted, sketches = signatures(documents, classes, size, ranges, schemes, percent, bits_for(expected))
+    emitted, sketches = signatures(documents, classes, size, ranges, schemes, percent, expected)
     first = scratch.save(emitted)
     for sketch in sketches:
         sketch.destroy()
@@ -319,14 +331,52 @@ def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a < b`` whose whole sets are similar."""
-    left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
-    both = lookup(lookup(pairs, left, "a"), right, "b")
-    inter = F.size(F.array_intersect("ta", "tb"))
-    return both.select("a", "b", inter.alias("i"), (F.size("ta") + F.size("tb")).alias("n")) \
-               .where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * percent).select("a", "b")
+_FOLLOWERS = 64  # texts that one copy of a leading text is compared with
+
+
+def _asked(pairs: DataFrame) -> DataFrame:
+    """``doc, lead, block, follows``: the texts that the tasks need for ``pairs``, one task for each ``lead, block``.
+
+    The end with more pairs leads, so the other text travels once for a pair and the leading one once for a block.
+    """
+    def degrees(end: str) -> DataFrame:
+        return pairs.groupBy(end).agg(F.count(F.lit(1)).alias(f"k{end}"))
+
+    counted = lookup(lookup(pairs, degrees("a"), "a"), degrees("b"), "b")
+    a_leads = F.col("ka") >= F.col("kb")
+    led = counted.select(F.when(a_leads, F.col("a")).otherwise(F.col("b")).alias("lead"),
+                         F.when(a_leads, F.col("b")).otherwise(F.col("a")).alias("doc"),
+                         F.ceil(F.greatest("ka", "kb") / _FOLLOWERS).cast("int").alias("blocks"))
+    led = led.select("doc", "lead", F.pmod(F.xxhash64("doc"), "blocks").cast("int").alias("block"), F.lit(True).alias("follows"))
+    return led.unionAll(led.select(F.col("lead").alias("doc"), "lead", "block", F.lit(False)).distinct())
+
+
+def _compare_texts(size: int, percent: int):
+    """Pairs ``a < b`` whose whole sets are similar; rows arrive by block, its leading text first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, lead = None, None
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for part in bw.pieces(_unpacked(batch), "text"):
+                rows = zip(*(part.column(k).to_pylist() for k in ("doc", "lead", "block", "follows")), strict=True)
+                for (doc, led_by, block, follows), tokens in zip(rows, shingle_sets(part, size), strict=True):
+                    if not follows:
+                        key, lead = (led_by, block), tokens
+                        continue
+                    if (led_by, block) != key:
+                        raise RuntimeError("a block without its leading text")
+                    shared = len(lead) + len(tokens) - len(np.union1d(lead, tokens))
+                    if shared * 100 >= (len(lead) + len(tokens) - shared) * percent:
+                        found.append((min(doc, led_by), max(doc, led_by)))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+    return run
+
+
+def verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of distinct pairs ``a < b``, those whose whole sets are similar."""
+    rows = lookup(_asked(pairs), sets.select("doc", "packed", "bytes"), "doc")
+    return rows.repartition("lead", "block").sortWithinPartitions("lead", "block", "follows") \
+               .mapInArrow(_compare_texts(size, percent), "a long, b long")
 
 
 def _similar_sizes(x: str, y: str, percent: int):
@@ -352,38 +402,39 @@ def _split_buckets(members: DataFrame, labels: DataFrame, scratch: Scratch) -> D
     return scratch.save(lookup(named, open_, "sig"))
 
 
-def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def links(members: DataFrame, sets: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """Enough verified pairs ``a, b`` to connect every component of the similarity graph.
 
-    Whole sets travel once for each pair, so each set is first compared with one of its candidates only; the
+    A text travels once for each pair, so each set is first compared with one of its candidates only; the
     others follow where the two are not connected by then.
     """
     stars = scratch.save(_near(_stars(members, percent), sets, percent))
     one = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    found = scratch.save(verified(one, sets, percent))
+    found = scratch.save(verified(one, sets, size, percent))
     labels = connected_components(found.withColumn("w", F.lit(1.0)), scratch)
     for end in "ab":
         stars = lookup(stars, labels.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left")
-    open_ = stars.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    found = scratch.save(found.unionAll(verified(open_, sets, percent)))
+    open_ = scratch.save(stars.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    found = scratch.save(found.unionAll(verified(open_, sets, size, percent)))
     labels = scratch.save(connected_components(found.withColumn("w", F.lit(1.0)), scratch))
     members = _split_buckets(members, labels, scratch)
     counts = members.groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
     members = scratch.save(lookup(members, counts, "sig"))
-    return scratch.save(found.unionAll(_small_bucket_links(members.where(F.col("members") <= _LARGE), sets, percent))
-                        .unionAll(_large_bucket_links(members.where(F.col("members") > _LARGE), sets, percent, scratch)))
+    small = scratch.save(_near(_small_bucket_pairs(members.where(F.col("members") <= _LARGE), percent), sets, percent))
+    large = scratch.save(_large_bucket_pairs(members.where(F.col("members") > _LARGE), sets, percent, scratch))
+    rest = scratch.save(small.unionAll(large).distinct())
+    return scratch.save(found.unionAll(verified(rest, sets, size, percent)))
 
 
 _LARGE = 48  # buckets up to this size list their pairs of different components
 
 
-def _small_bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links across components of small buckets, pair by pair."""
+def _small_bucket_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components of small buckets."""
     x = members.select("sig", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
     y = members.select("sig", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    pairs = x.join(y, "sig").where(F.col("a") < F.col("b")).where("ca <> cb") \
-             .where(_similar_sizes("na", "nb", percent)).select("a", "b").distinct()
-    return verified(_near(pairs, sets, percent), sets, percent)
+    return x.join(y, "sig").where(F.col("a") < F.col("b")).where("ca <> cb") \
+            .where(_similar_sizes("na", "nb", percent)).select("a", "b").distinct()
 
 
 _BLOCK = 256  # sets whose counts a task holds while the rest of a bucket streams past
@@ -430,8 +481,8 @@ def _arrays(column: pa.Array) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def _large_bucket_links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Links across components of large buckets, compared in blocks by counts, then as whole sets.
+def _large_bucket_pairs(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs across components of large buckets whose counts are near, compared in blocks.
 
     Buckets that share members form one group, so a set is sent once, not once a
     bucket.  One component of a group, the largest there, needs no block of its
@@ -454,38 +505,49 @@ def _large_bucket_links(members: DataFrame, sets: DataFrame, percent: int, scrat
                         F.lit(True).alias("other"), "doc", "component")
     filled = own.select("sig", "block").distinct()
     dealt = lookup(own.unionAll(other.join(filled, ["sig", "block"], "left_semi")), sets.select("doc", "n", "marks"), "doc")
-    pairs = dealt.repartition("sig", "block").sortWithinPartitions("sig", "block", "other") \
-                 .mapInArrow(_compare_blocks(percent), "a long, b long").distinct()
-    return verified(pairs, sets, percent)
+    return dealt.repartition("sig", "block").sortWithinPartitions("sig", "block", "other") \
+                .mapInArrow(_compare_blocks(percent), "a long, b long").distinct()
+
+
+_SETS = "packed binary, bytes int, n int, marks array<tinyint>"
 
 
-_SETS = "tokens array<long>, n int, marks array<tinyint>"
+def _unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows with their ``text`` instead of ``packed, bytes``."""
+    zstd = pa.Codec("zstd")
+    texts = [zstd.decompress(raw, size, asbytes=True) if size else b""
+             for raw, size in zip(*(batch.column(k).to_pylist() for k in ("packed", "bytes")), strict=True)]
+    rest = [k for k in batch.schema.names if k not in ("packed", "bytes")]
+    text = pa.array(texts, pa.large_binary()).view(pa.large_string())  # as it was, valid or not
+    return pa.RecordBatch.from_arrays([*[batch.column(k) for k in rest], text], [*rest, "text"])
 
 
-def _set_columns(sets: list[np.ndarray]) -> dict[str, pa.Array]:
-    """Tokens, their number and their counts by bucket, the latter cut off where a byte ends."""
+def _set_columns(sets: list[np.ndarray], texts: pa.Array) -> dict[str, pa.Array]:
+    """The text, packed, which is far smaller than its tokens; their number and counts by bucket, cut off where a byte ends."""
     n = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets)
+    data, places = bw.flat(texts)
+    zstd = pa.Codec("zstd")
+    packed = [zstd.compress(data[a:b].tobytes(), asbytes=True) for a, b in zip(places[:-1], places[1:], strict=True)]
     cell = np.repeat(np.arange(len(sets)), n) * _MARKS + (flat.view(np.uint64) % np.uint64(_MARKS)).astype(np.int64)
     marks = np.minimum(np.bincount(cell, minlength=len(sets) * _MARKS), 127).astype(np.int8)
-    ends = np.r_[0, np.cumsum(n)].astype(np.int32)
-    return {"tokens": pa.ListArray.from_arrays(ends, pa.array(flat.view(np.int64), pa.int64())), "n": pa.array(n, pa.int32()),
+    return {"packed": pa.array(packed, pa.binary()), "bytes": pa.array(np.diff(places), pa.int32()), "n": pa.array(n, pa.int32()),
             "marks": pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * _MARKS, pa.array(marks))}
 
 
 def token_sets(documents: DataFrame, size: int, chosen: Broadcast) -> DataFrame:
-    """``doc, tokens, n, marks`` of the rows whose id is chosen, and of few others; no text is shuffled."""
+    """``doc, packed, bytes, n, marks`` of the rows whose id is chosen, and of few others; no text is shuffled."""
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
             rows = _among(part, chosen)
             if rows.num_rows:
-                yield {"doc": rows.column("doc_id")} | _set_columns(shingle_sets(rows, size))
+                yield {"doc": rows.column("doc_id")} | _set_columns(shingle_sets(rows, size), rows.column("text"))
 
     return arrow_map(documents.select("doc_id", "text"), f"doc long, {_SETS}", step)
 
 
 def _class_sets(documents: DataFrame, size: int, classes: DataFrame, chosen: Broadcast) -> DataFrame:
-    """``doc, tokens, n, marks`` of every class, ``doc`` its number; rows are matched by set identity, not by id."""
+    """``doc, packed, bytes, n, marks`` of every class, ``doc`` its number; rows are matched by set identity, not by id."""
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
             rows = _among(part, chosen)
@@ -494,11 +556,11 @@ def _class_sets(documents: DataFrame, size: int, classes: DataFrame, chosen: Bro
             sets = shingle_sets(rows, size)
             sums = np.array([(s.sum(), bw.mixed(s).sum()) for s in sets], np.uint64).reshape(-1, 2)
             yield {"h1": bw.mixed(sums[:, 0]).view(np.int64), "h2": bw.mixed(sums[:, 1]).view(np.int64),
-                   "n_shingles": np.array([len(s) for s in sets], np.int64)} | _set_columns(sets)
+                   "n_shingles": np.array([len(s) for s in sets], np.int64)} | _set_columns(sets, rows.column("text"))
 
     found = arrow_map(documents.select("doc_id", "text"), f"h1 long, h2 long, n_shingles long, {_SETS}", step)
     return lookup(found, classes.select("h1", "h2", "n_shingles", "node"), ["h1", "h2", "n_shingles"]) \
-        .groupBy(F.col("node").alias("doc")).agg(*[F.first(name).alias(name) for name in ("tokens", "n", "marks")])
+        .groupBy(F.col("node").alias("doc")).agg(*[F.first(name).alias(name) for name in ("packed", "bytes", "n", "marks")])
 
 
 def components(documents: DataFrame, scratch: Scratch, size: int, percent: int) -> DataFrame:
@@ -528,7 +590,7 @@ def components(documents: DataFrame, scratch: Scratch, size: int, percent: int)
     chosen = documents.sparkSession.sparkContext.broadcast(chosen_ids(named.select("rep")))
     sets = scratch.save(_class_sets(named_rows, size, named, chosen) if repeats else token_sets(named_rows, size, chosen))
     chosen.destroy()
-    edges = links(members, sets, percent, scratch)
+    edges = links(members, sets, size, percent, scratch)
     labels = scratch.save(connected_components(edges.withColumn("w", F.lit(1.0)), scratch))
     named = lookup(classes, labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     if repeats:

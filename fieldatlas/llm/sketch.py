@@ -109,6 +109,85 @@ def repeated_cells(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.nda
     return out.reshape(2, -1)
 
 
+_KEY_BYTES = 5  # of a hash travel; with the part that it falls into 48 bits or more tell it from others
+_PART_ROWS = 1 << 21  # hashes that a part is made for
+_LEAST_PARTS = 256
+
+
+def parts_for(hashes: float) -> int:
+    return max(_LEAST_PARTS, int(hashes) // _PART_ROWS)
+
+
+def _keys(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    part = (hashes >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)
+    return part.astype(np.int64), hashes & np.uint64((1 << 8 * _KEY_BYTES) - 1)
+
+
+def named(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The names that ``repeated_names`` tells the hashes by."""
+    part, key = _keys(hashes, parts)
+    return bw.mixed((part.astype(np.uint64) << np.uint64(8 * _KEY_BYTES)) | key)
+
+
+def _dealt_keys(hashes_of: Callable[[pa.RecordBatch], np.ndarray], parts: int, text: str | None):
+    """Keys of some rows, one row a part; one that occurs more often stands there twice."""
+    def dealt(hashes: np.ndarray) -> pa.RecordBatch:
+        unique, n = np.unique(hashes, return_counts=True)
+        part, key = _keys(np.repeat(unique, np.minimum(n, 2)), parts)
+        heads = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        raw = np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES])
+        return pa.RecordBatch.from_pydict({
+            "part": pa.array(part[heads], pa.int64()),
+            "keys": pa.array([raw[a:b].tobytes() for a, b in zip(heads, np.r_[heads[1:], len(key)], strict=True)], pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            for part in bw.pieces(batch, text) if text else [batch]:
+                held.append(hashes_of(part))
+                count += len(held[-1])
+                if count >= _AT_ONCE:
+                    yield dealt(np.concatenate(held))
+                    held, count = [], 0
+        if count:
+            yield dealt(np.concatenate(held))
+    return run
+
+
+def _repeated_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names of the keys that occur more than once in a part; rows arrive sorted by part."""
+    at, held = None, []
+
+    def done() -> pa.RecordBatch:
+        raw = np.frombuffer(b"".join(held), np.uint8).reshape(-1, _KEY_BYTES)
+        wide = np.zeros((len(raw), 8), np.uint8)
+        wide[:, :_KEY_BYTES] = raw
+        key = np.sort(wide.view("<u8").ravel())
+        again = np.unique(key[1:][key[1:] == key[:-1]])
+        names = bw.mixed((np.uint64(at) << np.uint64(8 * _KEY_BYTES)) | again)
+        return pa.RecordBatch.from_pydict({"name": pa.array(names.view(np.int64), pa.int64())})
+
+    for batch in batches:
+        for part, keys in zip(*(batch.column(k).to_pylist() for k in ("part", "keys")), strict=True):
+            if part != at:
+                if held:
+                    yield done()
+                at, held = part, []
+            held.append(keys)
+    if held:
+        yield done()
+
+
+def repeated_names(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.ndarray], parts: int,
+                   columns: Sequence[str] = ("text",), text: str | None = "text") -> DataFrame:
+    """``name`` of every hash that occurs more than once, and of next to no other, however many hashes there are.
+
+    For hashes that would fill the cells of a sketch: their keys are shuffled, 5 bytes for each.
+    """
+    keys = rows.select(*columns).mapInArrow(_dealt_keys(hashes_of, parts, text), "part long, keys binary")
+    return keys.repartition("part").sortWithinPartitions("part").mapInArrow(_repeated_keys, "name long")
+
+
 def maybe_repeated(sketch: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bits = int(sketch.shape[1] * 8).bit_length() - 1
     out = np.ones(len(hashes), bool)

@@ -292,6 +292,38 @@ def test_sets_are_read_without_a_shuffle_of_texts(spark, docs):
     assert {r.doc_id for r in ids.collect()} <= {r.doc for r in sets.collect()}
 
 
+def test_a_text_is_sent_once_to_each_block_of_its_pairs(spark, scratch, monkeypatch):
+    """A hub of 40 pairs travels once for eight others, not once for each pair, and no tokens travel."""
+    monkeypatch.setattr(setjoin, "_FOLLOWERS", 8)
+    words = [f"w{k}" for k in range(60)]
+    texts = [(i, " ".join([*words[:40], *(["other"] * (20 if i % 5 == 4 else 1)), *(words[50:] if i % 4 == 3 else []), f"end{i}"])) for i in range(41)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    sets = scratch.save(setjoin.token_sets(docs, 3, spark.sparkContext.broadcast(setjoin.chosen_ids(docs.select("doc_id")))))
+    assert "tokens" not in sets.columns
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 41)], "a long, b long")
+    asked = setjoin._asked(pairs)
+    assert asked.where("follows").count() == 40 and 1 <= asked.where("NOT follows").count() <= 5
+    got = sorted((r.a, r.b) for r in setjoin.verified(pairs, sets, 3, 80).collect())
+    grams = [set(zip(w, w[1:], w[2:], strict=False)) for w in (t.split() for _, t in texts)]
+    assert got == [(0, i) for i in range(1, 41) if len(grams[0] & grams[i]) * 100 >= 80 * len(grams[0] | grams[i])]
+    assert 0 < len(got) < 40
+
+
+def test_signatures_beyond_the_sketch_are_counted(spark, scratch, monkeypatch):
+    """A sketch of 2 x 65,536 cells lets most of 300,000 hashes through; counted keys keep the repeated ones only."""
+    data = spark.range(0, 300_000, 1, 3).selectExpr("xxhash64(id) AS sig").unionAll(spark.range(0, 500).selectExpr("xxhash64(id) AS sig"))
+    hashes = lambda b: b.column("sig").to_numpy().view(np.uint64)
+    everything = np.unique(hashes(data.toArrow().combine_chunks().to_batches()[0]))
+    assert sketch.maybe_repeated(sketch.repeated_cells(data, hashes, 16, ("sig",), None), everything).sum() > 250_000
+    names = sketch.repeated_names(data, hashes, 300, ("sig",), None).toArrow().column("name").to_numpy().view(np.uint64)
+    wanted = {r.sig for r in spark.range(0, 500).selectExpr("xxhash64(id) AS sig").collect()}
+    assert set(everything[np.isin(sketch.named(everything, 300), names)].view(np.int64).tolist()) == wanted
+    monkeypatch.setattr(setjoin, "_ROOM", 1 << 40)
+    near = near_copies()
+    got = setjoin.components(spark.createDataFrame(near, "doc_id long, text string"), scratch, 3, 90)
+    assert asserted(got, ["doc_id", "n_shingles", "component_id"]) == brute_sets(near, 3, 90)
+
+
 def test_every_scheme_finds_similar_sets():
     rng = np.random.default_rng(2)
     for percent in (80, 90):
