@@ -36,6 +36,7 @@ from fieldatlas.session import Scratch
 _BAND_RATIO = 1.25
 _COMMON = 0.003  # assumed chance that an unrelated set holds a given token; for the cost model only
 _MARKS = 256     # buckets of the token counts that candidates are compared by first
+_DENSE = 8       # tokens a bucket; sets with more have finer counts, which few unrelated sets have alike
 
 
 # --- allocation ----------------------------------------------------------------
@@ -331,6 +332,29 @@ def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b")
 
 
+def _compare_finer(percent: int):
+    """The pairs whose finer counts differ no more than similar sets may; a pair without them stays."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            sizes = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
+            for i, (x, y) in enumerate(zip(_arrays(batch.column("fa")), _arrays(batch.column("fb")), strict=True)):
+                m = min(len(x), len(y))
+                if m:  # numbers of buckets are powers of two, so that finer counts fold
+                    apart = np.abs(x.reshape(-1, m).sum(0, np.int64) - y.reshape(-1, m).sum(0, np.int64)).sum()
+                    keep[i] = apart * (100 + percent) <= sizes[i] * (100 - percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+    return run
+
+
+def _finer(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Leave out pairs of large sets by finer counts; the buckets of the first ones fill up and are alike by chance."""
+    def side(end: str) -> DataFrame:
+        return sets.select(F.col("doc").alias(end), F.col("n").alias(f"n{end}"), F.col("fine").alias(f"f{end}"))
+
+    return lookup(lookup(pairs, side("a"), "a"), side("b"), "b").mapInArrow(_compare_finer(percent), "a long, b long")
+
+
 _FOLLOWERS = 64  # texts that one copy of a leading text is compared with
 
 
@@ -410,11 +434,12 @@ def links(members: DataFrame, sets: DataFrame, size: int, percent: int, scratch:
     """
     stars = scratch.save(_near(_stars(members, percent), sets, percent))
     one = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    found = scratch.save(verified(one, sets, size, percent))
+    found = scratch.save(verified(scratch.save(_finer(one, sets, percent)), sets, size, percent))
     labels = connected_components(found.withColumn("w", F.lit(1.0)), scratch)
     for end in "ab":
         stars = lookup(stars, labels.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left")
-    open_ = scratch.save(stars.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    open_ = stars.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    open_ = scratch.save(_finer(open_, sets, percent))
     found = scratch.save(found.unionAll(verified(open_, sets, size, percent)))
     labels = scratch.save(connected_components(found.withColumn("w", F.lit(1.0)), scratch))
     members = _split_buckets(members, labels, scratch)
@@ -422,7 +447,7 @@ def links(members: DataFrame, sets: DataFrame, size: int, percent: int, scratch:
     members = scratch.save(lookup(members, counts, "sig"))
     small = scratch.save(_near(_small_bucket_pairs(members.where(F.col("members") <= _LARGE), percent), sets, percent))
     large = scratch.save(_large_bucket_pairs(members.where(F.col("members") > _LARGE), sets, percent, scratch))
-    rest = scratch.save(small.unionAll(large).distinct())
+    rest = scratch.save(_finer(small.unionAll(large).distinct(), sets, percent))
     return scratch.save(found.unionAll(verified(rest, sets, size, percent)))
 
 
@@ -509,7 +534,7 @@ def _large_bucket_pairs(members: DataFrame, sets: DataFrame, percent: int, scrat
                 .mapInArrow(_compare_blocks(percent), "a long, b long").distinct()
 
 
-_SETS = "packed binary, bytes int, n int, marks array<tinyint>"
+_SETS = "packed binary, bytes int, n int, marks array<tinyint>, fine array<tinyint>"
 
 
 def _unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -522,21 +547,31 @@ def _unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*[batch.column(k) for k in rest], text], [*rest, "text"])
 
 
+def _counts(tokens: np.ndarray) -> np.ndarray:
+    """Counts of a large set by so many buckets, a power of two, that few hold more than ``_DENSE`` tokens."""
+    buckets = 1 << (-(-len(tokens) // _DENSE) - 1).bit_length()
+    counts = np.bincount((tokens & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.minimum(counts, 127).astype(np.int8)
+
+
 def _set_columns(sets: list[np.ndarray], texts: pa.Array) -> dict[str, pa.Array]:
     """The text, packed, which is far smaller than its tokens; their number and counts by bucket, cut off where a byte ends."""
     n = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets)
+    fine = [np.zeros(0, np.int8) if len(s) <= _DENSE * _MARKS else _counts(s) for s in sets]
     data, places = bw.flat(texts)
     zstd = pa.Codec("zstd")
     packed = [zstd.compress(data[a:b].tobytes(), asbytes=True) for a, b in zip(places[:-1], places[1:], strict=True)]
     cell = np.repeat(np.arange(len(sets)), n) * _MARKS + (flat.view(np.uint64) % np.uint64(_MARKS)).astype(np.int64)
     marks = np.minimum(np.bincount(cell, minlength=len(sets) * _MARKS), 127).astype(np.int8)
     return {"packed": pa.array(packed, pa.binary()), "bytes": pa.array(np.diff(places), pa.int32()), "n": pa.array(n, pa.int32()),
-            "marks": pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * _MARKS, pa.array(marks))}
+            "marks": pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * _MARKS, pa.array(marks)),
+            "fine": pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(f) for f in fine])].astype(np.int32),
+                                             pa.array(np.concatenate(fine)))}
 
 
 def token_sets(documents: DataFrame, size: int, chosen: Broadcast) -> DataFrame:
-    """``doc, packed, bytes, n, marks`` of the rows whose id is chosen, and of few others; no text is shuffled."""
+    """``doc, packed, bytes, n, marks, fine`` of the rows whose id is chosen, and of few others; no text is shuffled."""
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
             rows = _among(part, chosen)
@@ -547,7 +582,7 @@ def token_sets(documents: DataFrame, size: int, chosen: Broadcast) -> DataFrame:
 
 
 def _class_sets(documents: DataFrame, size: int, classes: DataFrame, chosen: Broadcast) -> DataFrame:
-    """``doc, packed, bytes, n, marks`` of every class, ``doc`` its number; rows are matched by set identity, not by id."""
+    """``doc, packed, bytes, n, marks, fine`` of every class, ``doc`` its number; rows are matched by set identity, not by id."""
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in bw.pieces(batch, "text"):
             rows = _among(part, chosen)
@@ -560,7 +595,7 @@ def _class_sets(documents: DataFrame, size: int, classes: DataFrame, chosen: Bro
 
     found = arrow_map(documents.select("doc_id", "text"), f"h1 long, h2 long, n_shingles long, {_SETS}", step)
     return lookup(found, classes.select("h1", "h2", "n_shingles", "node"), ["h1", "h2", "n_shingles"]) \
-        .groupBy(F.col("node").alias("doc")).agg(*[F.first(name).alias(name) for name in ("packed", "bytes", "n", "marks")])
+        .groupBy(F.col("node").alias("doc")).agg(*[F.first(name).alias(name) for name in ("packed", "bytes", "n", "marks", "fine")])
 
 
 def components(documents: DataFrame, scratch: Scratch, size: int, percent: int) -> DataFrame:
