@@ -223,6 +223,23 @@ def test_refinement_rounds_do_not_grow_with_the_vertices(spark, scratch):
     assert len(parts) == 1240 and len(pairs) == 40 and len({part for part, _ in pairs}) == 40
 
 
+def test_refinement_rounds_run_on_parts(spark, scratch, monkeypatch):
+    """Each round sees one vertex for each part; all rounds used to see all 1,240 vertices and 2,400 ends."""
+    rows = [(100 * hub, 100 * hub + leaf, 1) for hub in range(40) for leaf in range(1, 31)]
+    table = scratch.save(graph.undirected(edge_table(spark, rows)))
+    start = graph.vertices(table).withColumn("community", F.floor(F.col("node") / 100).cast("bigint"))
+    sizes, picks = [], communities._picks
+
+    def counted(ends, state, *rest):
+        sizes.append((ends.count(), state.count(), state.agg(F.sum("members")).first()[0]))
+        return picks(ends, state, *rest)
+
+    monkeypatch.setattr(communities, "_picks", counted)
+    communities.refined_parts(table, start, 10.0, scratch).collect()
+    assert sizes[0] == (2400, 1240, 1240) and sizes[-1][:2] == (0, 40)
+    assert all(b[0] < a[0] for a, b in zip(sizes[1:], sizes[2:], strict=False)) and {s[2] for s in sizes} == {1240}
+
+
 def test_planted_stars_stay_apart_however_many_there_are(spark, scratch):
     """Of 400 customers none has an opening with so many links that its leaves would leave it."""
     orders = spark.range(3, 1203).select(F.col("id").alias("o_orderkey"), F.floor(F.col("id") / 3).alias("o_custkey"))
